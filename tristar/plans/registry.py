@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from tristar.plans.queries import BATCH, ORACLE
+from tristar.plans.queries import BATCH, EVENT_COUNTS_SQL, NESTED_SQL, ORACLE, RELAY_SQL
+from tristar.plans.streams import STREAMS
 
-QUERIES = dict(BATCH)
-ORACLE_SQL = dict(ORACLE)
+QUERIES = {**BATCH, **STREAMS}
+
+ORACLE_SQL = {
+    **ORACLE,
+    "stream_snapshot_counts": EVENT_COUNTS_SQL,
+    "stream_update_counts": EVENT_COUNTS_SQL,
+    "stream_stream_join": NESTED_SQL,
+    "two_stage_relay": RELAY_SQL,
+    "stream_sql_having": EVENT_COUNTS_SQL,
+    "live_dimension_counts": EVENT_COUNTS_SQL,
+}
