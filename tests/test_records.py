@@ -1,0 +1,66 @@
+"""Keyed JSON records: decode modes, tombstones, unknown fields, encode, schema checks."""
+
+import pytest
+from pyspark.sql import types as T
+
+from tristar.functions import decode, encode, key_as_number, rename_all, require_schema, with_age
+
+USER_WIRE = T.StructType([T.StructField("userId", T.LongType()),
+                          T.StructField("userName", T.StringType())])
+KV = "key string, value string"
+
+
+def test_permissive_malformed_gives_struct_of_nulls(spark):
+    df = spark.createDataFrame([("1", "{bad")], KV)
+    out = decode(df, USER_WIRE, expand=False).first()
+    assert out["record"] is not None
+    assert out["record"]["userId"] is None and out["record"]["userName"] is None
+
+
+def test_failfast_malformed_raises(spark):
+    df = spark.createDataFrame([("1", "{bad")], KV)
+    with pytest.raises(Exception):
+        decode(df, USER_WIRE, mode="FAILFAST").collect()
+
+
+def test_tombstone_decodes_to_null(spark):
+    df = spark.createDataFrame([("1", None)], KV)
+    assert decode(df, USER_WIRE, expand=False).first()["record"] is None
+
+
+def test_unknown_field_ignored(spark):
+    df = spark.createDataFrame([("4", '{"userId":4,"userName":"x","extra":1}')], KV)
+    assert tuple(decode(df, USER_WIRE, keep=()).first()) == (4, "x")
+
+
+def test_encode_omits_nulls_and_roundtrips(spark):
+    df = spark.createDataFrame([(1, "ann"), (2, None)], "user_id long, user_name string")
+    wire = encode(df, "user_id", ["user_id", "user_name"], names=["userId", "userName"])
+    assert sorted(tuple(r) for r in wire.collect()) == [
+        ("1", '{"userId":1,"userName":"ann"}'), ("2", '{"userId":2}')]
+    back = decode(wire, USER_WIRE, keep=())
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "ann"), (2, None)]
+
+
+def test_key_as_number(spark):
+    df = spark.createDataFrame([("7",), ("x",)], "key string")
+    assert [r[0] for r in df.select(key_as_number("key")).collect()] == [7, None]
+
+
+def test_require_schema_and_rename(spark):
+    df = spark.createDataFrame([(1, "a")], "a long, b string")
+    require_schema(df, T.StructType([T.StructField("a", T.LongType())]))
+    with pytest.raises(TypeError):
+        require_schema(df, T.StructType([T.StructField("a", T.StringType())]))
+    with pytest.raises(TypeError):
+        require_schema(df, T.StructType([T.StructField("c", T.LongType())]))
+    assert rename_all(df, ["x", "y"]).columns == ["x", "y"]
+    with pytest.raises(ValueError):
+        rename_all(df, ["x"])
+
+
+def test_with_age(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 12, 31, 23, 59, 0, 500000),)],
+                               "ts timestamp_ntz")
+    assert with_age(df, "ts", 1735689600).first()["age_s"] == 60

@@ -10,7 +10,7 @@ A plain ``row_number() OVER (PARTITION BY key ORDER BY order)`` would put every
 hot key in one task. ``running_counts`` computes the same numbers with bounded groups:
 
 1. rows are counted per distinct ``(key, order)`` (map-side combine, so a pile of copies
-   of one row becomes one row with multiplicity m);
+   of one row becomes one row with multiplicity m) and written once to the shared folder;
 2. ``order`` is cut into blocks of ``block`` consecutive values; a window runs inside each
    ``(key, block)``, which holds at most ``block`` distinct rows;
 3. block totals are prefix-summed per key (one small row per block) and joined back;
@@ -25,57 +25,69 @@ exactly as ``row_number`` gives them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tristar.session import write_stage
+
 DEFAULT_BLOCK = 1 << 20
 DEFAULT_CHUNK = 1 << 16
 
 
-def _ranges(df: DataFrame, key: str, order: str, block: int) -> DataFrame:
-    """Distinct (key, order) rows with their running-count range [__lo, __hi]."""
+def _ranges(df: DataFrame, key: str, order: str, block: int) -> tuple[DataFrame, int]:
+    """Distinct (key, order) rows with their running-count range [__lo, __hi], and the
+    largest multiplicity (one scalar read of the written table)."""
     d = (df.select(key, order).filter(F.col(key).isNotNull() & F.col(order).isNotNull())
            .groupBy(key, order).agg(F.count(F.lit(1)).alias("__m"))
            .withColumn("__b", F.floor(F.col(order) / F.lit(block)).cast("bigint")))
+    # Both branches below read the distinct rows; writing them once keeps the source scan
+    # and joins to a single pass (Catalyst would plan them twice).
+    d = write_stage(d, "running-counts")
+    max_m = d.agg(F.max("__m")).first()[0] or 0
     inside = Window.partitionBy(key, "__b").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     d_in = d.withColumn("__cum", F.sum("__m").over(inside))
     before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (d.groupBy(key, "__b").agg(F.sum("__m").alias("__bt"))
-               .withColumn("__before", F.coalesce(F.sum("__bt").over(before), F.lit(0)))
-               .select(key, "__b", "__before"))
-    return (d_in.join(blocks, [key, "__b"])
-                .select(key, order, "__m",
-                        (F.col("__before") + F.col("__cum")).cast("bigint").alias("__hi"))
-                .withColumn("__lo", F.col("__hi") - F.col("__m") + 1))
-
-
-def _expand(r: DataFrame, key: str, order: str, lo: Column, hi: Column, out: str,
-            chunk: int) -> DataFrame:
-    """One row per integer of [lo, hi] for each range row; long ranges in chunks."""
-    r = r.select(key, order, lo.alias("__x"), hi.alias("__y")).filter(F.col("__x") <= F.col("__y"))
-    span = F.col("__y") - F.col("__x") + 1
-    short = r.filter(span <= chunk).select(
-        key, order, F.explode(F.sequence("__x", "__y")).alias(out))
-    c0 = F.col("__x") + F.col("__c") * F.lit(chunk)
-    long_ = (r.filter(span > chunk)
-               .select(key, order, "__x", "__y",
-                       F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                            F.floor((F.col("__y") - F.col("__x")) / chunk)
-                                            .cast("bigint"))).alias("__c"))
-               .repartition(key, order, "__c")
-               .select(key, order, F.explode(F.sequence(
-                   c0, F.least(F.col("__y"), c0 + F.lit(chunk - 1)))).alias(out)))
-    return short.unionByName(long_)
+               .select(key, "__b", F.coalesce(F.sum("__bt").over(before), F.lit(0))
+                       .alias("__before")))
+    r = (d_in.join(blocks, [key, "__b"])
+             .select(key, order, "__m",
+                     (F.col("__before") + F.col("__cum")).cast("bigint").alias("__hi"))
+             .withColumn("__lo", F.col("__hi") - F.col("__m") + 1))
+    return r, int(max_m)
+
+
+def _expand(r: DataFrame, key: str, order: str, extra: list[str], out: str,
+            chunk: int, spread: bool) -> DataFrame:
+    """One row per integer of [__x, __y] for each range row.
+
+    Without ``spread`` (every range fits one chunk: the usual case) ranges expand in
+    place. With it, ranges are cut into chunks of ``chunk`` values and the chunk rows are
+    shuffled apart first, so one huge range (a hot pile of copies) is expanded by many tasks.
+    """
+    r = r.filter(F.col("__x") <= F.col("__y"))
+    if not spread:
+        return r.select(key, order, *extra,
+                        F.explode(F.sequence("__x", "__y")).alias(out))
+    n_chunks = F.floor((F.col("__y") - F.col("__x")) / F.lit(chunk)).cast("bigint")
+    c = r.select(key, order, *extra, "__x", "__y",
+                 F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks)).alias("__c"))
+    c = c.repartition(key, order, "__c")
+    lo = F.col("__x") + F.col("__c") * F.lit(chunk)
+    return c.select(key, order, *extra, F.explode(F.sequence(
+        lo, F.least(F.col("__y"), lo + F.lit(chunk - 1)))).alias(out))
 
 
 def running_counts(df: DataFrame, key: str, order: str, min_count: int = 1,
                    block: int = DEFAULT_BLOCK, chunk: int = DEFAULT_CHUNK,
                    out: str = "counts") -> DataFrame:
     """``(key, order, out)``: one row per input row whose running count is ``>= min_count``."""
-    r = _ranges(df, key, order, block)
-    lo = F.greatest(F.col("__lo"), F.lit(min_count).cast("bigint"))
-    return _expand(r, key, order, lo, F.col("__hi"), out, chunk)
+    r, max_m = _ranges(df, key, order, block)
+    r = r.select(key, order,
+                 F.greatest(F.col("__lo"), F.lit(min_count).cast("bigint")).alias("__x"),
+                 F.col("__hi").alias("__y"))
+    return _expand(r, key, order, [], out, chunk, spread=max_m > chunk)
 
 
 def running_updates(df: DataFrame, key: str, order: str, threshold: int,
@@ -89,10 +101,18 @@ def running_updates(df: DataFrame, key: str, order: str, threshold: int,
 def retract_changelog(df: DataFrame, key: str, order: str, threshold: int,
                       block: int = DEFAULT_BLOCK, chunk: int = DEFAULT_CHUNK,
                       out: str = "counts", flag: str = "is_add") -> DataFrame:
-    """``(order, key, flag, out)``: per row, add n if n > k and retract n - 1 if n - 1 > k."""
-    r = _ranges(df, key, order, block)
+    """``(order, key, flag, out)``: per row, add n if n > k and retract n - 1 if n - 1 > k.
+
+    Adds cover [lo, hi] and retracts [lo - 1, hi - 1] of each range; both are expanded in
+    one pass (a two-element flag array), so the ranges are computed once.
+    """
     k1 = F.lit(threshold + 1).cast("bigint")
-    adds = _expand(r, key, order, F.greatest(F.col("__lo"), k1), F.col("__hi"), out, chunk)
-    rets = _expand(r, key, order, F.greatest(F.col("__lo") - 1, k1), F.col("__hi") - 1, out, chunk)
-    return (adds.select(order, key, F.lit(True).alias(flag), out)
-                .unionByName(rets.select(order, key, F.lit(False).alias(flag), out)))
+    shift = F.when(F.col(flag), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
+    r, max_m = _ranges(df, key, order, block)
+    r = (r.select(key, order, "__lo", "__hi",
+                 F.explode(F.array(F.lit(True), F.lit(False))).alias(flag))
+         .select(key, order, flag,
+                 F.greatest(F.col("__lo") - shift, k1).alias("__x"),
+                 (F.col("__hi") - shift).alias("__y")))
+    return _expand(r, key, order, [flag], out, chunk, spread=max_m > chunk).select(
+        order, key, flag, out)

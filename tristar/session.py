@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants. AQE re-plans joins at runtime from real shuffle sizes
 # (broadcast conversion, partition coalescing, skew splitting); UTC keeps epoch maths
@@ -70,4 +70,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_dir"]
+def write_stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to a fresh folder under the shared work folder and read it back.
+
+    Used where a plan would otherwise compute the same input twice (two branches that
+    Catalyst cannot share), and to cut a long lineage: a lost executor then re-reads the
+    written files instead of recomputing from the source tables.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_dir", "write_stage"]
