@@ -202,3 +202,18 @@ def test_registry_stream_entries_use_fresh_folders(spark):
     b = E.queries()["stream_update_counts"](spark, SF0001)
     assert rows_of(a) == rows_of(b) == rows_of(batch_twin(spark))
     assert str(uuid.uuid4())  # folders are uuid-named; reruns never collide
+
+
+def test_two_stage_continuous_trigger(spark, tmp_dir):
+    from tristar.streaming import run_two_stage, stop_all
+    paths = publish_star(event_star(spark, SF0001), f"{tmp_dir}/topics")
+    qs = run_two_stage(spark, keyed_star_streams(spark, paths), f"{tmp_dir}/relay",
+                       f"{tmp_dir}/out", f"{tmp_dir}/ckpt", threshold=K,
+                       trigger={"processingTime": "1 second"})
+    try:
+        for q in qs:
+            q.processAllAvailable()
+    finally:
+        stop_all(qs)
+    want = verified_users(*event_star(spark, SF0001), by="name", threshold=K)
+    assert rows_of(read_latest_snapshot(spark, f"{tmp_dir}/out")) == rows_of(want)

@@ -31,3 +31,10 @@ def test_hot_key_latest(spark):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 1)], "a long, b long")
     assert [tuple(r) for r in duplicate_keys(df, ["a", "b"]).collect()] == [(1, 1, 2)]
+
+
+def test_save_table_replaces(spark, tmp_path):
+    from tristar.sources import save_table
+    path = str(tmp_path / "enriched")
+    save_table(spark.range(3), path)
+    assert save_table(spark.range(5), path).count() == 5

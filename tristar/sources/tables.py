@@ -42,3 +42,14 @@ def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     del spark
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+
+
+def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+               mode: str = "overwrite") -> DataFrame:
+    """Create-table-as-select: write ``df`` as parquet (replacing an older table) and
+    return the stored table. The store is a shared folder; nothing is kept on the driver."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)

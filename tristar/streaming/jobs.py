@@ -165,19 +165,40 @@ def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str
 
 # ---- stream-stream join and relay -------------------------------------------------------
 
-def run_stream_join(streams: Star, relay: str, checkpoint: str,
-                    trigger: dict | None = None) -> StreamingQuery:
+RELAY_COLUMNS = ["verification_id", "card_id", "card_title", "user_id", "user_name"]
+
+
+def stream_join(streams: Star) -> DataFrame:
     """cards stream JOIN verifications stream USING card_id, JOIN users stream on the
-    verifier; append the joined rows to a parquet relay (exactly-once file sink).
+    verifier (append-only result; every side's rows stay in join state)."""
+    cards, ver, users = streams
+    return (cards.join(ver, "card_id")
+                 .join(users, F.col("verified_by") == F.col("user_id"))
+                 .select(F.col("id").alias("verification_id"), "card_id",
+                         F.col("title").alias("card_title"), "user_id", "user_name"))
 
-    The relay keeps the verification id, so a consumer can tell a replayed row apart.
+
+def run_stream_join(streams: Star, relay: str, checkpoint: str,
+                    trigger: dict | None = None, kind: str = "files",
+                    options: dict[str, str] | None = None) -> StreamingQuery:
+    """Write the three-stream join to a relay.
+
+    ``kind="files"``: a parquet relay through the file sink, exactly-once for readers.
+    ``kind="kafka"``: topic ``relay``, key = user id, value = the joined row as JSON. The
+    Kafka sink is at-least-once; the relay keeps the verification id, so a consumer can
+    drop a replayed row (``dropDuplicatesWithinWatermark``) instead of counting it twice.
     """
-    cards, ver, users = streams
-    joined = (cards.join(ver, "card_id")
-                   .join(users, F.col("verified_by") == F.col("user_id"))
-                   .select(F.col("id").alias("verification_id"), "card_id",
-                           F.col("title").alias("card_title"), "user_id", "user_name"))
-    w = joined.writeStream.outputMode("append").format("parquet").option("path", relay)
+    joined = stream_join(streams)
+    if kind == "files":
+        w = joined.writeStream.outputMode("append").format("parquet").option("path", relay)
+    elif kind == "kafka":
+        wire = joined.select(F.col("user_id").cast("string").alias("key"),
+                             F.to_json(F.struct(*RELAY_COLUMNS)).alias("value"))
+        w = wire.writeStream.outputMode("append").format("kafka").option("topic", relay)
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+    else:
+        raise ValueError(f"unknown relay kind {kind!r}")
     return _start(w, checkpoint, trigger)
 
 
@@ -193,6 +214,35 @@ def run_relay(spark: SparkSession, relay: str, out: str, checkpoint: str, thresh
     return run_snapshot(counts, out, checkpoint, trigger)
 
 
+def run_two_stage(spark: SparkSession, streams: Star, relay: str, out: str, checkpoint: str,
+                  threshold: int, by: str = "name",
+                  trigger: dict | None = None) -> list[StreamingQuery]:
+    """Both stages at once (continuous use): the join feeding the relay and the count
+    reading it. Returns the two queries; wait with ``await_any`` / ``stop_all``.
+
+    The counting stage needs the relay's first files for its schema, so with a
+    continuous trigger the join is started first and given one batch to land.
+    """
+    join_q = run_stream_join(streams, relay, f"{checkpoint}/join", trigger)
+    join_q.processAllAvailable()
+    count_q = run_relay(spark, relay, out, f"{checkpoint}/count", threshold, by,
+                        trigger=trigger)
+    return [join_q, count_q]
+
+
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Block until any active query of the session ends (or fails, re-raising its error)."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+    else:
+        spark.streams.awaitAnyTermination(int(timeout_s * 1000))
+
+
+def stop_all(queries: Sequence[StreamingQuery]) -> None:
+    for q in queries:
+        q.stop()
+
+
 # ---- live dimensions ------------------------------------------------------------------------
 
 class LiveEnrich:
