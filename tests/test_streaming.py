@@ -217,3 +217,48 @@ def test_two_stage_continuous_trigger(spark, tmp_dir):
         stop_all(qs)
     want = verified_users(*event_star(spark, SF0001), by="name", threshold=K)
     assert rows_of(read_latest_snapshot(spark, f"{tmp_dir}/out")) == rows_of(want)
+
+
+def test_bucketed_dimension_is_not_reshuffled_per_batch(spark, chunked_events, tmp_dir, capsys):
+    from tristar.operators import prepare_dimension
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cards, users = dims(spark)
+        cb = prepare_dimension(cards, "card_id", max_broadcast_rows=0, name="cards")
+        ub = prepare_dimension(users, "user_id", max_broadcast_rows=0, name="users")
+        facts = event_fact_stream(spark, chunked_events, max_files=1)
+        counts = enriched_counts(stream_enriched(facts, cb, ub, broadcast_rows=None),
+                                 by="id_and_name", threshold=K)
+        q = run_snapshot(counts, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", BOUNDED)
+        q.awaitTermination()
+        capsys.readouterr()
+        q.explain()
+        plan = capsys.readouterr().out
+        assert "Bucketed: true" in plan
+        # exchanges: the batch to card buckets, the batch to user buckets, the aggregate
+        assert plan.count("Exchange hashpartitioning") == 3
+        assert rows_of(read_latest_snapshot(spark, f"{tmp_dir}/out")) == \
+            rows_of(batch_twin(spark))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_dimension_broadcast(spark):
+    from tristar.operators import prepare_dimension
+    cards, _ = dims(spark)
+    d = prepare_dimension(cards, "card_id", max_broadcast_rows=10_000)
+    j = spark.range(3).withColumnRenamed("id", "card_id").join(d, "card_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in _plan(j)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _plan(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

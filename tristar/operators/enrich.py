@@ -28,6 +28,29 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
     return F.broadcast(dim) if n <= max_rows else dim
 
 
+def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
+                      buckets: int | None = None, name: str = "dimension") -> DataFrame:
+    """A static dimension made ready for a long-running stream-static join.
+
+    Under the row bound it is marked for broadcast (``bounded_broadcast``). Past it, it
+    is written once, bucketed and sorted by ``key``, as a table under the shared work
+    folder: a join against the bucketed scan shuffles only each micro-batch to the
+    bucket count, instead of re-shuffling the whole dimension in every batch.
+    """
+    import uuid
+
+    from tristar.session import scratch_dir
+    if max_broadcast_rows is not None and dim.limit(max_broadcast_rows + 1).count() \
+            <= max_broadcast_rows:
+        return F.broadcast(dim)
+    spark = dim.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"tristar_{name}_{uuid.uuid4().hex[:12]}"
+    (dim.write.bucketBy(n, key).sortBy(key)
+        .option("path", scratch_dir(spark, table)).saveAsTable(table))
+    return spark.table(table)
+
+
 def card_verifications(cards: DataFrame, verifications: DataFrame,
                        fact_columns: Sequence[str] | None = None) -> DataFrame:
     """cards JOIN verifications USING (card_id): card columns, then fact columns."""
