@@ -262,3 +262,15 @@ def _plan(df):
     with contextlib.redirect_stdout(buf):
         df.explain()
     return buf.getvalue()
+
+
+def test_salted_stream_join_equals_plain(spark, tmp_dir):
+    paths = publish_star(event_star(spark, SF0001), f"{tmp_dir}/topics")
+    plain, salted = f"{tmp_dir}/plain", f"{tmp_dir}/salted"
+    run_stream_join(keyed_star_streams(spark, paths), plain, f"{tmp_dir}/c1",
+                    BOUNDED).awaitTermination()
+    run_stream_join(keyed_star_streams(spark, paths), salted, f"{tmp_dir}/c2", BOUNDED,
+                    salt=5).awaitTermination()
+    a, b = spark.read.parquet(plain), spark.read.parquet(salted)
+    assert a.count() > 0
+    assert rows_of(a) == rows_of(b)

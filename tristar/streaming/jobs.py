@@ -168,19 +168,35 @@ def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str
 RELAY_COLUMNS = ["verification_id", "card_id", "card_title", "user_id", "user_name"]
 
 
-def stream_join(streams: Star) -> DataFrame:
+def stream_join(streams: Star, salt: int = 1) -> DataFrame:
     """cards stream JOIN verifications stream USING card_id, JOIN users stream on the
-    verifier (append-only result; every side's rows stay in join state)."""
+    verifier (append-only result; every side's rows stay in join state).
+
+    AQE does not run in a streaming plan, so a hot card or user would put its share of
+    the join state and work in one task. With ``salt`` > 1 each verification gets a salt
+    ``pmod(xxhash64(id), salt)`` (deterministic, so a replay lands in the same task) and
+    every dimension row is replicated once per salt value; a hot key is then spread over
+    ``salt`` tasks. The result is unchanged; dimension state grows ``salt`` times.
+    """
     cards, ver, users = streams
-    return (cards.join(ver, "card_id")
-                 .join(users, F.col("verified_by") == F.col("user_id"))
-                 .select(F.col("id").alias("verification_id"), "card_id",
-                         F.col("title").alias("card_title"), "user_id", "user_name"))
+    if salt > 1:
+        replicas = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint")))
+        ver = ver.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(salt)))
+        cards = cards.select("*", replicas.alias("__salt"))
+        users = users.select("*", replicas.alias("__salt_u"))
+        first = cards.join(ver, ["card_id", "__salt"])
+        joined = first.join(users, (F.col("verified_by") == F.col("user_id"))
+                            & (F.col("__salt") == F.col("__salt_u")))
+    else:
+        joined = cards.join(ver, "card_id").join(
+            users, F.col("verified_by") == F.col("user_id"))
+    return joined.select(F.col("id").alias("verification_id"), "card_id",
+                         F.col("title").alias("card_title"), "user_id", "user_name")
 
 
 def run_stream_join(streams: Star, relay: str, checkpoint: str,
                     trigger: dict | None = None, kind: str = "files",
-                    options: dict[str, str] | None = None) -> StreamingQuery:
+                    options: dict[str, str] | None = None, salt: int = 1) -> StreamingQuery:
     """Write the three-stream join to a relay.
 
     ``kind="files"``: a parquet relay through the file sink, exactly-once for readers.
@@ -188,7 +204,7 @@ def run_stream_join(streams: Star, relay: str, checkpoint: str,
     Kafka sink is at-least-once; the relay keeps the verification id, so a consumer can
     drop a replayed row (``dropDuplicatesWithinWatermark``) instead of counting it twice.
     """
-    joined = stream_join(streams)
+    joined = stream_join(streams, salt)
     if kind == "files":
         w = joined.writeStream.outputMode("append").format("parquet").option("path", relay)
     elif kind == "kafka":
