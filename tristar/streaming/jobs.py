@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tristar.functions.records import decode
 from tristar.operators.counts import enriched_counts
-from tristar.operators.enrich import enrich
+from tristar.operators.enrich import enrich, prepare_dimension
 from tristar.sources.keyed import keyed_source, publish_keyed
 from tristar.sources.roles import Star, verifications_from_events
 from tristar.streaming.sinks import BatchDirSink, RetractSink, batch_path
@@ -87,8 +87,17 @@ def event_fact_stream(spark: SparkSession, folder: str, glob: str | None = None,
 
 def stream_enriched(facts: DataFrame, cards: DataFrame, users: DataFrame,
                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Stream-static enrichment; each dimension broadcast only under the row bound."""
-    return enrich(cards, facts, users, broadcast_rows=broadcast_rows)
+    """Stream-static enrichment.
+
+    Each dimension is broadcast when a row check proves it under ``broadcast_rows``;
+    otherwise it is written once as a bucketed table (``prepare_dimension``) so each
+    micro-batch shuffles only itself. ``broadcast_rows=None`` leaves the dimensions as
+    given (Spark's size-based choice).
+    """
+    if broadcast_rows is not None:
+        cards = prepare_dimension(cards, "card_id", broadcast_rows, name="cards")
+        users = prepare_dimension(users, "user_id", broadcast_rows, name="users")
+    return enrich(cards, facts, users)
 
 
 def publish_star(star: Star, folder: str, events_ts: str = "verification_date") -> dict[str, str]:
