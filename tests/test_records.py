@@ -1,6 +1,7 @@
 """Keyed JSON records: decode modes, tombstones, unknown fields, encode, schema checks."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tristar.functions import decode, encode, key_as_number, rename_all, require_schema, with_age
@@ -64,3 +65,22 @@ def test_with_age(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 12, 31, 23, 59, 0, 500000),)],
                                "ts timestamp_ntz")
     assert with_age(df, "ts", 1735689600).first()["age_s"] == 60
+
+
+def test_time_helpers_ignore_session_time_zone(spark):
+    import datetime as dt
+
+    from tristar.functions import epoch_seconds, event_time
+    df = spark.createDataFrame([(dt.datetime(2024, 12, 31, 23, 59, 0, 250000),)],
+                               "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = []
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = df.select(epoch_seconds("ts").alias("e"),
+                          F.unix_micros(event_time("ts")).alias("m")).first()
+            got.append((r.e, r.m))
+        assert got == [(1735689540, 1735689540250000)] * 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

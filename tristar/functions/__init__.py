@@ -3,7 +3,7 @@
 from tristar.functions.records import (
     cast_keyed, decode, decode_column, encode, key_as_number, rename_all, require_schema,
 )
-from tristar.functions.time import event_time, with_age
+from tristar.functions.time import epoch_seconds, event_time, with_age
 
 __all__ = ["cast_keyed", "decode", "decode_column", "encode", "key_as_number",
-           "rename_all", "require_schema", "event_time", "with_age"]
+           "rename_all", "require_schema", "epoch_seconds", "event_time", "with_age"]

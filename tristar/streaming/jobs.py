@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tristar.functions.records import decode
+from tristar.functions.time import epoch_seconds, event_time
 from tristar.operators.counts import enriched_counts
 from tristar.operators.enrich import enrich, prepare_dimension
 from tristar.sources.keyed import keyed_source, publish_keyed
@@ -108,11 +109,10 @@ def publish_star(star: Star, folder: str, events_ts: str = "verification_date")
     paths = {r: f"{folder.rstrip('/')}/{r}" for r in ("cards", "verifications", "users")}
     publish_keyed(star.cards, "card_id", ["card_id", "title"], paths["cards"],
                   names=["cardId", "cardTitle"])
-    v = star.verifications.withColumn(
-        "__epoch", F.unix_timestamp(F.col(events_ts).cast("timestamp")))
+    v = star.verifications.withColumn("__epoch", epoch_seconds(events_ts))
     publish_keyed(v, "id", ["id", "card_id", "__epoch", "verified_by"], paths["verifications"],
                   names=["verificationId", "cardId", "verificationDate", "verifiedByUserId"],
-                  timestamp=F.col(events_ts).cast("timestamp"))
+                  timestamp=event_time(events_ts))
     publish_keyed(star.users, "user_id", ["user_id", "user_name"], paths["users"],
                   names=["userId", "userName"])
     return paths
