@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tristar.operators.counts import enriched_counts
-from tristar.operators.enrich import flatten_nested
 from tristar.session import scratch_dir
 from tristar.sources.roles import (
     EVENT_THRESHOLD, Star, cards_from_part, event_star, read_table, users_from_customer,
 )
 from tristar.sources.tables import latest_by_key
 from tristar.streaming.jobs import (
-    BOUNDED, event_fact_stream, keyed_star_streams, publish_star, run_live, run_relay,
+    BOUNDED, combine_counts, event_fact_stream, keyed_star_streams, publish_star, run_live, run_relay,
     run_snapshot, run_sql, run_stream_join, run_updates, stream_enriched,
 )
 from tristar.streaming.sinks import read_final_state, read_latest_snapshot
@@ -95,11 +94,13 @@ def _live_dims(sf: str):
 
 
 def q_live_dimension_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Dimensions re-read per micro-batch; each batch is counted per user before it is
+    written, and the per-batch counts are summed by a batch job."""
     run = scratch_dir(spark, "live_dimension_counts")
     run_live(_facts(spark, sf), _live_dims(sf), f"{run}/relay", f"{run}/checkpoint",
-             BOUNDED).awaitTermination()
-    enriched = spark.read.parquet(f"{run}/relay").drop("batch_id")
-    return enriched_counts(enriched, by="id_and_name", threshold=EVENT_THRESHOLD).select(*USER_COLS)
+             BOUNDED, by="id_and_name").awaitTermination()
+    return combine_counts(spark, f"{run}/relay", "id_and_name",
+                          EVENT_THRESHOLD).select(*USER_COLS)
 
 
 STREAMS = {

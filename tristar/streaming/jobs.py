@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tristar.functions.records import decode
 from tristar.functions.time import epoch_seconds, event_time
-from tristar.operators.counts import enriched_counts
+from tristar.operators.counts import enriched_counts, verified_users
 from tristar.operators.enrich import enrich, prepare_dimension
 from tristar.sources.keyed import keyed_source, publish_keyed
 from tristar.sources.roles import Star, verifications_from_events
@@ -276,24 +276,42 @@ class LiveEnrich:
     A verification is matched against the dimension rows present when its batch runs
     (a replicated table's semantics at micro-batch grain). Inside foreachBatch the join
     is a batch plan, so AQE sizes it (broadcast or shuffle, skew split) per batch.
+    With ``by`` the batch is counted per user before it is written (eager aggregation),
+    so the relay holds one row per user and batch instead of a copy of every fact.
     """
 
     def __init__(self, load_dims: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
-                 relay: str):
-        self.load_dims, self.relay = load_dims, relay
+                 relay: str, by: str | None = None):
+        self.load_dims, self.relay, self.by = load_dims, relay, by
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         cards, users = self.load_dims(batch.sparkSession)
-        enrich(cards, batch, users).write.mode("overwrite").parquet(
-            batch_path(self.relay, batch_id))
+        if self.by:
+            out = verified_users(cards, batch, users, by=self.by)
+        else:
+            out = enrich(cards, batch, users)
+        out.write.mode("overwrite").parquet(batch_path(self.relay, batch_id))
 
 
 def run_live(facts: DataFrame, load_dims: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
-             relay: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Enrich each batch against freshly read dimensions into ``relay/batch_id=n``.
+             relay: str, checkpoint: str, trigger: dict | None = None,
+             by: str | None = None) -> StreamingQuery:
+    """Enrich (``by=None``) or count (``by="id"|"name"|"id_and_name"``) each batch against
+    freshly read dimensions into ``relay/batch_id=n``.
 
-    Count the relay with a batch job (``enriched_counts(spark.read.parquet(relay))``): its
-    batch folders may be rewritten on replay, which a file stream would count twice.
+    Read the result with a batch job (``combine_counts`` for counts): batch folders may be
+    rewritten on replay, which a file stream would count twice.
     """
-    w = facts.writeStream.foreachBatch(LiveEnrich(load_dims, relay))
+    w = facts.writeStream.foreachBatch(LiveEnrich(load_dims, relay, by))
     return _start(w, checkpoint, trigger)
+
+
+def combine_counts(spark: SparkSession, relay: str, by: str, threshold: int | None = None,
+                   out: str = "counts") -> DataFrame:
+    """Sum per-batch counts written by ``run_live(..., by=...)`` and apply the threshold."""
+    from tristar.operators.counts import BY
+    group, carry = BY[by]
+    parts = spark.read.parquet(relay).drop("batch_id")
+    res = parts.groupBy(*group).agg(*[getattr(F, fn)(c).alias(c) for c, fn in carry.items()],
+                                    F.sum(out).cast("bigint").alias(out))
+    return res if threshold is None else res.filter(F.col(out) > F.lit(threshold))

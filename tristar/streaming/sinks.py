@@ -52,7 +52,7 @@ class RetractSink:
         batch.write.mode("overwrite").parquet(batch_path(self.snapshots, batch_id))
         cur = spark.read.parquet(batch_path(self.snapshots, batch_id))
         if batch_id > 0:
-            prev = spark.read.parquet(batch_path(self.snapshots, batch_id - 1))
+            prev = spark.read.schema(cur.schema).parquet(batch_path(self.snapshots, batch_id - 1))
         else:
             prev = spark.createDataFrame([], cur.schema)
         v, k = self.value, self.key
