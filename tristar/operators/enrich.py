@@ -16,16 +16,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
-    """Mark ``dim`` for broadcast only if it has at most ``max_rows`` rows.
+def fits_rows(dim: DataFrame, max_rows: int) -> bool:
+    """Whether ``dim`` has at most ``max_rows`` rows: a proof, not an estimate.
 
-    The check reads at most ``max_rows + 1`` rows, so it is cheap and it is a proof: past
-    the bound the dimension is returned unmarked and the join shuffles instead.
+    ``count()`` is a map-side partial aggregate (one number per task; a parquet scan reads
+    no columns for it), so the check stays cheap and distributed on any size. A
+    ``limit(n).count()`` would instead funnel up to n rows per partition into one task.
     """
+    return dim.count() <= max_rows
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
+    """Mark ``dim`` for broadcast only if it has at most ``max_rows`` rows; past the bound
+    it is returned unmarked and the join shuffles instead."""
     if max_rows is None or dim.isStreaming:
         return dim
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if fits_rows(dim, max_rows) else dim
 
 
 def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
@@ -40,8 +46,7 @@ def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
     import uuid
 
     from tristar.session import scratch_dir
-    if max_broadcast_rows is not None and dim.limit(max_broadcast_rows + 1).count() \
-            <= max_broadcast_rows:
+    if max_broadcast_rows is not None and fits_rows(dim, max_broadcast_rows):
         return F.broadcast(dim)
     spark = dim.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
