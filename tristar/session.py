@@ -52,16 +52,24 @@ def get_session(master: str | None = None, app: str = "tristar",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared work folder, setting a private one only when none is configured."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tristar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+    """Return the shared work folder: ``spark.checkpoint.dir`` when the session names one.
+
+    Only when none is configured (a laptop, a test run) is a private temporary folder made
+    and registered as the context's checkpoint folder; ``spark.checkpoint.dir`` itself
+    cannot be changed on a running session.
+    """
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
+    if base:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base)
+        return base
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tristar-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
