@@ -54,3 +54,9 @@ def test_value_counts_sorts_only_the_aggregate(spark):
     plan = plan_text(QUERIES["value_counts"](spark, SF001))
     sort_line = [ln for ln in plan.splitlines() if "Exchange rangepartitioning" in ln]
     assert len(sort_line) == 1
+
+
+def test_event_json_is_parsed_once(spark):
+    plan = plan_text(QUERIES["events_verified_users"](spark, SF001))
+    assert count_nodes(plan, "json_tuple(props") == 1
+    assert "from_json" not in plan

@@ -84,3 +84,15 @@ def test_time_helpers_ignore_session_time_zone(spark):
         assert got == [(1735689540, 1735689540250000)] * 3
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_event_props_permissive_and_failfast(spark):
+    from tristar.sources.roles import verifications_from_events
+    ev = spark.createDataFrame(
+        [(1, None, 5, '{"k": 3}'), (2, None, 5, '{"k": "7"}'), (3, None, 5, "{bad"),
+         (4, None, 5, None), (5, None, 5, '{"k": 1.5, "x": 1}')],
+        "event_id long, ts timestamp_ntz, user_id long, props string")
+    got = [tuple(r) for r in verifications_from_events(ev).select("id", "card_id").collect()]
+    assert got == [(1, 3), (2, 7), (3, None), (4, None), (5, None)]
+    with pytest.raises(Exception):
+        verifications_from_events(ev, mode="FAILFAST").collect()

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,14 +83,23 @@ def verifications_from_lineitem(lineitem: DataFrame) -> DataFrame:
                            F.col("l_suppkey").alias("verified_by"))
 
 
-def event_card(props: Column | str = "props", mode: str = "PERMISSIVE") -> Column:
-    """Card id carried in an event's JSON ``props`` (``{"k": n}``) as INT."""
-    return decode_column(props, EVENT_PROPS_SCHEMA, mode=mode).getField("k")
-
-
 def verifications_from_events(events: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
-    return events.select(F.col("event_id").alias("id"),
-                         event_card("props", mode).alias("card_id"),
+    """Events as verifications; the card id is ``k`` of the JSON ``props`` (``{"k": n}``).
+
+    PERMISSIVE reads ``k`` with ``json_tuple`` and ``try_cast`` to INT: bad JSON or a
+    non-integer ``k`` gives null (the row then drops out of the inner join). ``json_tuple``
+    is a generator, so the text is parsed once per row; a ``from_json`` column would be
+    parsed twice, once for the null filter Catalyst infers from the join and once for the
+    projection. FAILFAST decodes with ``from_json`` and fails the job on malformed text.
+    """
+    if mode.upper() == "FAILFAST":
+        card = decode_column("props", EVENT_PROPS_SCHEMA, mode="FAILFAST").getField("k")
+        return events.select(F.col("event_id").alias("id"), card.alias("card_id"),
+                             F.col("ts").alias("verification_date"),
+                             F.col("user_id").alias("verified_by"))
+    parsed = events.select("event_id", "ts", "user_id", F.json_tuple("props", "k").alias("__k"))
+    return parsed.select(F.col("event_id").alias("id"),
+                         F.col("__k").try_cast("int").alias("card_id"),
                          F.col("ts").alias("verification_date"),
                          F.col("user_id").alias("verified_by"))
 
