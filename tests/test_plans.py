@@ -60,3 +60,12 @@ def test_event_json_is_parsed_once(spark):
     plan = plan_text(QUERIES["events_verified_users"](spark, SF001))
     assert count_nodes(plan, "json_tuple(props") == 1
     assert "from_json" not in plan
+
+
+def test_keyed_records_are_parsed_once(spark, tmp_path):
+    from tests.conftest import SF0001
+    from tristar.sources import event_star
+    from tristar.streaming import keyed_star_streams, publish_star, stream_join
+    paths = publish_star(event_star(spark, SF0001), str(tmp_path))
+    plan = plan_text(stream_join(keyed_star_streams(spark, paths)))
+    assert plan.count("from_json(") == 3        # one decode per stream, none in filters

@@ -51,7 +51,12 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value", mode: str
     cols = [F.col(c) for c in keep]
     if timestamp_as:
         cols.append(F.col("timestamp").alias(timestamp_as))
-    out = df.select(*cols, decode_column(value, schema, mode).alias(record))
+    # A one-element explode makes the decode a generator: filters Catalyst infers on the
+    # decoded fields (e.g. a join key IS NOT NULL) stay above it, so the text is parsed
+    # once per record instead of once in the filter and again in the projection. A null
+    # struct (tombstone) still yields its row.
+    parsed = F.explode(F.array(decode_column(value, schema, mode))).alias(record)
+    out = df.select(*cols, parsed)
     if expand:
         out = out.select(*[F.col(c) for c in out.columns if c != record], f"{record}.*")
     return out
