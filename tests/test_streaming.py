@@ -274,3 +274,15 @@ def test_salted_stream_join_equals_plain(spark, tmp_dir):
     a, b = spark.read.parquet(plain), spark.read.parquet(salted)
     assert a.count() > 0
     assert rows_of(a) == rows_of(b)
+
+
+def test_run_sql_leaves_no_views(spark, chunked_events, tmp_dir):
+    cards, users = dims(spark)
+    views = {"sql_v": event_fact_stream(spark, chunked_events), "sql_c": cards, "sql_u": users}
+    sql = ("SELECT u.user_id, u.user_name, COUNT(*) AS counts FROM sql_v v JOIN sql_c c "
+           "ON c.card_id = v.card_id JOIN sql_u u ON v.verified_by = u.user_id "
+           "GROUP BY u.user_id, u.user_name")
+    run_sql(spark, views, sql, f"{tmp_dir}/out", f"{tmp_dir}/ckpt",
+            trigger=BOUNDED).awaitTermination()
+    names = {t.name for t in spark.catalog.listTables()}
+    assert not names & set(views)

@@ -38,3 +38,10 @@ def test_save_table_replaces(spark, tmp_path):
     path = str(tmp_path / "enriched")
     save_table(spark.range(3), path)
     assert save_table(spark.range(5), path).count() == 5
+
+
+def test_scale_conf():
+    from tristar.session import scale_conf
+    c = scale_conf(100 * (1 << 40), 8000)            # 100 TiB on 8,000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"

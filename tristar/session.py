@@ -51,6 +51,31 @@ def get_session(master: str | None = None, app: str = "tristar",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Starting settings for a cluster run, from the input size and the core count.
+
+    * scan splits of ``target_partition_bytes`` (fewer, fuller tasks than 128 MB splits);
+    * an initial shuffle partition count large enough that no reducer gets more than the
+      target if the whole input were shuffled, and at least two waves of tasks; AQE then
+      coalesces small partitions to the advisory size and splits skewed ones;
+    * skew thresholds at the same size, so a reducer over it (a hot key) is split.
+
+    For a streaming job the shuffle partition count is fixed by its first start (it
+    names the state store partitions); size it for the expected state, not the input.
+    """
+    splits = -(-input_bytes // target_partition_bytes)
+    shuffle = max(2 * total_cores, splits)
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared work folder: ``spark.checkpoint.dir`` when the session names one.
 
@@ -91,4 +116,4 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_dir", "write_stage"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scale_conf", "scratch_dir", "write_stage"]

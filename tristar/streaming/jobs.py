@@ -164,10 +164,18 @@ def run_retract(counts: DataFrame, key: Sequence[str], snapshots: str, changelog
 
 def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str,
             checkpoint: str, mode: str = "update", trigger: dict | None = None) -> StreamingQuery:
-    """SQL text over named (streaming and static) DataFrames, written per batch."""
+    """SQL text over named (streaming and static) DataFrames, written per batch.
+
+    The names exist only while the text is analysed; the analysed plan holds the
+    DataFrames, so the temporary views are dropped again before the query starts.
+    """
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    result = spark.sql(sql)
+    try:
+        result = spark.sql(sql)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
     w = result.writeStream.outputMode(mode).foreachBatch(BatchDirSink(out))
     return _start(w, checkpoint, trigger)
 
