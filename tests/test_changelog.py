@@ -72,3 +72,20 @@ def test_retraction_fixture(spark):
     got = [tuple(r) for r in retract_changelog(df, "user_id", "event_id", 1)
            .orderBy("event_id", "is_add").collect()]
     assert got == [(2, 1, True, 2), (3, 1, False, 2), (3, 1, True, 3)]
+
+
+def test_negative_and_huge_orders(spark):
+    big = (1 << 62) + 5
+    rows = [(-7, 1), (-1, 1), (0, 1), (3, 1), (big, 1), (big - 1, 1), (big, 1), (-7, 2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = running_counts(df, "user_id", "event_id", block=4, chunk=1)
+    ref = brute(df, 0)
+    assert multiset(got, ["user_id", "event_id", "counts"]) == \
+        multiset(ref, ["user_id", "event_id", "n"])
+
+
+def test_order_must_be_integral(spark):
+    import pytest
+    df = spark.createDataFrame([(1.5, 1)], "event_id double, user_id long")
+    with pytest.raises(TypeError):
+        running_counts(df, "user_id", "event_id")

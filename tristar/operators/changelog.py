@@ -25,7 +25,7 @@ exactly as ``row_number`` gives them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tristar.session import write_stage
@@ -34,12 +34,27 @@ DEFAULT_BLOCK = 1 << 20
 DEFAULT_CHUNK = 1 << 16
 
 
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def _floor_div(c: str, n: int) -> Column:
+    """Exact floor(c / n) on integers (no trip through double)."""
+    x = f"CAST(`{c}` AS BIGINT)"
+    return F.expr(f"({x} - pmod({x}, {int(n)})) div {int(n)}")
+
+
 def _ranges(df: DataFrame, key: str, order: str, block: int) -> tuple[DataFrame, int]:
     """Distinct (key, order) rows with their running-count range [__lo, __hi], and the
     largest multiplicity (one scalar read of the written table)."""
+    kind = dict(df.dtypes)[order]
+    if kind not in INTEGRAL:
+        raise TypeError(f"order column {order!r} must be integral, not {kind}; "
+                        "use an id or epoch seconds/micros")
+    if block < 1:
+        raise ValueError("block must be >= 1")
     d = (df.select(key, order).filter(F.col(key).isNotNull() & F.col(order).isNotNull())
            .groupBy(key, order).agg(F.count(F.lit(1)).alias("__m"))
-           .withColumn("__b", F.floor(F.col(order) / F.lit(block)).cast("bigint")))
+           .withColumn("__b", _floor_div(order, block)))
     # Both branches below read the distinct rows; writing them once keeps the source scan
     # and joins to a single pass (Catalyst would plan them twice).
     d = write_stage(d, "running-counts")
@@ -70,7 +85,7 @@ def _expand(r: DataFrame, key: str, order: str, extra: list[str], out: str,
     if not spread:
         return r.select(key, order, *extra,
                         F.explode(F.sequence("__x", "__y")).alias(out))
-    n_chunks = F.floor((F.col("__y") - F.col("__x")) / F.lit(chunk)).cast("bigint")
+    n_chunks = F.expr(f"(__y - __x) div {int(chunk)}")
     c = r.select(key, order, *extra, "__x", "__y",
                  F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks)).alias("__c"))
     c = c.repartition(key, order, "__c")
