@@ -286,3 +286,39 @@ def test_run_sql_leaves_no_views(spark, chunked_events, tmp_dir):
             trigger=BOUNDED).awaitTermination()
     names = {t.name for t in spark.catalog.listTables()}
     assert not names & set(views)
+
+
+class _CrashAfterWrite:
+    """A sink that writes batch 1 and then fails before the batch commits."""
+
+    def __init__(self, out):
+        from tristar.streaming import BatchDirSink
+        self.inner = BatchDirSink(out)
+
+    def __call__(self, batch, batch_id):
+        self.inner(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("simulated loss after the write")
+
+
+def test_replayed_batch_is_idempotent(spark, chunked_events, tmp_dir):
+    from pyspark.errors import StreamingQueryException
+
+    from tristar.streaming import BatchDirSink
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    cards, users = dims(spark)
+    facts = event_fact_stream(spark, chunked_events, max_files=1)
+    counts = enriched_counts(stream_enriched(facts, cards, users), by="id_and_name")
+    q = (counts.writeStream.outputMode("update").foreachBatch(_CrashAfterWrite(out))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    # restart on the same checkpoint: batch 1 runs again and overwrites its own folder
+    q = (counts.writeStream.outputMode("update").foreachBatch(BatchDirSink(out))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.recentProgress[0]["batchId"] == 1
+    log = spark.read.parquet(out)
+    assert log.groupBy("batch_id", "user_id").count().filter("count > 1").count() == 0
+    want = verified_users(*event_star(spark, SF0001), by="id_and_name")
+    assert rows_of(read_final_state(spark, out, ["user_id", "user_name"])) == rows_of(want)

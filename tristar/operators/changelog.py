@@ -32,8 +32,6 @@ from tristar.session import write_stage
 
 DEFAULT_BLOCK = 1 << 20
 DEFAULT_CHUNK = 1 << 16
-
-
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
