@@ -36,7 +36,7 @@ CONTINUOUS = {"processingTime": "1 second"}
 BOUNDED = {"availableNow": True}
 
 # Broadcast a static dimension in a stream-static join only under this many rows;
-# beyond it the dimension joins by shuffle (AQE does not run inside a streaming plan).
+# beyond it the dimension becomes a bucketed table (AQE does not run in a streaming plan).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 # The wire schemas of the keyed JSON records (field names as published).
