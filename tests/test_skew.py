@@ -24,10 +24,11 @@ def skewed_star(spark, n=120_000):
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("card_id"),
         F.lit(None).cast("timestamp_ntz").alias("verification_date"),
         F.when(F.col("id") % 3 == 1, F.lit(3)).otherwise(F.col("id") % 50).alias("verified_by"))
+    name = F.col("id").cast("string")
     cards = spark.range(1000).select(F.col("id").alias("card_id"),
-                                     F.concat(F.lit("t"), F.col("id").cast("string")).alias("title"))
+                                     F.concat(F.lit("t"), name).alias("title"))
     users = spark.range(50).select(F.col("id").alias("user_id"),
-                                   F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_name"))
+                                   F.concat(F.lit("u"), name).alias("user_name"))
     return cards, facts, users
 
 

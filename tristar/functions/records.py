@@ -90,7 +90,8 @@ def rename_all(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def require_schema(df: DataFrame, schema: T.StructType, exact_nullability: bool = False) -> DataFrame:
+def require_schema(df: DataFrame, schema: T.StructType,
+                   exact_nullability: bool = False) -> DataFrame:
     """Fail fast at job start if ``df`` lacks a field of ``schema`` or has it with another type.
 
     Extra columns are allowed; this is the typed-view check of a Dataset, for Python.

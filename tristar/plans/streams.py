@@ -14,7 +14,8 @@ from tristar.sources.roles import (
 )
 from tristar.sources.tables import latest_by_key
 from tristar.streaming.jobs import (
-    BOUNDED, combine_counts, event_fact_stream, keyed_star_streams, publish_star, run_live, run_relay,
+    BOUNDED, combine_counts, event_fact_stream, keyed_star_streams, publish_star, run_live,
+    run_relay,
     run_snapshot, run_sql, run_stream_join, run_updates, stream_enriched,
 )
 from tristar.streaming.sinks import read_final_state, read_latest_snapshot

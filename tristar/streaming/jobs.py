@@ -182,7 +182,16 @@ def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str
 
 # ---- stream-stream join and relay -------------------------------------------------------
 
-RELAY_COLUMNS = ["verification_id", "card_id", "card_title", "user_id", "user_name"]
+RELAY_COLUMNS = ["verification_id", "card_id", "card_title", "user_id", "user_name",
+                 "verification_ts"]
+RELAY_SCHEMA = T.StructType([
+    T.StructField("verification_id", T.LongType()),
+    T.StructField("card_id", T.LongType()),
+    T.StructField("card_title", T.StringType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("user_name", T.StringType()),
+    T.StructField("verification_ts", T.TimestampType()),
+])
 
 
 def stream_join(streams: Star, salt: int = 1) -> DataFrame:
@@ -208,7 +217,8 @@ def stream_join(streams: Star, salt: int = 1) -> DataFrame:
         joined = cards.join(ver, "card_id").join(
             users, F.col("verified_by") == F.col("user_id"))
     return joined.select(F.col("id").alias("verification_id"), "card_id",
-                         F.col("title").alias("card_title"), "user_id", "user_name")
+                         F.col("title").alias("card_title"), "user_id", "user_name",
+                         "verification_ts")
 
 
 def run_stream_join(streams: Star, relay: str, checkpoint: str,
@@ -235,15 +245,40 @@ def run_stream_join(streams: Star, relay: str, checkpoint: str,
     return _start(w, checkpoint, trigger)
 
 
+def relay_stream(spark: SparkSession, relay: str, kind: str = "files",
+                 max_files: int | None = None, dedup_within: str | None = None,
+                 options: dict[str, str] | None = None) -> DataFrame:
+    """The relay as a stream of joined rows.
+
+    With ``dedup_within`` (e.g. ``"1 hour"``) a row whose ``verification_id`` was already
+    seen is dropped: ``dropDuplicatesWithinWatermark`` on the verification's event time,
+    so a batch the relay delivered twice (an at-least-once Kafka sink after a failure) is
+    counted once, and the de-duplication state only keeps ids within the watermark delay.
+    """
+    if kind == "files":
+        reader = spark.readStream.schema(RELAY_SCHEMA)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", str(max_files))
+        rows = reader.parquet(relay)
+    elif kind == "kafka":
+        wire = keyed_source(spark, "kafka", relay, options=options)
+        rows = decode(wire, RELAY_SCHEMA, keep=())
+    else:
+        raise ValueError(f"unknown relay kind {kind!r}")
+    if dedup_within:
+        rows = (rows.withWatermark("verification_ts", dedup_within)
+                    .dropDuplicatesWithinWatermark(["verification_id"]))
+    return rows
+
+
 def run_relay(spark: SparkSession, relay: str, out: str, checkpoint: str, threshold: int,
               by: str = "name", max_files: int | None = None,
-              trigger: dict | None = None) -> StreamingQuery:
+              trigger: dict | None = None, kind: str = "files",
+              dedup_within: str | None = None,
+              options: dict[str, str] | None = None) -> StreamingQuery:
     """Second stage: count the relay per user (complete mode), keep counts > threshold."""
-    schema = spark.read.parquet(relay).schema
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    counts = enriched_counts(reader.parquet(relay), by=by, threshold=threshold)
+    rows = relay_stream(spark, relay, kind, max_files, dedup_within, options)
+    counts = enriched_counts(rows, by=by, threshold=threshold)
     return run_snapshot(counts, out, checkpoint, trigger)
 
 
