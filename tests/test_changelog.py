@@ -89,3 +89,17 @@ def test_order_must_be_integral(spark):
     df = spark.createDataFrame([(1.5, 1)], "event_id double, user_id long")
     with pytest.raises(TypeError):
         running_counts(df, "user_id", "event_id")
+
+
+def test_direct_and_collapsed_paths_agree(spark):
+    df = spark.createDataFrame(skewed_rows(9), SCHEMA)
+    ref = multiset(brute(df.dropna(), 0), ["user_id", "event_id", "n"])
+    for limit in (1, 10 ** 9):                  # 1 forces the collapsed path
+        got = running_counts(df, "user_id", "event_id", block=16, chunk=5, group_limit=limit)
+        assert multiset(got, ["user_id", "event_id", "counts"]) == ref, limit
+        k = 30
+        rc = retract_changelog(df, "user_id", "event_id", k, block=16, chunk=5,
+                               group_limit=limit)
+        adds = sorted((e, u, True, n) for u, e, n in ref if n > k)
+        rets = sorted((e, u, False, n - 1) for u, e, n in ref if n - 1 > k)
+        assert multiset(rc, ["event_id", "user_id", "is_add", "counts"]) == sorted(adds + rets)

@@ -9,16 +9,19 @@ For every input row of a key, in ``order``, the running count n of that key is:
 A plain ``row_number() OVER (PARTITION BY key ORDER BY order)`` would put every row of a
 hot key in one task. ``running_counts`` computes the same numbers with bounded groups:
 
-1. rows are counted per distinct ``(key, order)`` (map-side combine, so a pile of copies
-   of one row becomes one row with multiplicity m) and written once to the shared folder;
-2. ``order`` is cut into blocks of ``block`` consecutive values; a window runs inside each
-   ``(key, block)``, which holds at most ``block`` distinct rows;
-3. block totals are prefix-summed per key (one small row per block) and joined back;
-4. each distinct row now knows its count range [lo, hi] (hi - lo + 1 = m) and is expanded
-   to m rows; ranges longer than ``chunk`` are cut into chunks that are shuffled apart
-   before expanding, so a huge group of copies is expanded by many tasks.
-
-Only values above the threshold are ever materialised. ``order`` must be integral (ids,
+1. ``(key, order, block)`` is written once to the shared folder (``block`` = ``order``
+   cut into runs of ``block`` consecutive values; this pass also cuts the lineage);
+2. rows are counted per ``(key, block)`` (map-side combine: few distinct pairs), and the
+   block totals are prefix-summed per key (one small row per block);
+3. if no ``(key, block)`` holds more than ``group_limit`` rows (the usual case), the count
+   of a row is its block prefix plus its ``row_number`` inside ``(key, block)``;
+4. otherwise some block holds piles of copies: rows are first collapsed per distinct
+   ``(key, order)`` with a multiplicity m (copies combine map-side), the window runs over
+   distinct rows (at most ``block`` per group), and each distinct row's count range
+   [lo, hi] is expanded back to m rows, long ranges cut into chunks that are shuffled
+   apart so one huge pile is expanded by many tasks.
+
+Only values above the threshold are materialised. ``order`` must be integral (ids,
 epoch seconds). Ties in ``order`` within a key get consecutive counts in arbitrary order,
 exactly as ``row_number`` gives them.
 """
@@ -41,48 +44,59 @@ def _floor_div(c: str, n: int) -> Column:
     return F.expr(f"({x} - pmod({x}, {int(n)})) div {int(n)}")
 
 
-def _ranges(df: DataFrame, key: str, order: str, block: int) -> tuple[DataFrame, int]:
-    """Distinct (key, order) rows with their running-count range [__lo, __hi], and the
-    largest multiplicity (one scalar read of the written table)."""
+def _stage(df: DataFrame, key: str, order: str, block: int):
+    """Write ``(key, order, __b)`` once; return it, the per-key block prefixes, and the
+    largest ``(key, block)`` group (one scalar)."""
     kind = dict(df.dtypes)[order]
     if kind not in INTEGRAL:
         raise TypeError(f"order column {order!r} must be integral, not {kind}; "
                         "use an id or epoch seconds/micros")
     if block < 1:
         raise ValueError("block must be >= 1")
-    d = (df.select(key, order).filter(F.col(key).isNotNull() & F.col(order).isNotNull())
-           .groupBy(key, order).agg(F.count(F.lit(1)).alias("__m"))
-           .withColumn("__b", _floor_div(order, block)))
-    # Both branches below read the distinct rows; writing them once keeps the source scan
-    # and joins to a single pass (Catalyst would plan them twice).
-    d = write_stage(d, "running-counts")
-    max_m = d.agg(F.max("__m")).first()[0] or 0
+    rows = (df.select(key, order).filter(F.col(key).isNotNull() & F.col(order).isNotNull())
+              .withColumn("__b", _floor_div(order, block)))
+    rows = write_stage(rows, "running-counts")
+    # One small row per (key, block), written too: the size check and the final plan
+    # then read it instead of aggregating the large table twice.
+    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = write_stage(
+        rows.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__bt"))
+            .withColumn("__before", F.coalesce(F.sum("__bt").over(before), F.lit(0))
+                        .cast("bigint")), "running-count-blocks")
+    biggest = blocks.agg(F.max("__bt")).first()[0] or 0
+    return rows, blocks.select(key, "__b", "__before"), int(biggest)
+
+
+def _direct(rows: DataFrame, prefix: DataFrame, key: str, order: str) -> DataFrame:
+    """``(key, order, __n)`` with ``row_number`` inside bounded ``(key, block)`` groups."""
+    inside = Window.partitionBy(key, "__b").orderBy(order)
+    return (rows.withColumn("__rn", F.row_number().over(inside))
+                .join(prefix, [key, "__b"])
+                .select(key, order, (F.col("__before") + F.col("__rn")).cast("bigint")
+                        .alias("__n")))
+
+
+def _ranges(rows: DataFrame, prefix: DataFrame, key: str, order: str) -> DataFrame:
+    """Distinct (key, order) rows with their running-count range [__lo, __hi]."""
+    d = rows.groupBy(key, order, "__b").agg(F.count(F.lit(1)).alias("__m"))
     inside = Window.partitionBy(key, "__b").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    d_in = d.withColumn("__cum", F.sum("__m").over(inside))
-    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (d.groupBy(key, "__b").agg(F.sum("__m").alias("__bt"))
-               .select(key, "__b", F.coalesce(F.sum("__bt").over(before), F.lit(0))
-                       .alias("__before")))
-    r = (d_in.join(blocks, [key, "__b"])
-             .select(key, order, "__m",
-                     (F.col("__before") + F.col("__cum")).cast("bigint").alias("__hi"))
+    return (d.withColumn("__cum", F.sum("__m").over(inside))
+             .join(prefix, [key, "__b"])
+             .select(key, order,
+                     (F.col("__before") + F.col("__cum")).cast("bigint").alias("__hi"),
+                     F.col("__m"))
              .withColumn("__lo", F.col("__hi") - F.col("__m") + 1))
-    return r, int(max_m)
 
 
 def _expand(r: DataFrame, key: str, order: str, extra: list[str], out: str,
-            chunk: int, spread: bool) -> DataFrame:
+            chunk: int) -> DataFrame:
     """One row per integer of [__x, __y] for each range row.
 
-    Without ``spread`` (every range fits one chunk: the usual case) ranges expand in
-    place. With it, ranges are cut into chunks of ``chunk`` values and the chunk rows are
-    shuffled apart first, so one huge range (a hot pile of copies) is expanded by many tasks.
+    Ranges are cut into chunks of ``chunk`` values and the chunk rows are shuffled apart
+    before expanding, so one huge range (a pile of copies) is expanded by many tasks.
     """
     r = r.filter(F.col("__x") <= F.col("__y"))
-    if not spread:
-        return r.select(key, order, *extra,
-                        F.explode(F.sequence("__x", "__y")).alias(out))
     n_chunks = F.expr(f"(__y - __x) div {int(chunk)}")
     c = r.select(key, order, *extra, "__x", "__y",
                  F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks)).alias("__c"))
@@ -94,38 +108,43 @@ def _expand(r: DataFrame, key: str, order: str, extra: list[str], out: str,
 
 def running_counts(df: DataFrame, key: str, order: str, min_count: int = 1,
                    block: int = DEFAULT_BLOCK, chunk: int = DEFAULT_CHUNK,
-                   out: str = "counts") -> DataFrame:
+                   out: str = "counts", group_limit: int | None = None) -> DataFrame:
     """``(key, order, out)``: one row per input row whose running count is ``>= min_count``."""
-    r, max_m = _ranges(df, key, order, block)
-    r = r.select(key, order,
-                 F.greatest(F.col("__lo"), F.lit(min_count).cast("bigint")).alias("__x"),
-                 F.col("__hi").alias("__y"))
-    return _expand(r, key, order, [], out, chunk, spread=max_m > chunk)
+    rows, prefix, biggest = _stage(df, key, order, block)
+    if biggest <= (group_limit or 2 * block):
+        n = _direct(rows, prefix, key, order)
+        return n.filter(F.col("__n") >= min_count).select(key, order, F.col("__n").alias(out))
+    r = _ranges(rows, prefix, key, order).select(
+        key, order, F.greatest(F.col("__lo"), F.lit(min_count).cast("bigint")).alias("__x"),
+        F.col("__hi").alias("__y"))
+    return _expand(r, key, order, [], out, chunk)
 
 
 def running_updates(df: DataFrame, key: str, order: str, threshold: int,
                     block: int = DEFAULT_BLOCK, chunk: int = DEFAULT_CHUNK,
-                    out: str = "counts") -> DataFrame:
+                    out: str = "counts", group_limit: int | None = None) -> DataFrame:
     """The update stream of a count per ``key``, filtered ``> threshold``: ``(order, key, out)``."""
-    res = running_counts(df, key, order, threshold + 1, block, chunk, out)
+    res = running_counts(df, key, order, threshold + 1, block, chunk, out, group_limit)
     return res.select(order, key, out)
 
 
 def retract_changelog(df: DataFrame, key: str, order: str, threshold: int,
                       block: int = DEFAULT_BLOCK, chunk: int = DEFAULT_CHUNK,
-                      out: str = "counts", flag: str = "is_add") -> DataFrame:
+                      out: str = "counts", flag: str = "is_add",
+                      group_limit: int | None = None) -> DataFrame:
     """``(order, key, flag, out)``: per row, add n if n > k and retract n - 1 if n - 1 > k.
 
-    Adds cover [lo, hi] and retracts [lo - 1, hi - 1] of each range; both are expanded in
-    one pass (a two-element flag array), so the ranges are computed once.
+    Both messages of a row come from one pass (a two-element flag array).
     """
-    k1 = F.lit(threshold + 1).cast("bigint")
+    rows, prefix, biggest = _stage(df, key, order, block)
     shift = F.when(F.col(flag), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
-    r, max_m = _ranges(df, key, order, block)
-    r = (r.select(key, order, "__lo", "__hi",
-                 F.explode(F.array(F.lit(True), F.lit(False))).alias(flag))
-         .select(key, order, flag,
-                 F.greatest(F.col("__lo") - shift, k1).alias("__x"),
+    flags = F.explode(F.array(F.lit(True), F.lit(False))).alias(flag)
+    if biggest <= (group_limit or 2 * block):
+        n = _direct(rows, prefix, key, order).select(key, order, "__n", flags)
+        return (n.select(order, key, flag, (F.col("__n") - shift).alias(out))
+                 .filter(F.col(out) > threshold))
+    k1 = F.lit(threshold + 1).cast("bigint")
+    r = (_ranges(rows, prefix, key, order).select(key, order, "__lo", "__hi", flags)
+         .select(key, order, flag, F.greatest(F.col("__lo") - shift, k1).alias("__x"),
                  (F.col("__hi") - shift).alias("__y")))
-    return _expand(r, key, order, [flag], out, chunk, spread=max_m > chunk).select(
-        order, key, flag, out)
+    return _expand(r, key, order, [flag], out, chunk).select(order, key, flag, out)
