@@ -25,6 +25,10 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # State stores of finished queries are unloaded at the next maintenance pass; bounded
+    # (availableNow) jobs run back to back would otherwise pile up loaded RocksDB
+    # instances for a minute each (measured: the relay job went from 5 s to 14 s).
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
 }
 
 
