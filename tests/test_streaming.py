@@ -343,3 +343,31 @@ def test_relay_dedup_counts_a_replayed_batch_once(spark, tmp_dir):
         counted[dedup] = sorted(tuple(r) for r in read_latest_snapshot(spark, out).collect())
     assert counted["1 hour"] == [("u0", 10), ("u1", 10), ("u2", 10)]
     assert counted[None] == [("u0", 20), ("u1", 20), ("u2", 20)]
+
+
+def test_live_dimensions_from_keyed_records_update_and_tombstone(spark, tmp_dir):
+    from tristar.sources import keyed_table, read_keyed
+    from tristar.streaming import combine_counts
+    from tristar.streaming.jobs import CARD_WIRE, USER_WIRE
+    topics = {r: f"{tmp_dir}/{r}" for r in ("cards", "users")}
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    write_keyed(spark, topics["cards"], [("1", {"cardId": 1, "cardTitle": "a"}, t0)])
+    write_keyed(spark, topics["users"], [
+        ("7", {"userId": 7, "userName": "ann"}, t0), ("7", {"userId": 7, "userName": "bob"}, t1),
+        ("8", {"userId": 8, "userName": "cy"}, t0), ("8", None, t1)])      # 8 deleted
+
+    def load(s):
+        return (keyed_table(read_keyed(s, topics["cards"]), CARD_WIRE,
+                            {"cardId": "card_id", "cardTitle": "title"}),
+                keyed_table(read_keyed(s, topics["users"]), USER_WIRE,
+                            {"userId": "user_id", "userName": "user_name"}))
+
+    schema = "id long, card_id long, verified_by long"
+    spark.createDataFrame([(1, 1, 7), (2, 1, 7), (3, 1, 8), (4, 2, 7)], schema) \
+        .write.parquet(f"{tmp_dir}/facts")
+    facts = spark.readStream.schema(schema).parquet(f"{tmp_dir}/facts")
+    run_live(facts, load, f"{tmp_dir}/relay", f"{tmp_dir}/ckpt", BOUNDED,
+             by="id_and_name").awaitTermination()
+    got = [tuple(r) for r in combine_counts(spark, f"{tmp_dir}/relay", "id_and_name")
+           .select("user_id", "user_name", "counts").collect()]
+    assert got == [(7, "bob", 2)]     # latest name; deleted user and unknown card dropped

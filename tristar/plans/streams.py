@@ -5,18 +5,17 @@ returns the job's output read back as a batch DataFrame, so it compares with SQL
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tristar.operators.counts import enriched_counts
 from tristar.session import scratch_dir
+from tristar.sources.keyed import keyed_table, read_keyed
 from tristar.sources.roles import (
     EVENT_THRESHOLD, Star, cards_from_part, event_star, read_table, users_from_customer,
 )
-from tristar.sources.tables import latest_by_key
 from tristar.streaming.jobs import (
-    BOUNDED, combine_counts, event_fact_stream, keyed_star_streams, publish_star, run_live,
-    run_relay,
-    run_snapshot, run_sql, run_stream_join, run_updates, stream_enriched,
+    BOUNDED, CARD_WIRE, USER_WIRE, combine_counts, event_fact_stream, keyed_star_streams,
+    publish_star, run_live, run_relay, run_snapshot, run_sql, run_stream_join, run_updates,
+    stream_enriched,
 )
 from tristar.streaming.sinks import read_final_state, read_latest_snapshot
 
@@ -85,20 +84,25 @@ def q_two_stage_relay(spark: SparkSession, sf: str) -> DataFrame:
     return read_latest_snapshot(spark, f"{run}/out").select("user_name", "counts")
 
 
-def _live_dims(sf: str):
+def _live_dims(topics: dict[str, str]):
+    """Dimensions as replicated tables: the keyed record logs re-read per micro-batch,
+    latest record per key, tombstones deleting."""
     def load(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-        cards, users = _dims(spark, sf)
-        # A dimension read as a changelog: newest row per key wins.
-        return (latest_by_key(cards.withColumn("__v", F.lit(0)), "card_id", "__v").drop("__v"),
-                latest_by_key(users.withColumn("__v", F.lit(0)), "user_id", "__v").drop("__v"))
+        cards = keyed_table(read_keyed(spark, topics["cards"]), CARD_WIRE,
+                            {"cardId": "card_id", "cardTitle": "title"})
+        users = keyed_table(read_keyed(spark, topics["users"]), USER_WIRE,
+                            {"userId": "user_id", "userName": "user_name"})
+        return cards, users
     return load
 
 
 def q_live_dimension_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Dimensions re-read per micro-batch; each batch is counted per user before it is
+    """Facts stream against dimensions published as keyed records and read back as
+    replicated tables each micro-batch; each batch is counted per user before it is
     written, and the per-batch counts are summed by a batch job."""
     run = scratch_dir(spark, "live_dimension_counts")
-    run_live(_facts(spark, sf), _live_dims(sf), f"{run}/relay", f"{run}/checkpoint",
+    topics = publish_star(event_star(spark, sf), f"{run}/topics")
+    run_live(_facts(spark, sf), _live_dims(topics), f"{run}/relay", f"{run}/checkpoint",
              BOUNDED, by="id_and_name").awaitTermination()
     return combine_counts(spark, f"{run}/relay", "id_and_name",
                           EVENT_THRESHOLD).select(*USER_COLS)

@@ -53,6 +53,23 @@ def read_keyed(spark: SparkSession, location: str) -> DataFrame:
     return keyed_source(spark, "files", location, stream=False)
 
 
+def keyed_table(records: DataFrame, schema: T.StructType,
+                fields: dict[str, str] | None = None, mode: str = "PERMISSIVE") -> DataFrame:
+    """The current table of a keyed record log (a replicated changelog table).
+
+    Per key, the record with the latest ``timestamp`` wins; a null value (tombstone) as
+    the latest record deletes the key. ``fields`` renames wire fields to table columns
+    (only the listed ones are kept). The reduction is an aggregate (``max_by``), so a hot
+    key combines map-side.
+    """
+    from tristar.functions.records import decode
+    from tristar.sources.tables import latest_by_key
+    dec = decode(records, schema, mode=mode, keep=("key", "timestamp"), expand=False)
+    current = latest_by_key(dec, "key", "timestamp", value="record")
+    names = fields or {f.name: f.name for f in schema.fields}
+    return current.select(*[F.col(f"record.{w}").alias(c) for w, c in names.items()])
+
+
 def publish_keyed(df: DataFrame, key: Column | str, columns: Sequence[str], path: str,
                   names: Sequence[str] | None = None, timestamp: Column | str | None = None,
                   mode: str = "overwrite", kind: str = "files",
