@@ -26,7 +26,7 @@ from tristar.functions.records import decode_column
 
 # The per-user threshold of the workload, and the thresholds that put the
 # cut at the mean on the driver's tables.
-REFERENCE_THRESHOLD = 200
+WORKLOAD_THRESHOLD = 200
 BATCH_THRESHOLD = 600          # M1: mean verifications per supplier
 EVENT_THRESHOLD = 66           # M2: final counts per customer
 CHANGELOG_THRESHOLD = 60       # M2: per-record changelogs
