@@ -1,10 +1,11 @@
-"""Command line: run a registry query and print it.
+"""Command line.
 
-    python -m tristar verified_users_by_id --sf /root/testdata/sf0.01
     python -m tristar --list
+    python -m tristar run verified_users_by_id --sf /root/testdata/sf0.01
+    python -m tristar count --sf /root/testdata/sf0.01 --mapping batch --by name --threshold 600
 
-For the count queries the qualifying users are printed as ``Name: <name> ----- <count>``
-lines followed by the total, the report format of the batch workload.
+``count`` prints the qualifying users as ``Name: <name> ----- <count>`` lines and their
+total, the report of the batch workload; ``run`` prints any registry query.
 """
 
 from __future__ import annotations
@@ -12,35 +13,62 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tristar.operators.counts import verified_users
 from tristar.plans.registry import QUERIES
 from tristar.session import get_session
+from tristar.sources.roles import WORKLOAD_THRESHOLD, batch_star, event_star
+
+
+def report(df: DataFrame) -> int:
+    """Print the qualifying users, largest count first; return how many there were.
+
+    ``toLocalIterator`` fetches one partition at a time, so the driver holds one
+    partition of the (already aggregated) result, never all of it.
+    """
+    n = 0
+    for r in df.orderBy(F.desc("counts"), "user_name").toLocalIterator():
+        print(f"Name: {r['user_name']} ----- {r['counts']}")
+        n += 1
+    return n
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tristar")
-    p.add_argument("query", nargs="?")
-    p.add_argument("--sf", default="/root/testdata/sf0.01")
+    p.add_argument("--list", action="store_true", help="list the registry queries")
     p.add_argument("--master", default=None)
-    p.add_argument("--rows", type=int, default=20, help="rows to show for other queries")
-    p.add_argument("--list", action="store_true")
+    sub = p.add_subparsers(dest="cmd")
+    r = sub.add_parser("run", help="run a registry query and show it")
+    r.add_argument("query")
+    r.add_argument("--sf", default="/root/testdata/sf0.01")
+    r.add_argument("--rows", type=int, default=20)
+    c = sub.add_parser("count", help="users with more than a threshold of verifications")
+    c.add_argument("--sf", default="/root/testdata/sf0.01")
+    c.add_argument("--mapping", choices=["batch", "events"], default="batch")
+    c.add_argument("--by", choices=["id", "name", "id_and_name"], default="id")
+    c.add_argument("--threshold", type=int, default=WORKLOAD_THRESHOLD)
     a = p.parse_args(argv)
-    if a.list or not a.query:
+    if a.list or not a.cmd:
         print("\n".join(sorted(QUERIES)))
         return 0
     spark = get_session(a.master)
-    df = QUERIES[a.query](spark, a.sf)
-    if {"user_name", "counts"} <= set(df.columns):
-        # the report lines are the result itself; toLocalIterator streams one partition at a time
-        n = 0
-        for r in df.orderBy(F.desc("counts"), "user_name").toLocalIterator():
-            print(f"Name: {r['user_name']} ----- {r['counts']}")
-            n += 1
-        print(f"Total users: {n}")
-    else:
-        df.show(a.rows, truncate=False)
-    spark.stop()
+    try:
+        if a.cmd == "run":
+            df = QUERIES[a.query](spark, a.sf)
+            if {"user_name", "counts"} <= set(df.columns):
+                print(f"Total users: {report(df)}")
+            else:
+                df.show(a.rows, truncate=False)
+        else:
+            star = (batch_star if a.mapping == "batch" else event_star)(spark, a.sf)
+            df = verified_users(*star, by=a.by, threshold=a.threshold)
+            print(f"Users with greater than {a.threshold} verifications include:")
+            n = report(df)
+            print(f"Total users with greater than {a.threshold} verifications: {n}")
+    finally:
+        spark.stop()
     return 0
 
 
