@@ -4,17 +4,21 @@ All joins are inner equi-joins, so a verification whose card or user is missing
 The join strategy is Catalyst's: a dimension is broadcast only when its plan statistics
 are under ``spark.sql.autoBroadcastJoinThreshold`` (or, with AQE, when its real shuffle
 output is under the adaptive threshold); otherwise both sides shuffle on the key and AQE
-splits a hot key's partition. ``bounded_broadcast`` adds an explicit, checked broadcast
-for stream-static joins, where AQE does not run.
+splits a hot key's partition. For stream-static joins, where AQE does not run,
+``bounded_broadcast`` and ``prepare_dimension`` broadcast only under a counted row bound
+and otherwise bucket the dimension once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tristar.session import scratch_dir
+
 
 def fits_rows(dim: DataFrame, max_rows: int) -> bool:
     """Whether ``dim`` has at most ``max_rows`` rows: a proof, not an estimate.
@@ -43,9 +47,6 @@ def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
     folder: a join against the bucketed scan shuffles only each micro-batch to the
     bucket count, instead of re-shuffling the whole dimension in every batch.
     """
-    import uuid
-
-    from tristar.session import scratch_dir
     if max_broadcast_rows is not None and fits_rows(dim, max_broadcast_rows):
         return F.broadcast(dim)
     spark = dim.sparkSession
