@@ -371,3 +371,16 @@ def test_live_dimensions_from_keyed_records_update_and_tombstone(spark, tmp_dir)
     got = [tuple(r) for r in combine_counts(spark, f"{tmp_dir}/relay", "id_and_name")
            .select("user_id", "user_name", "counts").collect()]
     assert got == [(7, "bob", 2)]     # latest name; deleted user and unknown card dropped
+
+
+def test_byte_bounded_micro_batches(spark, chunked_events, tmp_dir):
+    from tristar.session import batch_bytes
+    assert batch_bytes(spark) == spark.sparkContext.defaultParallelism * (256 << 20) * 4
+    cards, users = dims(spark)
+    facts = event_fact_stream(spark, chunked_events, max_bytes=1)      # one file per batch
+    counts = enriched_counts(stream_enriched(facts, cards, users), by="id_and_name",
+                             threshold=K)
+    q = run_snapshot(counts, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", BOUNDED)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 4
+    assert rows_of(read_latest_snapshot(spark, f"{tmp_dir}/out")) == rows_of(batch_twin(spark))

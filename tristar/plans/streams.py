@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tristar.operators.counts import enriched_counts
-from tristar.session import scratch_dir
+from tristar.session import batch_bytes, scratch_dir
 from tristar.sources.keyed import keyed_table, read_keyed
 from tristar.sources.roles import (
     EVENT_THRESHOLD, Star, cards_from_part, event_star, read_table, users_from_customer,
@@ -22,8 +22,9 @@ from tristar.streaming.sinks import read_final_state, read_latest_snapshot
 USER_COLS = ["user_id", "user_name", "counts"]
 
 
-def _facts(spark: SparkSession, sf: str, max_files: int | None = None) -> DataFrame:
-    return event_fact_stream(spark, sf, glob="events.parquet", max_files=max_files)
+def _facts(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole events table as a stream, in micro-batches of a few cluster waves."""
+    return event_fact_stream(spark, sf, glob="events.parquet", max_bytes=batch_bytes(spark))
 
 
 def _dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -64,7 +65,7 @@ def q_stream_sql_having(spark: SparkSession, sf: str) -> DataFrame:
 
 def _published_streams(spark: SparkSession, sf: str, run: str) -> Star:
     paths = publish_star(event_star(spark, sf), f"{run}/topics")
-    return keyed_star_streams(spark, paths, kind="files")
+    return keyed_star_streams(spark, paths, kind="files", max_bytes=batch_bytes(spark))
 
 
 def q_stream_stream_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,7 +81,8 @@ def q_two_stage_relay(spark: SparkSession, sf: str) -> DataFrame:
     streams = _published_streams(spark, sf, run)
     run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint-join", BOUNDED).awaitTermination()
     run_relay(spark, f"{run}/relay", f"{run}/out", f"{run}/checkpoint-count",
-              threshold=EVENT_THRESHOLD, by="name", trigger=BOUNDED).awaitTermination()
+              threshold=EVENT_THRESHOLD, by="name", trigger=BOUNDED,
+              max_bytes=batch_bytes(spark)).awaitTermination()
     return read_latest_snapshot(spark, f"{run}/out").select("user_name", "counts")
 
 

@@ -27,14 +27,19 @@ KEYED_SCHEMA = T.StructType([
 
 def keyed_source(spark: SparkSession, kind: str, location: str, starting: str = "earliest",
                  max_files: int | None = None, options: dict[str, str] | None = None,
-                 stream: bool = True) -> DataFrame:
-    """Open a keyed record source as a stream (default) or as a bounded batch."""
+                 stream: bool = True, max_bytes: int | None = None) -> DataFrame:
+    """Open a keyed record source as a stream (default) or as a bounded batch.
+
+    ``max_files`` / ``max_bytes`` cap a micro-batch of a files source (the first wins).
+    """
     options = dict(options or {})
     if kind == "files":
         reader = spark.readStream if stream else spark.read
         reader = reader.schema(KEYED_SCHEMA)
         if stream and max_files:
             reader = reader.option("maxFilesPerTrigger", str(max_files))
+        elif stream and max_bytes:
+            reader = reader.option("maxBytesPerTrigger", str(int(max_bytes)))
         for k, v in options.items():
             reader = reader.option(k, v)
         return reader.parquet(location).select("key", "value", "timestamp")

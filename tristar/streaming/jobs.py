@@ -68,11 +68,14 @@ def _start(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
 # ---- sources ---------------------------------------------------------------------------
 
 def event_fact_stream(spark: SparkSession, folder: str, glob: str | None = None,
-                      max_files: int | None = None, mode: str = "PERMISSIVE") -> DataFrame:
+                      max_files: int | None = None, mode: str = "PERMISSIVE",
+                      max_bytes: int | None = None) -> DataFrame:
     """The events files of ``folder`` as a stream of verifications (role columns).
 
     The schema is taken from the files' footers once at start; a stream source never infers.
-    ``glob`` picks the events files when the folder also holds other tables.
+    ``glob`` picks the events files when the folder also holds other tables. A micro-batch
+    takes at most ``max_files`` files, or else at most ``max_bytes`` bytes of input
+    (``tristar.session.batch_bytes`` sizes it to the cluster).
     """
     batch_reader = spark.read
     if glob:
@@ -83,6 +86,8 @@ def event_fact_stream(spark: SparkSession, folder: str, glob: str | None = None,
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
+    elif max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(int(max_bytes)))
     return verifications_from_events(reader.parquet(folder), mode)
 
 
@@ -120,10 +125,11 @@ def publish_star(star: Star, folder: str, events_ts: str = "verification_date")
 
 def keyed_star_streams(spark: SparkSession, locations: dict[str, str], kind: str = "files",
                        max_files: int | None = None, mode: str = "PERMISSIVE",
-                       starting: str = "earliest") -> Star:
+                       starting: str = "earliest", max_bytes: int | None = None) -> Star:
     """Open the three keyed record streams and decode them to role columns."""
     def src(role: str) -> DataFrame:
-        return keyed_source(spark, kind, locations[role], starting=starting, max_files=max_files)
+        return keyed_source(spark, kind, locations[role], starting=starting,
+                            max_files=max_files, max_bytes=max_bytes)
 
     cards = decode(src("cards"), CARD_WIRE, mode=mode, keep=(), timestamp_as="card_ts").select(
         F.col("cardId").alias("card_id"), F.col("cardTitle").alias("title"), "card_ts")
@@ -247,7 +253,8 @@ def run_stream_join(streams: Star, relay: str, checkpoint: str,
 
 def relay_stream(spark: SparkSession, relay: str, kind: str = "files",
                  max_files: int | None = None, dedup_within: str | None = None,
-                 options: dict[str, str] | None = None) -> DataFrame:
+                 options: dict[str, str] | None = None,
+                 max_bytes: int | None = None) -> DataFrame:
     """The relay as a stream of joined rows.
 
     With ``dedup_within`` (e.g. ``"1 hour"``) a row whose ``verification_id`` was already
@@ -259,6 +266,8 @@ def relay_stream(spark: SparkSession, relay: str, kind: str = "files",
         reader = spark.readStream.schema(RELAY_SCHEMA)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", str(max_files))
+        elif max_bytes:
+            reader = reader.option("maxBytesPerTrigger", str(int(max_bytes)))
         rows = reader.parquet(relay)
     elif kind == "kafka":
         wire = keyed_source(spark, "kafka", relay, options=options)
@@ -275,9 +284,10 @@ def run_relay(spark: SparkSession, relay: str, out: str, checkpoint: str, thresh
               by: str = "name", max_files: int | None = None,
               trigger: dict | None = None, kind: str = "files",
               dedup_within: str | None = None,
-              options: dict[str, str] | None = None) -> StreamingQuery:
+              options: dict[str, str] | None = None,
+              max_bytes: int | None = None) -> StreamingQuery:
     """Second stage: count the relay per user (complete mode), keep counts > threshold."""
-    rows = relay_stream(spark, relay, kind, max_files, dedup_within, options)
+    rows = relay_stream(spark, relay, kind, max_files, dedup_within, options, max_bytes)
     counts = enriched_counts(rows, by=by, threshold=threshold)
     return run_snapshot(counts, out, checkpoint, trigger)
 
