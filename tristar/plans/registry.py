@@ -14,5 +14,6 @@ ORACLE_SQL = {
     "stream_stream_join": NESTED_SQL,
     "two_stage_relay": RELAY_SQL,
     "stream_sql_having": EVENT_COUNTS_SQL,
+    "stream_retract_net": EVENT_COUNTS_SQL,
     "live_dimension_counts": EVENT_COUNTS_SQL,
 }

@@ -14,10 +14,13 @@ from tristar.sources.roles import (
 )
 from tristar.streaming.jobs import (
     BOUNDED, CARD_WIRE, USER_WIRE, combine_counts, event_fact_stream, keyed_star_streams,
-    publish_star, run_live, run_relay, run_snapshot, run_sql, run_stream_join, run_updates,
+    publish_star, run_live, run_relay, run_retract, run_snapshot, run_sql, run_stream_join,
+    run_updates,
     stream_enriched,
 )
-from tristar.streaming.sinks import read_final_state, read_latest_snapshot
+from tristar.streaming.sinks import (
+    net_changelog, read_changelog, read_final_state, read_latest_snapshot,
+)
 
 USER_COLS = ["user_id", "user_name", "counts"]
 
@@ -50,6 +53,19 @@ def q_stream_update_counts(spark: SparkSession, sf: str) -> DataFrame:
     return read_final_state(spark, f"{run}/out", ["user_id", "user_name"]).select(*USER_COLS)
 
 
+def q_stream_retract_net(spark: SparkSession, sf: str) -> DataFrame:
+    """Micro-batch retract/add changelog of the thresholded counts, applied: what remains
+    is the final result, whatever the batch boundaries were."""
+    run = scratch_dir(spark, "stream_retract_net")
+    cards, users = _dims(spark, sf)
+    counts = enriched_counts(stream_enriched(_facts(spark, sf), cards, users),
+                             by="id_and_name", threshold=EVENT_THRESHOLD)
+    run_retract(counts, ["user_id", "user_name"], f"{run}/snapshots", f"{run}/changelog",
+                f"{run}/checkpoint", trigger=BOUNDED).awaitTermination()
+    log = read_changelog(spark, f"{run}/changelog")
+    return net_changelog(log, ["user_id", "user_name"]).select(*USER_COLS)
+
+
 def q_stream_sql_having(spark: SparkSession, sf: str) -> DataFrame:
     run = scratch_dir(spark, "stream_sql_having")
     cards, users = _dims(spark, sf)
@@ -116,5 +132,6 @@ STREAMS = {
     "stream_stream_join": q_stream_stream_join,
     "two_stage_relay": q_two_stage_relay,
     "stream_sql_having": q_stream_sql_having,
+    "stream_retract_net": q_stream_retract_net,
     "live_dimension_counts": q_live_dimension_counts,
 }

@@ -3,7 +3,8 @@ changelog, stream-stream join with a two-stage relay, SQL over streaming views,
 dimension refresh. Every job takes its checkpoint folder explicitly."""
 
 from tristar.streaming.sinks import (
-    BatchDirSink, RetractSink, read_changelog, read_final_state, read_latest_snapshot,
+    BatchDirSink, RetractSink, net_changelog, read_changelog, read_final_state,
+    read_latest_snapshot,
 )
 from tristar.streaming.jobs import (
     await_any, combine_counts, event_fact_stream, keyed_star_streams, publish_star,
@@ -12,7 +13,8 @@ from tristar.streaming.jobs import (
 )
 
 __all__ = [
-    "BatchDirSink", "RetractSink", "read_changelog", "read_final_state", "read_latest_snapshot",
+    "BatchDirSink", "RetractSink", "net_changelog", "read_changelog", "read_final_state",
+    "read_latest_snapshot",
     "await_any", "combine_counts", "event_fact_stream", "keyed_star_streams", "publish_star",
     "relay_stream", "run_live", "run_relay", "run_retract", "run_snapshot", "run_sql",
     "run_stream_join", "run_two_stage", "run_updates", "stop_all", "stream_enriched",

@@ -89,3 +89,12 @@ def read_final_state(spark: SparkSession, out: str, key: Sequence[str] | str) ->
 
 def read_changelog(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out)
+
+
+def net_changelog(log: DataFrame, key: Sequence[str], value: str = "counts",
+                  flag: str = "is_add") -> DataFrame:
+    """Apply a retract/add changelog: rows whose adds outnumber their retracts, i.e. the
+    result table the changelog describes (independent of how batches were cut)."""
+    sign = F.when(F.col(flag), F.lit(1)).otherwise(F.lit(-1))
+    return (log.groupBy(*key, value).agg(F.sum(sign).alias("__net"))
+               .filter(F.col("__net") > 0).drop("__net"))
