@@ -112,3 +112,14 @@ def test_sql_form_equals_dataframe_form(spark):
         "GROUP BY u.user_id HAVING COUNT(*) > 3")
     df = verified_users(*s, by="id", threshold=3)
     assert df.exceptAll(sql).count() == 0 and sql.exceptAll(df).count() == 0
+
+
+def test_role_check_at_job_start(spark):
+    import pytest
+    cards = spark.createDataFrame([("1", "a")], "card_id string, title string")
+    vers = spark.createDataFrame([(1, 1)], "card_id long, verified_by long")
+    users = spark.createDataFrame([(1, "x")], "user_id long, user_name string")
+    with pytest.raises(TypeError, match="cards.card_id is string"):
+        verified_users(cards, vers, users)
+    with pytest.raises(TypeError, match="verifications lacks column verified_by"):
+        enrich(spark.createDataFrame([(1, "a")], CARD), vers.drop("verified_by"), users)

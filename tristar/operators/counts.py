@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristar.operators.enrich import enrich
+from tristar.sources.roles import check_roles
 
 BY = {
     "id": (["user_id"], {"user_name": "min"}),   # GROUP BY id; the name rides along
@@ -47,6 +48,7 @@ def grouped_counts(cards: DataFrame, verifications: DataFrame, users: DataFrame,
     ``carry`` maps a column to an aggregate name (``{"user_name": "min"}``) for columns
     that ride along with the group without being part of it.
     """
+    check_roles(cards, verifications, users)
     group, carry = list(group), dict(carry or {})
     needed = set(group) | set(carry)
     v = verifications.select("card_id", "verified_by")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tristar.session import scratch_dir
+from tristar.sources.roles import check_roles
 
 
 def fits_rows(dim: DataFrame, max_rows: int) -> bool:
@@ -72,6 +73,7 @@ def enrich(cards: DataFrame, verifications: DataFrame, users: DataFrame,
     ``fact_columns`` defaults to every verification column except ``card_id``.
     ``broadcast_rows`` (stream-static jobs) broadcasts a dimension under that row bound.
     """
+    check_roles(cards, verifications, users)
     cols = [c for c in (fact_columns or verifications.columns) if c != "card_id"]
     if "verified_by" not in cols:
         cols.append("verified_by")

@@ -51,6 +51,29 @@ USER_SCHEMA = T.StructType([
 EVENT_PROPS_SCHEMA = T.StructType([T.StructField("k", T.IntegerType())])
 
 
+ROLE_COLUMNS = {
+    "cards": ("card_id",),
+    "verifications": ("card_id", "verified_by"),
+    "users": ("user_id",),
+}
+INTEGRAL_TYPES = ("tinyint", "smallint", "int", "bigint")
+
+
+def check_roles(cards: DataFrame, verifications: DataFrame, users: DataFrame) -> None:
+    """Job-start check of the three inputs (schema only, no data read): each has its role
+    key columns, and every key is an integer type, so the joins compare numbers."""
+    problems = []
+    for role, df in (("cards", cards), ("verifications", verifications), ("users", users)):
+        types = dict(df.dtypes)
+        for c in ROLE_COLUMNS[role]:
+            if c not in types:
+                problems.append(f"{role} lacks column {c}")
+            elif types[c] not in INTEGRAL_TYPES:
+                problems.append(f"{role}.{c} is {types[c]}, not an integer type")
+    if problems:
+        raise TypeError("role check failed: " + "; ".join(problems))
+
+
 class Star(NamedTuple):
     """The three inputs of the enrichment."""
     cards: DataFrame
