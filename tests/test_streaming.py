@@ -384,3 +384,18 @@ def test_byte_bounded_micro_batches(spark, chunked_events, tmp_dir):
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 4
     assert rows_of(read_latest_snapshot(spark, f"{tmp_dir}/out")) == rows_of(batch_twin(spark))
+
+
+def test_nested_records_over_streams(spark, tmp_dir):
+    from tristar.operators import flatten_nested, nested_records
+    paths = publish_star(event_star(spark, SF0001), f"{tmp_dir}/topics")
+    s = keyed_star_streams(spark, paths, max_files=1)
+    nested = nested_records(s.cards.drop("card_ts"), s.verifications.drop("verification_ts"),
+                            s.users.drop("user_ts"))
+    q = (nested.writeStream.format("parquet").option("path", f"{tmp_dir}/out")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/out")
+    assert [f.name for f in got.schema.fields] == ["verification", "card", "user"]
+    want = flatten_nested(nested_records(*event_star(spark, SF0001)))
+    assert rows_of(flatten_nested(got)) == rows_of(want)
