@@ -399,3 +399,22 @@ def test_nested_records_over_streams(spark, tmp_dir):
     assert [f.name for f in got.schema.fields] == ["verification", "card", "user"]
     want = flatten_nested(nested_records(*event_star(spark, SF0001)))
     assert rows_of(flatten_nested(got)) == rows_of(want)
+
+
+def test_live_dimensions_refresh_every_n_batches(spark, tmp_dir):
+    """With refresh_every=2 the dimension is read at batches 0 and 2: a user added after
+    batch 0 is seen from batch 2 on, not at batch 1."""
+    from tristar.streaming.jobs import LiveEnrich
+    users_dir = f"{tmp_dir}/users"
+    spark.createDataFrame([(8, "other")], "user_id long, user_name string").write.parquet(users_dir)
+    cards = spark.createDataFrame([(1, "a")], "card_id long, title string")
+    sink = LiveEnrich(lambda s: (cards, s.read.parquet(users_dir)), f"{tmp_dir}/relay",
+                      refresh_every=2)
+    batch = spark.createDataFrame([(1, 1, 7)], "id long, card_id long, verified_by long")
+    sink(batch, 0)
+    spark.createDataFrame([(7, "late")], "user_id long, user_name string") \
+        .write.mode("append").parquet(users_dir)
+    sink(batch, 1)
+    sink(batch, 2)
+    got = sorted(r.batch_id for r in spark.read.parquet(f"{tmp_dir}/relay").collect())
+    assert got == [2]

@@ -30,6 +30,7 @@ from tristar.operators.counts import enriched_counts, verified_users
 from tristar.operators.enrich import enrich, prepare_dimension
 from tristar.sources.keyed import keyed_source, publish_keyed
 from tristar.sources.roles import Star, verifications_from_events
+from tristar.session import write_stage
 from tristar.streaming.sinks import BatchDirSink, RetractSink, batch_path
 
 CONTINUOUS = {"processingTime": "1 second"}
@@ -324,21 +325,39 @@ def stop_all(queries: Sequence[StreamingQuery]) -> None:
 # ---- live dimensions ------------------------------------------------------------------------
 
 class LiveEnrich:
-    """foreachBatch: re-read the dimensions, enrich the batch, write it to the relay.
+    """foreachBatch: enrich the batch against freshly read dimensions, write the relay.
 
     A verification is matched against the dimension rows present when its batch runs
     (a replicated table's semantics at micro-batch grain). Inside foreachBatch the join
     is a batch plan, so AQE sizes it (broadcast or shuffle, skew split) per batch.
     With ``by`` the batch is counted per user before it is written (eager aggregation),
     so the relay holds one row per user and batch instead of a copy of every fact.
+
+    ``refresh_every`` = N > 1 reads the dimensions only every N batches and writes the
+    reduced tables (latest row per key) once to the shared folder; the batches in between
+    join that compact copy, so a long dimension log is not re-reduced per batch. A batch
+    then sees dimension changes up to N - 1 batches late.
     """
 
     def __init__(self, load_dims: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
-                 relay: str, by: str | None = None):
+                 relay: str, by: str | None = None, refresh_every: int = 1):
         self.load_dims, self.relay, self.by = load_dims, relay, by
+        self.refresh_every = max(1, int(refresh_every))
+        self._dims: tuple[DataFrame, DataFrame] | None = None
+        self._loaded_at = -1
+
+    def dims(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        if self.refresh_every == 1:
+            return self.load_dims(spark)
+        if self._dims is None or batch_id - self._loaded_at >= self.refresh_every \
+                or batch_id < self._loaded_at:
+            cards, users = self.load_dims(spark)
+            self._dims = (write_stage(cards, "live-cards"), write_stage(users, "live-users"))
+            self._loaded_at = batch_id
+        return self._dims
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        cards, users = self.load_dims(batch.sparkSession)
+        cards, users = self.dims(batch.sparkSession, batch_id)
         if self.by:
             out = verified_users(cards, batch, users, by=self.by)
         else:
@@ -348,14 +367,14 @@ class LiveEnrich:
 
 def run_live(facts: DataFrame, load_dims: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
              relay: str, checkpoint: str, trigger: dict | None = None,
-             by: str | None = None) -> StreamingQuery:
+             by: str | None = None, refresh_every: int = 1) -> StreamingQuery:
     """Enrich (``by=None``) or count (``by="id"|"name"|"id_and_name"``) each batch against
-    freshly read dimensions into ``relay/batch_id=n``.
+    freshly read dimensions into ``relay/batch_id=n`` (see ``LiveEnrich``).
 
     Read the result with a batch job (``combine_counts`` for counts): batch folders may be
     rewritten on replay, which a file stream would count twice.
     """
-    w = facts.writeStream.foreachBatch(LiveEnrich(load_dims, relay, by))
+    w = facts.writeStream.foreachBatch(LiveEnrich(load_dims, relay, by, refresh_every))
     return _start(w, checkpoint, trigger)
 
 
