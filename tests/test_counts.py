@@ -123,3 +123,15 @@ def test_role_check_at_job_start(spark):
         verified_users(cards, vers, users)
     with pytest.raises(TypeError, match="verifications lacks column verified_by"):
         enrich(spark.createDataFrame([(1, "a")], CARD), vers.drop("verified_by"), users)
+
+
+def test_salted_join_equals_enrich(spark):
+    from tristar.operators import prepare_dimension, salted_stream_join
+    c, v, u = random_star(spark, 11)
+    sc = prepare_dimension(c, "card_id", max_broadcast_rows=0, name="c", salt=3)
+    su = prepare_dimension(u, "user_id", max_broadcast_rows=None, name="u", salt=3)
+    bu = prepare_dimension(u, "user_id", max_broadcast_rows=10_000, name="u")   # broadcast
+    want = rows_of(enrich(c, v, u))
+    assert rows_of(salted_stream_join(v, sc, su, 3)) == want
+    assert rows_of(salted_stream_join(v, sc, bu, 3)) == want
+    assert salted_stream_join(v, sc, su, 3).columns == enrich(c, v, u).columns

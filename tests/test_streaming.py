@@ -418,3 +418,23 @@ def test_live_dimensions_refresh_every_n_batches(spark, tmp_dir):
     sink(batch, 2)
     got = sorted(r.batch_id for r in spark.read.parquet(f"{tmp_dir}/relay").collect())
     assert got == [2]
+
+
+def test_salted_bucketed_stream_static_join(spark, chunked_events, tmp_dir, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cards, users = dims(spark)
+        facts = event_fact_stream(spark, chunked_events, max_files=1)
+        counts = enriched_counts(stream_enriched(facts, cards, users, broadcast_rows=0, salt=4),
+                                 by="id_and_name", threshold=K)
+        q = run_snapshot(counts, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", BOUNDED)
+        q.awaitTermination()
+        capsys.readouterr()
+        q.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("Bucketed: true") == 2
+        assert plan.count("Exchange hashpartitioning") == 3    # batch twice, aggregate once
+        assert rows_of(read_latest_snapshot(spark, f"{tmp_dir}/out")) == \
+            rows_of(batch_twin(spark))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -3,7 +3,7 @@ grouped counts work unchanged on batch and streaming inputs."""
 
 from tristar.operators.enrich import (
     bounded_broadcast, card_verifications, enrich, flatten_nested, nested_records,
-    prepare_dimension,
+    prepare_dimension, salted_stream_join,
 )
 from tristar.operators.counts import (
     enriched_counts, grouped_counts, qualifying_total, value_counts, verified_users,
@@ -12,7 +12,7 @@ from tristar.operators.changelog import retract_changelog, running_counts, runni
 
 __all__ = [
     "bounded_broadcast", "card_verifications", "enrich", "flatten_nested", "nested_records",
-    "prepare_dimension",
+    "prepare_dimension", "salted_stream_join",
     "enriched_counts", "grouped_counts", "qualifying_total", "value_counts", "verified_users",
     "retract_changelog", "running_counts", "running_updates",
 ]

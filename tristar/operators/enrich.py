@@ -39,25 +39,68 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
     return F.broadcast(dim) if fits_rows(dim, max_rows) else dim
 
 
+SALT = "__salt"
+
+
 def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
-                      buckets: int | None = None, name: str = "dimension") -> DataFrame:
+                      buckets: int | None = None, name: str = "dimension",
+                      salt: int = 1) -> DataFrame:
     """A static dimension made ready for a long-running stream-static join.
 
     Under the row bound it is marked for broadcast (``bounded_broadcast``). Past it, it
     is written once, bucketed and sorted by ``key``, as a table under the shared work
     folder: a join against the bucketed scan shuffles only each micro-batch to the
     bucket count, instead of re-shuffling the whole dimension in every batch.
+
+    With ``salt`` = S > 1 the bucketed table holds S copies of each row, one per value of
+    a ``__salt`` column, bucketed by ``(key, __salt)``. Joined on both with salted facts
+    (``salted_stream_join``), a hot key spreads over S bucket tasks instead of one.
     """
     if max_broadcast_rows is not None and fits_rows(dim, max_broadcast_rows):
         return F.broadcast(dim)
     spark = dim.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"tristar_{name}_{uuid.uuid4().hex[:12]}"
-    (dim.write.bucketBy(n, key).sortBy(key)
+    cols = [key]
+    if salt > 1:
+        dim = dim.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                   F.lit(salt - 1).cast("bigint"))).alias(SALT))
+        cols.append(SALT)
+    (dim.write.bucketBy(n, *cols).sortBy(*cols)
         .option("path", scratch_dir(spark, table)).saveAsTable(table))
     return spark.table(table)
 
 
+def salted_stream_join(facts: DataFrame, cards: DataFrame, users: DataFrame,
+                       salt: int) -> DataFrame:
+    """``enrich`` for dimensions from ``prepare_dimension(..., salt=salt)``.
+
+    Each fact gets ``__salt = pmod(xxhash64(all fact columns), salt)`` (deterministic, so
+    a replayed batch lands in the same tasks) and joins a salted dimension on
+    ``(key, __salt)``; an unsalted (broadcast) dimension joins on the key alone. Each fact
+    meets exactly one copy of each dimension row, so the result equals ``enrich``.
+    """
+    check_roles(cards, facts, users)
+    f = facts.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]),
+                                      F.lit(salt)))
+    c = cards.withColumnRenamed(SALT, "__cs") if SALT in cards.columns else cards
+    u = users.withColumnRenamed(SALT, "__us") if SALT in users.columns else users
+    on_card = F.col("fc.card_id") == F.col("c.card_id")
+    if "__cs" in c.columns:
+        on_card = on_card & (F.col(f"fc.{SALT}") == F.col("c.__cs"))
+    j = f.alias("fc").join(c.alias("c"), on_card)
+    on_user = F.col("fc.verified_by") == F.col("u.user_id")
+    if "__us" in u.columns:
+        on_user = on_user & (F.col(f"fc.{SALT}") == F.col("u.__us"))
+    j = j.join(u.alias("u"), on_user)
+    card_cols = [x for x in cards.columns if x != SALT]
+    user_cols = [x for x in users.columns if x != SALT]
+    fact_cols = [x for x in facts.columns if x != "card_id"]
+    return j.select(*[F.col(f"c.{x}") for x in card_cols],
+                    *[F.col(f"fc.{x}") for x in fact_cols],
+                    *[F.col(f"u.{x}") for x in user_cols])
+
+
 def card_verifications(cards: DataFrame, verifications: DataFrame,
                        fact_columns: Sequence[str] | None = None) -> DataFrame:
     """cards JOIN verifications USING (card_id): card columns, then fact columns."""

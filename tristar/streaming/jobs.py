@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tristar.functions.records import decode
 from tristar.functions.time import epoch_seconds, event_time
 from tristar.operators.counts import enriched_counts, verified_users
-from tristar.operators.enrich import enrich, prepare_dimension
+from tristar.operators.enrich import SALT, enrich, prepare_dimension, salted_stream_join
 from tristar.sources.keyed import keyed_source, publish_keyed
 from tristar.sources.roles import Star, verifications_from_events
 from tristar.session import write_stage
@@ -93,17 +93,21 @@ def event_fact_stream(spark: SparkSession, folder: str, glob: str | None = None,
 
 
 def stream_enriched(facts: DataFrame, cards: DataFrame, users: DataFrame,
-                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                    salt: int = 1) -> DataFrame:
     """Stream-static enrichment.
 
     Each dimension is broadcast when a row check proves it under ``broadcast_rows``;
     otherwise it is written once as a bucketed table (``prepare_dimension``) so each
-    micro-batch shuffles only itself. ``broadcast_rows=None`` leaves the dimensions as
-    given (Spark's size-based choice).
+    micro-batch shuffles only itself. With ``salt`` > 1 a bucketed dimension is salted
+    so a hot key spreads over ``salt`` tasks (a broadcast one needs no salt).
+    ``broadcast_rows=None`` leaves the dimensions as given (Spark's size-based choice).
     """
     if broadcast_rows is not None:
-        cards = prepare_dimension(cards, "card_id", broadcast_rows, name="cards")
-        users = prepare_dimension(users, "user_id", broadcast_rows, name="users")
+        cards = prepare_dimension(cards, "card_id", broadcast_rows, name="cards", salt=salt)
+        users = prepare_dimension(users, "user_id", broadcast_rows, name="users", salt=salt)
+    if SALT in cards.columns or SALT in users.columns:
+        return salted_stream_join(facts, cards, users, salt)
     return enrich(cards, facts, users)
 
 
