@@ -27,3 +27,8 @@ def test_cli_list():
     out = subprocess.run([sys.executable, "-m", "tristar", "--list"], cwd=ROOT,
                          capture_output=True, text=True, timeout=120).stdout
     assert "verified_users_by_id" in out.split()
+
+
+def test_cli_explain():
+    out = run("run", "enriched_cards", "--sf", SF0001, "--explain")
+    assert "BroadcastHashJoin" in out and "ReadSchema" in out

@@ -1,7 +1,7 @@
 """Command line.
 
     python -m tristar --list
-    python -m tristar run verified_users_by_id --sf /root/testdata/sf0.01
+    python -m tristar run verified_users_by_id --sf /root/testdata/sf0.01 [--explain]
     python -m tristar count --sf /root/testdata/sf0.01 --mapping batch --by name --threshold 600
 
 ``count`` prints the qualifying users as ``Name: <name> ----- <count>`` lines and their
@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("query")
     r.add_argument("--sf", default="/root/testdata/sf0.01")
     r.add_argument("--rows", type=int, default=20)
+    r.add_argument("--explain", action="store_true", help="print the formatted plan instead")
     c = sub.add_parser("count", help="users with more than a threshold of verifications")
     c.add_argument("--sf", default="/root/testdata/sf0.01")
     c.add_argument("--mapping", choices=["batch", "events"], default="batch")
@@ -57,7 +58,9 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if a.cmd == "run":
             df = QUERIES[a.query](spark, a.sf)
-            if {"user_name", "counts"} <= set(df.columns):
+            if a.explain:
+                df.explain("formatted")
+            elif {"user_name", "counts"} <= set(df.columns):
                 print(f"Total users: {report(df)}")
             else:
                 df.show(a.rows, truncate=False)
