@@ -15,7 +15,8 @@ def test_publish_and_read_keyed_roundtrip(spark, tmp_path):
     back = read_keyed(spark, path)
     assert back.columns == ["key", "value", "timestamp"]
     assert back.count() == users.count()
-    assert back.filter("key = '1'").first()["value"] == '{"userId":1,"userName":"Customer#000000001"}'
+    want = '{"userId":1,"userName":"Customer#000000001"}'
+    assert back.filter("key = '1'").first()["value"] == want
 
 
 def test_unknown_source_kind(spark):

@@ -111,7 +111,7 @@ def running_counts(df: DataFrame, key: str, order: str, min_count: int = 1,
                    out: str = "counts", group_limit: int | None = None) -> DataFrame:
     """``(key, order, out)``: one row per input row whose running count is ``>= min_count``."""
     rows, prefix, biggest = _stage(df, key, order, block)
-    if biggest <= (group_limit or 2 * block):
+    if biggest <= (2 * block if group_limit is None else group_limit):
         n = _direct(rows, prefix, key, order)
         return n.filter(F.col("__n") >= min_count).select(key, order, F.col("__n").alias(out))
     r = _ranges(rows, prefix, key, order).select(
@@ -139,7 +139,7 @@ def retract_changelog(df: DataFrame, key: str, order: str, threshold: int,
     rows, prefix, biggest = _stage(df, key, order, block)
     shift = F.when(F.col(flag), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
     flags = F.explode(F.array(F.lit(True), F.lit(False))).alias(flag)
-    if biggest <= (group_limit or 2 * block):
+    if biggest <= (2 * block if group_limit is None else group_limit):
         n = _direct(rows, prefix, key, order).select(key, order, "__n", flags)
         return (n.select(order, key, flag, (F.col("__n") - shift).alias(out))
                  .filter(F.col(out) > threshold))

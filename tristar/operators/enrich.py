@@ -14,32 +14,55 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristar.session import scratch_dir
 from tristar.sources.roles import check_roles
 
 
-def fits_rows(dim: DataFrame, max_rows: int) -> bool:
-    """Whether ``dim`` has at most ``max_rows`` rows: a proof, not an estimate.
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
-    ``count()`` is a map-side partial aggregate (one number per task; a parquet scan reads
-    no columns for it), so the check stays cheap and distributed on any size. A
-    ``limit(n).count()`` would instead funnel up to n rows per partition into one task.
+
+def fits_rows(dim: DataFrame, max_rows: int,
+              max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``dim`` has at most ``max_rows`` rows and about ``max_bytes`` of data.
+
+    One aggregate gives the row count and the bytes of its variable-width columns
+    (strings, binaries; 8 bytes are counted for every other value, 16 per row for the
+    row overhead). It is a map-side partial aggregate (one row per task), so the check
+    stays distributed on any size; a ``limit(n).count()`` would funnel up to n rows per
+    partition into one task.
     """
-    return dim.count() <= max_rows
+    var = [f.name for f in dim.schema.fields
+           if f.dataType.simpleString() in ("string", "binary")]
+    fixed = 16 + 8 * (len(dim.columns) - len(var))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"b{i}")
+             for i, c in enumerate(var)]
+    row = dim.agg(*aggs).first()
+    n = row["n"]
+    size = n * fixed + sum(row[f"b{i}"] for i in range(len(var)))
+    return n <= max_rows and size <= max_bytes
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
-    """Mark ``dim`` for broadcast only if it has at most ``max_rows`` rows; past the bound
-    it is returned unmarked and the join shuffles instead."""
+    """Mark ``dim`` for broadcast only under the row and byte bounds; past them it is
+    returned unmarked and the join shuffles instead."""
     if max_rows is None or dim.isStreaming:
         return dim
     return F.broadcast(dim) if fits_rows(dim, max_rows) else dim
 
 
 SALT = "__salt"
+SALT_SEED = 20_241_202
+
+
+def salt_column(salt: int) -> Column:
+    """A salt in [0, salt) per row. ``rand`` with a fixed seed is seeded per partition, so
+    a retried task over the same input draws the same values; any value is correct
+    anyway, because every dimension row exists once per salt."""
+    return F.floor(F.rand(SALT_SEED) * F.lit(salt)).cast("bigint")
 
 
 def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
@@ -66,7 +89,9 @@ def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
         dim = dim.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                    F.lit(salt - 1).cast("bigint"))).alias(SALT))
         cols.append(SALT)
-    (dim.write.bucketBy(n, *cols).sortBy(*cols)
+    # Repartitioning by the bucket columns first gives one file per bucket (the bucket
+    # id is the same hash modulo n), instead of up to n files from every write task.
+    (dim.repartition(n, *cols).write.bucketBy(n, *cols).sortBy(*cols)
         .option("path", scratch_dir(spark, table)).saveAsTable(table))
     return spark.table(table)
 
@@ -75,14 +100,14 @@ def salted_stream_join(facts: DataFrame, cards: DataFrame, users: DataFrame,
                        salt: int) -> DataFrame:
     """``enrich`` for dimensions from ``prepare_dimension(..., salt=salt)``.
 
-    Each fact gets ``__salt = pmod(xxhash64(all fact columns), salt)`` (deterministic, so
-    a replayed batch lands in the same tasks) and joins a salted dimension on
+    Each fact gets a ``__salt`` in [0, salt) and joins a salted dimension on
     ``(key, __salt)``; an unsalted (broadcast) dimension joins on the key alone. Each fact
-    meets exactly one copy of each dimension row, so the result equals ``enrich``.
+    meets exactly one copy of each dimension row whatever its salt, so the result equals
+    ``enrich``. The salt is drawn per row (``salt_column``), so even identical copies of
+    one fact, a pile a content hash would send to one task, are spread.
     """
     check_roles(cards, facts, users)
-    f = facts.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]),
-                                      F.lit(salt)))
+    f = facts.withColumn(SALT, salt_column(salt))
     c = cards.withColumnRenamed(SALT, "__cs") if SALT in cards.columns else cards
     u = users.withColumnRenamed(SALT, "__us") if SALT in users.columns else users
     on_card = F.col("fc.card_id") == F.col("c.card_id")

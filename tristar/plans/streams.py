@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tristar.operators.counts import enriched_counts
 from tristar.session import batch_bytes, scratch_dir
 from tristar.sources.keyed import keyed_table, read_keyed
+from tristar.operators.enrich import prepare_dimension
 from tristar.sources.roles import (
-    EVENT_THRESHOLD, Star, cards_from_part, event_star, read_table, users_from_customer,
+    EVENT_THRESHOLD, Star, cards_from_part, event_star, read_table, stream_location,
+    users_from_customer,
 )
 from tristar.streaming.jobs import (
-    BOUNDED, CARD_WIRE, USER_WIRE, combine_counts, event_fact_stream, keyed_star_streams,
+    BOUNDED, CARD_WIRE, DEFAULT_BROADCAST_ROWS, USER_WIRE, combine_counts, event_fact_stream,
+    keyed_star_streams,
     publish_star, run_live, run_relay, run_retract, run_snapshot, run_sql, run_stream_join,
     run_updates,
     stream_enriched,
@@ -27,7 +30,8 @@ USER_COLS = ["user_id", "user_name", "counts"]
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
     """The whole events table as a stream, in micro-batches of a few cluster waves."""
-    return event_fact_stream(spark, sf, glob="events.parquet", max_bytes=batch_bytes(spark))
+    folder, glob = stream_location(spark, sf, "events")
+    return event_fact_stream(spark, folder, glob=glob, max_bytes=batch_bytes(spark))
 
 
 def _dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -69,6 +73,8 @@ def q_stream_retract_net(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_sql_having(spark: SparkSession, sf: str) -> DataFrame:
     run = scratch_dir(spark, "stream_sql_having")
     cards, users = _dims(spark, sf)
+    cards = prepare_dimension(cards, "card_id", DEFAULT_BROADCAST_ROWS, name="cards")
+    users = prepare_dimension(users, "user_id", DEFAULT_BROADCAST_ROWS, name="users")
     views = {"verifications": _facts(spark, sf), "cards": cards, "users": users}
     sql = ("SELECT u.user_id, u.user_name, COUNT(*) AS counts "
            "FROM verifications v JOIN cards c ON c.card_id = v.card_id "
@@ -119,7 +125,7 @@ def q_live_dimension_counts(spark: SparkSession, sf: str) -> DataFrame:
     replicated tables each micro-batch; each batch is counted per user before it is
     written, and the per-batch counts are summed by a batch job."""
     run = scratch_dir(spark, "live_dimension_counts")
-    topics = publish_star(event_star(spark, sf), f"{run}/topics")
+    topics = publish_star(event_star(spark, sf), f"{run}/topics", roles=("cards", "users"))
     run_live(_facts(spark, sf), _live_dims(topics), f"{run}/relay", f"{run}/checkpoint",
              BOUNDED, by="id_and_name").awaitTermination()
     return combine_counts(spark, f"{run}/relay", "id_and_name",

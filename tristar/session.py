@@ -107,6 +107,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares; "
+                           "a driver-local temporary folder cannot hold cluster output")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tristar-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -117,17 +120,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_stage(df: DataFrame, name: str) -> DataFrame:
+def write_stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to a fresh folder under the shared work folder and read it back.
 
     Used where a plan would otherwise compute the same input twice (two branches that
     Catalyst cannot share), and to cut a long lineage: a lost executor then re-reads the
-    written files instead of recomputing from the source tables.
+    written files instead of recomputing from the source tables. A given ``path`` is
+    overwritten (a reusable slot); by default each call gets a fresh folder.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, name)
+    path = path or scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-__all__ = ["get_session", "batch_bytes", "ensure_checkpoint_dir", "scale_conf", "scratch_dir", "write_stage"]
+__all__ = ["get_session", "batch_bytes", "ensure_checkpoint_dir", "scale_conf", "scratch_dir",
+           "write_stage"]

@@ -81,8 +81,24 @@ class Star(NamedTuple):
     users: DataFrame
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def stream_location(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str | None]:
+    """``(folder, glob)`` for streaming table ``name``: a folder-form table (part files
+    under ``name.parquet/``, the only form at scale) streams from its own folder; a
+    single-file table streams from ``sf_dir`` with a file-name glob (a stream source
+    needs a directory). Decided from the file listing, no data read."""
+    path = table_path(sf_dir, name)
+    files = spark.read.parquet(path).inputFiles()
+    if len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet"):
+        return sf_dir, f"{name}.parquet"
+    return path, None
 
 
 def cards_from_part(part: DataFrame) -> DataFrame:

@@ -27,10 +27,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tristar.functions.records import decode
 from tristar.functions.time import epoch_seconds, event_time
 from tristar.operators.counts import enriched_counts, verified_users
-from tristar.operators.enrich import SALT, enrich, prepare_dimension, salted_stream_join
+from tristar.operators.enrich import (
+    SALT, enrich, prepare_dimension, salt_column, salted_stream_join,
+)
 from tristar.sources.keyed import keyed_source, publish_keyed
 from tristar.sources.roles import Star, verifications_from_events
-from tristar.session import write_stage
+from tristar.session import scratch_dir, write_stage
 from tristar.streaming.sinks import BatchDirSink, RetractSink, batch_path
 
 CONTINUOUS = {"processingTime": "1 second"}
@@ -111,20 +113,25 @@ def stream_enriched(facts: DataFrame, cards: DataFrame, users: DataFrame,
     return enrich(cards, facts, users)
 
 
-def publish_star(star: Star, folder: str, events_ts: str = "verification_date") -> dict[str, str]:
-    """Publish the three roles as keyed JSON record folders (wire field names).
+def publish_star(star: Star, folder: str, events_ts: str = "verification_date",
+                 roles: Sequence[str] = ("cards", "verifications", "users")) -> dict[str, str]:
+    """Publish the listed roles as keyed JSON record folders (wire field names).
 
-    Returns ``{"cards": path, "verifications": path, "users": path}``.
+    Returns ``{role: path}`` for the published roles.
     """
-    paths = {r: f"{folder.rstrip('/')}/{r}" for r in ("cards", "verifications", "users")}
-    publish_keyed(star.cards, "card_id", ["card_id", "title"], paths["cards"],
-                  names=["cardId", "cardTitle"])
-    v = star.verifications.withColumn("__epoch", epoch_seconds(events_ts))
-    publish_keyed(v, "id", ["id", "card_id", "__epoch", "verified_by"], paths["verifications"],
-                  names=["verificationId", "cardId", "verificationDate", "verifiedByUserId"],
-                  timestamp=event_time(events_ts))
-    publish_keyed(star.users, "user_id", ["user_id", "user_name"], paths["users"],
-                  names=["userId", "userName"])
+    paths = {r: f"{folder.rstrip('/')}/{r}" for r in roles}
+    if "cards" in paths:
+        publish_keyed(star.cards, "card_id", ["card_id", "title"], paths["cards"],
+                      names=["cardId", "cardTitle"])
+    if "verifications" in paths:
+        v = star.verifications.withColumn("__epoch", epoch_seconds(events_ts))
+        publish_keyed(v, "id", ["id", "card_id", "__epoch", "verified_by"],
+                      paths["verifications"],
+                      names=["verificationId", "cardId", "verificationDate", "verifiedByUserId"],
+                      timestamp=event_time(events_ts))
+    if "users" in paths:
+        publish_keyed(star.users, "user_id", ["user_id", "user_name"], paths["users"],
+                      names=["userId", "userName"])
     return paths
 
 
@@ -210,15 +217,15 @@ def stream_join(streams: Star, salt: int = 1) -> DataFrame:
     verifier (append-only result; every side's rows stay in join state).
 
     AQE does not run in a streaming plan, so a hot card or user would put its share of
-    the join state and work in one task. With ``salt`` > 1 each verification gets a salt
-    ``pmod(xxhash64(id), salt)`` (deterministic, so a replay lands in the same task) and
-    every dimension row is replicated once per salt value; a hot key is then spread over
-    ``salt`` tasks. The result is unchanged; dimension state grows ``salt`` times.
+    the join state and work in one task. With ``salt`` > 1 each verification draws a salt
+    per row (``salt_column``; identical copies are spread too) and every dimension row is
+    replicated once per salt value; a hot key is then spread over ``salt`` tasks. The
+    result is unchanged; dimension state grows ``salt`` times.
     """
     cards, ver, users = streams
     if salt > 1:
         replicas = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint")))
-        ver = ver.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(salt)))
+        ver = ver.withColumn("__salt", salt_column(salt))
         cards = cards.select("*", replicas.alias("__salt"))
         users = users.select("*", replicas.alias("__salt_u"))
         first = cards.join(ver, ["card_id", "__salt"])
@@ -306,6 +313,7 @@ def run_two_stage(spark: SparkSession, streams: Star, relay: str, out: str, chec
     The counting stage needs the relay's first files for its schema, so with a
     continuous trigger the join is started first and given one batch to land.
     """
+    spark.streams.resetTerminated()
     join_q = run_stream_join(streams, relay, f"{checkpoint}/join", trigger)
     join_q.processAllAvailable()
     count_q = run_relay(spark, relay, out, f"{checkpoint}/count", threshold, by,
@@ -313,12 +321,13 @@ def run_two_stage(spark: SparkSession, streams: Star, relay: str, out: str, chec
     return [join_q, count_q]
 
 
-def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
-    """Block until any active query of the session ends (or fails, re-raising its error)."""
+def await_any(spark: SparkSession, timeout_s: int | None = None) -> bool | None:
+    """Block until a query of the session ends (re-raising its error), or ``timeout_s``
+    seconds pass. Queries that ended before the last ``resetTerminated`` do not count;
+    ``run_two_stage`` resets before it starts its queries."""
     if timeout_s is None:
-        spark.streams.awaitAnyTermination()
-    else:
-        spark.streams.awaitAnyTermination(int(timeout_s * 1000))
+        return spark.streams.awaitAnyTermination()
+    return spark.streams.awaitAnyTermination(int(timeout_s))
 
 
 def stop_all(queries: Sequence[StreamingQuery]) -> None:
@@ -349,6 +358,7 @@ class LiveEnrich:
         self.refresh_every = max(1, int(refresh_every))
         self._dims: tuple[DataFrame, DataFrame] | None = None
         self._loaded_at = -1
+        self._slot: str | None = None      # one reusable folder: refreshes overwrite it
 
     def dims(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, DataFrame]:
         if self.refresh_every == 1:
@@ -356,7 +366,9 @@ class LiveEnrich:
         if self._dims is None or batch_id - self._loaded_at >= self.refresh_every \
                 or batch_id < self._loaded_at:
             cards, users = self.load_dims(spark)
-            self._dims = (write_stage(cards, "live-cards"), write_stage(users, "live-users"))
+            self._slot = self._slot or scratch_dir(spark, "live-dims")
+            self._dims = (write_stage(cards, "live-cards", f"{self._slot}/cards"),
+                          write_stage(users, "live-users", f"{self._slot}/users"))
             self._loaded_at = batch_id
         return self._dims
 

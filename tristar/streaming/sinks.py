@@ -11,6 +11,7 @@ replayed after a failure replaces its own earlier attempt instead of adding to i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,29 +57,38 @@ class RetractSink:
         else:
             prev = spark.createDataFrame([], cur.schema)
         v, k = self.value, self.key
-        old = prev.select(*k, F.col(v).alias("__old"))
-        new = cur.select(*k, F.col(v).alias("__new"))
-        rest = [c for c in cur.columns if c not in k and c != v]
-        if rest:   # carried columns (e.g. a name) come from whichever side has the key
-            carried = cur.select(*k, *rest).unionByName(prev.select(*k, *rest)) \
-                         .groupBy(*k).agg(*[F.first(c).alias(c) for c in rest])
-        diff = old.join(new, k, "full_outer").filter(
-            ~F.col("__old").eqNullSafe(F.col("__new")))
-        retracts = diff.filter(F.col("__old").isNotNull()).select(
-            *k, F.lit(False).alias(self.flag), F.col("__old").alias(v))
-        adds = diff.filter(F.col("__new").isNotNull()).select(
-            *k, F.lit(True).alias(self.flag), F.col("__new").alias(v))
-        out = retracts.unionByName(adds)
-        if rest:
-            out = out.join(carried, k, "left")
-        out.write.mode("overwrite").parquet(batch_path(self.changelog, batch_id))
+        # Each side keeps its own carried columns (e.g. a name that changed), so a retract
+        # row repeats exactly the row that was added earlier.
+        old = prev.select(*k, F.col(v).alias("__old"), *[c for c in prev.columns
+                                                          if c not in k and c != v])
+        new = cur.select(*k, F.col(v).alias("__new"), *[c for c in cur.columns
+                                                         if c not in k and c != v])
+        retracts = (old.join(new.select(*k, "__new"), k, "left")
+                       .filter(~F.col("__old").eqNullSafe(F.col("__new")))
+                       .select(*[c for c in old.columns if c != "__old"],
+                               F.lit(False).alias(self.flag), F.col("__old").alias(v)))
+        adds = (new.join(old.select(*k, "__old"), k, "left")
+                   .filter(~F.col("__new").eqNullSafe(F.col("__old")))
+                   .select(*[c for c in new.columns if c != "__new"],
+                           F.lit(True).alias(self.flag), F.col("__new").alias(v)))
+        retracts.unionByName(adds).write.mode("overwrite").parquet(
+            batch_path(self.changelog, batch_id))
+
+
+def latest_batch_id(spark: SparkSession, out: str) -> int:
+    """Highest ``batch_id=`` folder, from the file listing (no data read). An empty batch
+    still counts: Spark writes a schema-only file for an empty result."""
+    ids = [int(m.group(1)) for f in spark.read.parquet(out).inputFiles()
+           if (m := re.search(r"/batch_id=(\d+)/", f))]
+    if not ids:
+        raise FileNotFoundError(f"no batch folders under {out}")
+    return max(ids)
 
 
 def read_latest_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """The snapshot of the highest batch id (partition pruning keeps the read to it)."""
-    df = spark.read.parquet(out)
-    last = df.agg(F.max("batch_id")).first()[0]
-    return df.filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
+    """The snapshot of the highest batch id, read from its folder alone."""
+    last = latest_batch_id(spark, out)
+    return spark.read.parquet(batch_path(out, last))
 
 
 def read_final_state(spark: SparkSession, out: str, key: Sequence[str] | str) -> DataFrame:
