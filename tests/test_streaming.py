@@ -438,3 +438,15 @@ def test_salted_bucketed_stream_static_join(spark, chunked_events, tmp_dir, caps
             rows_of(batch_twin(spark))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_streaming_counts_by_id_and_by_name(spark, chunked_events, tmp_dir):
+    cards, users = dims(spark)
+    for by in ("id", "name"):
+        facts = event_fact_stream(spark, chunked_events, max_files=1)
+        counts = enriched_counts(stream_enriched(facts, cards, users), by=by, threshold=K)
+        out = f"{tmp_dir}/{by}"
+        run_updates(counts, out, f"{out}-ckpt", BOUNDED).awaitTermination()
+        key = ["user_id"] if by == "id" else ["user_name"]
+        want = verified_users(*event_star(spark, SF0001), by=by, threshold=K)
+        assert rows_of(read_final_state(spark, out, key)) == rows_of(want), by
