@@ -48,3 +48,13 @@ def test_count_after_stream_static_join_runs(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / f"ok-{mode}"))
              .trigger(availableNow=True).start())
         q.awaitTermination()
+
+
+def test_kafka_without_connector_says_so(spark):
+    from tristar.sources import keyed_source
+    try:
+        keyed_source(spark, "kafka", "users", options={"kafka.bootstrap.servers": "unused:1"})
+    except RuntimeError as e:
+        assert "Kafka connector" in str(e)
+    else:                                   # a connector is present: nothing to check here
+        pytest.skip("Kafka connector available")

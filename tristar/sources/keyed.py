@@ -49,7 +49,15 @@ def keyed_source(spark: SparkSession, kind: str, location: str, starting: str =
         reader = reader.option("startingOffsets", starting)
         for k, v in options.items():
             reader = reader.option(k, v)
-        return cast_keyed(reader.load())
+        try:
+            return cast_keyed(reader.load())
+        except Exception as e:
+            msg = str(e).lower()
+            if "kafka" in msg and "data source" in msg:
+                raise RuntimeError(
+                    "the Kafka connector (spark-sql-kafka-0-10 for this Spark version) is "
+                    "not on the classpath; add it to the job, or use kind='files'") from e
+            raise
     raise ValueError(f"unknown source kind {kind!r}; use 'files' or 'kafka'")
 
 
