@@ -19,7 +19,7 @@ from tristar.streaming.jobs import (
     keyed_star_streams,
     publish_star, run_live, run_relay, run_retract, run_snapshot, run_sql, run_stream_join,
     run_updates,
-    stream_enriched,
+    state_partitions, stream_enriched,
 )
 from tristar.streaming.sinks import (
     net_changelog, read_changelog, read_final_state, read_latest_snapshot,
@@ -44,7 +44,8 @@ def q_stream_snapshot_counts(spark: SparkSession, sf: str) -> DataFrame:
     cards, users = _dims(spark, sf)
     counts = enriched_counts(stream_enriched(_facts(spark, sf), cards, users),
                              by="id_and_name", threshold=EVENT_THRESHOLD)
-    run_snapshot(counts, f"{run}/out", f"{run}/checkpoint", BOUNDED).awaitTermination()
+    run_snapshot(counts, f"{run}/out", f"{run}/checkpoint", BOUNDED,
+                 partitions=state_partitions(spark)).awaitTermination()
     return read_latest_snapshot(spark, f"{run}/out").select(*USER_COLS)
 
 
@@ -53,7 +54,8 @@ def q_stream_update_counts(spark: SparkSession, sf: str) -> DataFrame:
     cards, users = _dims(spark, sf)
     counts = enriched_counts(stream_enriched(_facts(spark, sf), cards, users),
                              by="id_and_name", threshold=EVENT_THRESHOLD)
-    run_updates(counts, f"{run}/out", f"{run}/checkpoint", BOUNDED).awaitTermination()
+    run_updates(counts, f"{run}/out", f"{run}/checkpoint", BOUNDED,
+                partitions=state_partitions(spark)).awaitTermination()
     return read_final_state(spark, f"{run}/out", ["user_id", "user_name"]).select(*USER_COLS)
 
 
@@ -65,7 +67,8 @@ def q_stream_retract_net(spark: SparkSession, sf: str) -> DataFrame:
     counts = enriched_counts(stream_enriched(_facts(spark, sf), cards, users),
                              by="id_and_name", threshold=EVENT_THRESHOLD)
     run_retract(counts, ["user_id", "user_name"], f"{run}/snapshots", f"{run}/changelog",
-                f"{run}/checkpoint", trigger=BOUNDED).awaitTermination()
+                f"{run}/checkpoint", trigger=BOUNDED,
+                partitions=state_partitions(spark)).awaitTermination()
     log = read_changelog(spark, f"{run}/changelog")
     return net_changelog(log, ["user_id", "user_name"]).select(*USER_COLS)
 
@@ -81,7 +84,7 @@ def q_stream_sql_having(spark: SparkSession, sf: str) -> DataFrame:
            "JOIN users u ON v.verified_by = u.user_id "
            f"GROUP BY u.user_id, u.user_name HAVING COUNT(*) > {EVENT_THRESHOLD}")
     run_sql(spark, views, sql, f"{run}/out", f"{run}/checkpoint",
-            trigger=BOUNDED).awaitTermination()
+            trigger=BOUNDED, partitions=state_partitions(spark)).awaitTermination()
     return read_final_state(spark, f"{run}/out", ["user_id", "user_name"]).select(*USER_COLS)
 
 
@@ -93,7 +96,8 @@ def _published_streams(spark: SparkSession, sf: str, run: str) -> Star:
 def q_stream_stream_join(spark: SparkSession, sf: str) -> DataFrame:
     run = scratch_dir(spark, "stream_stream_join")
     streams = _published_streams(spark, sf, run)
-    run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint", BOUNDED).awaitTermination()
+    run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint", BOUNDED,
+                    partitions=state_partitions(spark)).awaitTermination()
     return spark.read.parquet(f"{run}/relay").select(
         "verification_id", "card_id", "card_title", "user_id", "user_name")
 
@@ -101,10 +105,12 @@ def q_stream_stream_join(spark: SparkSession, sf: str) -> DataFrame:
 def q_two_stage_relay(spark: SparkSession, sf: str) -> DataFrame:
     run = scratch_dir(spark, "two_stage_relay")
     streams = _published_streams(spark, sf, run)
-    run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint-join", BOUNDED).awaitTermination()
+    run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint-join", BOUNDED,
+                    partitions=state_partitions(spark)).awaitTermination()
     run_relay(spark, f"{run}/relay", f"{run}/out", f"{run}/checkpoint-count",
               threshold=EVENT_THRESHOLD, by="name", trigger=BOUNDED,
-              max_bytes=batch_bytes(spark)).awaitTermination()
+              max_bytes=batch_bytes(spark),
+              partitions=state_partitions(spark)).awaitTermination()
     return read_latest_snapshot(spark, f"{run}/out").select("user_name", "counts")
 
 

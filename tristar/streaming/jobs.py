@@ -62,10 +62,30 @@ USER_WIRE = T.StructType([
 ])
 
 
-def _start(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Two tasks per core: the state-store partition count a new query is started with
+    in the registry (fixed in its checkpoint from then on)."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
+def _start(writer, checkpoint: str, trigger: dict | None, spark: SparkSession | None = None,
+           partitions: int | None = None) -> StreamingQuery:
+    """Start with a checkpoint. With ``partitions`` the query's shuffles (and so its state
+    store) use that many partitions; the session setting is restored once the query has
+    taken its copy of the configuration at start."""
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or CONTINUOUS))
-    return writer.start()
+    if spark is None or partitions is None:
+        return writer.start()
+    old = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(int(partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, old)
 
 
 # ---- sources ---------------------------------------------------------------------------
@@ -158,30 +178,31 @@ def keyed_star_streams(spark: SparkSession, locations: dict[str, str], kind: str
 # ---- stream-static counts ----------------------------------------------------------------
 
 def run_snapshot(counts: DataFrame, out: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
     """Complete mode: the whole result table each batch, as ``out/batch_id=n``."""
     w = counts.writeStream.outputMode("complete").foreachBatch(BatchDirSink(out))
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, counts.sparkSession, partitions)
 
 
 def run_updates(counts: DataFrame, out: str, checkpoint: str,
-                trigger: dict | None = None) -> StreamingQuery:
+                trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
     """Update mode: only the rows whose value changed in each batch."""
     w = counts.writeStream.outputMode("update").foreachBatch(BatchDirSink(out))
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, counts.sparkSession, partitions)
 
 
 def run_retract(counts: DataFrame, key: Sequence[str], snapshots: str, changelog: str,
                 checkpoint: str, value: str = "counts",
-                trigger: dict | None = None) -> StreamingQuery:
+                trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
     """Retract/add changelog at micro-batch grain (see ``RetractSink``)."""
     w = counts.writeStream.outputMode("complete").foreachBatch(
         RetractSink(snapshots, changelog, key, value))
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, counts.sparkSession, partitions)
 
 
 def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str,
-            checkpoint: str, mode: str = "update", trigger: dict | None = None) -> StreamingQuery:
+            checkpoint: str, mode: str = "update", trigger: dict | None = None,
+            partitions: int | None = None) -> StreamingQuery:
     """SQL text over named (streaming and static) DataFrames, written per batch.
 
     The names exist only while the text is analysed; the analysed plan holds the
@@ -195,7 +216,7 @@ def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str
         for name in views:
             spark.catalog.dropTempView(name)
     w = result.writeStream.outputMode(mode).foreachBatch(BatchDirSink(out))
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, spark, partitions)
 
 
 # ---- stream-stream join and relay -------------------------------------------------------
@@ -241,7 +262,8 @@ def stream_join(streams: Star, salt: int = 1) -> DataFrame:
 
 def run_stream_join(streams: Star, relay: str, checkpoint: str,
                     trigger: dict | None = None, kind: str = "files",
-                    options: dict[str, str] | None = None, salt: int = 1) -> StreamingQuery:
+                    options: dict[str, str] | None = None, salt: int = 1,
+                    partitions: int | None = None) -> StreamingQuery:
     """Write the three-stream join to a relay.
 
     ``kind="files"``: a parquet relay through the file sink, exactly-once for readers.
@@ -260,7 +282,7 @@ def run_stream_join(streams: Star, relay: str, checkpoint: str,
             w = w.option(k, v)
     else:
         raise ValueError(f"unknown relay kind {kind!r}")
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, joined.sparkSession, partitions)
 
 
 def relay_stream(spark: SparkSession, relay: str, kind: str = "files",
@@ -297,11 +319,11 @@ def run_relay(spark: SparkSession, relay: str, out: str, checkpoint: str, thresh
               trigger: dict | None = None, kind: str = "files",
               dedup_within: str | None = None,
               options: dict[str, str] | None = None,
-              max_bytes: int | None = None) -> StreamingQuery:
+              max_bytes: int | None = None, partitions: int | None = None) -> StreamingQuery:
     """Second stage: count the relay per user (complete mode), keep counts > threshold."""
     rows = relay_stream(spark, relay, kind, max_files, dedup_within, options, max_bytes)
     counts = enriched_counts(rows, by=by, threshold=threshold)
-    return run_snapshot(counts, out, checkpoint, trigger)
+    return run_snapshot(counts, out, checkpoint, trigger, partitions)
 
 
 def run_two_stage(spark: SparkSession, streams: Star, relay: str, out: str, checkpoint: str,
