@@ -450,3 +450,16 @@ def test_streaming_counts_by_id_and_by_name(spark, chunked_events, tmp_dir):
         key = ["user_id"] if by == "id" else ["user_name"]
         want = verified_users(*event_star(spark, SF0001), by=by, threshold=K)
         assert rows_of(read_final_state(spark, out, key)) == rows_of(want), by
+
+
+def test_state_partitions_apply_to_the_query_only(spark, chunked_events, tmp_dir):
+    import os
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = run_updates(counts_stream(spark, chunked_events), f"{tmp_dir}/out", f"{tmp_dir}/ckpt",
+                    BOUNDED, partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert sorted(d for d in os.listdir(f"{tmp_dir}/ckpt/state/0") if d.isdigit()) == \
+        ["0", "1", "2"]
+    assert rows_of(read_final_state(spark, f"{tmp_dir}/out", ["user_id", "user_name"])) == \
+        rows_of(batch_twin(spark))
