@@ -72,3 +72,37 @@ def test_retract_sink_diffs_and_nets_to_last_snapshot(spark, tmp_path_factory, s
     net = sorted(tuple(r) for r in net_changelog(log.drop("batch_id"), ["user_id"])
                  .select("user_id", "counts").collect())
     assert net == sorted(seq[-1].items())
+
+
+record = st.one_of(st.none(), st.just("corrupt"), st.sampled_from(["ann", "bob", "cy"]))
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(log=st.lists(st.tuples(st.integers(0, 4), record), min_size=1, max_size=25))
+def test_keyed_table_equals_log_replay(spark, tmp_path_factory, log):
+    """Latest parsed record per key wins; a tombstone deletes; corrupt text is skipped."""
+    import datetime as dt
+    import json
+
+    from tristar.sources import keyed_table, read_keyed
+    from tristar.streaming.jobs import USER_WIRE
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i, (k, v) in enumerate(log):               # distinct, increasing record times
+        text = None if v is None else "{oops" if v == "corrupt" else \
+            json.dumps({"userId": k, "userName": v})
+        rows.append((str(k), text, t0 + dt.timedelta(seconds=i)))
+    path = str(tmp_path_factory.mktemp("log") / "users")
+    spark.createDataFrame(rows, "key string, value string, timestamp timestamp") \
+        .write.parquet(path)
+    state: dict[int, str] = {}
+    for k, v in log:
+        if v is None:
+            state.pop(k, None)
+        elif v != "corrupt":
+            state[k] = v
+    got = sorted(tuple(r) for r in keyed_table(read_keyed(spark, path), USER_WIRE,
+                                                {"userId": "user_id", "userName": "user_name"})
+                 .collect())
+    assert got == sorted(state.items())
