@@ -28,8 +28,9 @@ def test_eager_counts_equal_join_counts(spark, cards, users, facts, by, k):
     u = spark.createDataFrame(users, "user_id long, user_name string")
     v = spark.createDataFrame([(a, None, b) for a, b in facts],
                               "card_id long, verification_date timestamp_ntz, verified_by long")
-    assert rows_of(verified_users(c, v, u, by=by, threshold=k)) == \
-        rows_of(enriched_counts(enrich(c, v, u), by=by, threshold=k))
+    want = rows_of(enriched_counts(enrich(c, v, u), by=by, threshold=k))
+    assert rows_of(verified_users(c, v, u, by=by, threshold=k)) == want
+    assert rows_of(verified_users(c, v, u, by=by, threshold=k, pre_aggregate=True)) == want
 
 
 @SETTINGS

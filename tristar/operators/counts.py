@@ -42,25 +42,36 @@ def _carried(carry: dict[str, str]) -> list[Column]:
 
 def grouped_counts(cards: DataFrame, verifications: DataFrame, users: DataFrame,
                    group: Sequence[str], threshold: int | None = None, out: str = "counts",
-                   carry: dict[str, str] | None = None) -> DataFrame:
+                   carry: dict[str, str] | None = None,
+                   pre_aggregate: bool = False) -> DataFrame:
     """``group..., [carried...], out`` = count of enriched rows per group, ``> threshold``.
 
     ``carry`` maps a column to an aggregate name (``{"user_name": "min"}``) for columns
     that ride along with the group without being part of it.
+
+    ``pre_aggregate`` first counts facts per (card, user) with a map-side combine, so the
+    fact shuffle carries distinct pairs. It pays when pairs repeat a lot (few cards or few
+    users per partition); with nearly unique pairs the extra aggregate only costs, so it
+    is off by default. Either way the result is exact.
     """
     check_roles(cards, verifications, users)
     group, carry = list(group), dict(carry or {})
     needed = set(group) | set(carry)
     v = verifications.select("card_id", "verified_by")
+    if pre_aggregate:
+        v = v.groupBy("card_id", "verified_by").agg(F.count(F.lit(1)).alias("__m"))
+        weight = F.sum("__m")
+    else:
+        weight = F.count(F.lit(1))
     if needed <= set(users.columns):
         card_keys = cards.select("card_id")
         per_key = (v.join(card_keys, "card_id")
-                    .groupBy("verified_by").agg(F.count(F.lit(1)).alias("__n")))
+                    .groupBy("verified_by").agg(weight.alias("__n")))
         joined = per_key.join(users, F.col("verified_by") == F.col("user_id"))
     elif needed <= set(cards.columns):
         user_keys = users.select(F.col("user_id"))
         per_key = (v.join(user_keys, F.col("verified_by") == F.col("user_id"))
-                    .groupBy("card_id").agg(F.count(F.lit(1)).alias("__n")))
+                    .groupBy("card_id").agg(weight.alias("__n")))
         joined = per_key.join(cards, "card_id")
     else:
         res = (enrich(cards, verifications, users).groupBy(*group)
@@ -71,7 +82,8 @@ def grouped_counts(cards: DataFrame, verifications: DataFrame, users: DataFrame,
 
 
 def verified_users(cards: DataFrame, verifications: DataFrame, users: DataFrame,
-                   by: str = "id", threshold: int | None = None, out: str = "counts") -> DataFrame:
+                   by: str = "id", threshold: int | None = None, out: str = "counts",
+                   pre_aggregate: bool = False) -> DataFrame:
     """Users with more than ``threshold`` verifications, grouped ``by``:
 
     * ``"id"``: per user id, name carried as ``min(user_name)`` (unique per id in a keyed
@@ -80,7 +92,8 @@ def verified_users(cards: DataFrame, verifications: DataFrame, users: DataFrame,
     * ``"id_and_name"``: per (id, name).
     """
     group, carry = BY[by]
-    return grouped_counts(cards, verifications, users, group, threshold, out, carry)
+    return grouped_counts(cards, verifications, users, group, threshold, out, carry,
+                          pre_aggregate)
 
 
 def enriched_counts(enriched: DataFrame, by: str = "id_and_name", threshold: int | None = None,
