@@ -1,5 +1,5 @@
 """Per-record replay of the count: block-decomposed running counts against a brute-force
-``row_number`` window, with tiny blocks and chunks so every path runs."""
+``row_number`` window, with tiny blocks so every row crosses block boundaries."""
 
 import random
 
@@ -35,16 +35,16 @@ def test_running_counts_match_row_number_all_paths(spark):
     for seed in range(2):
         df = spark.createDataFrame(skewed_rows(seed), SCHEMA)
         ref = brute(df.dropna(), 0)
-        for block, chunk in ((7, 4), (64, 1000), (1 << 20, 1 << 16)):
-            got = running_counts(df, "user_id", "event_id", block=block, chunk=chunk)
+        for block in (1, 7, 64, 1 << 20):
+            got = running_counts(df, "user_id", "event_id", block=block)
             assert multiset(got, ["user_id", "event_id", "counts"]) == \
-                multiset(ref, ["user_id", "event_id", "n"]), (seed, block, chunk)
+                multiset(ref, ["user_id", "event_id", "n"]), (seed, block)
 
 
 def test_running_updates_threshold(spark):
     df = spark.createDataFrame(skewed_rows(3), SCHEMA)
     ref = brute(df.dropna(), 0).filter("n > 20")
-    got = running_updates(df, "user_id", "event_id", 20, block=5, chunk=3)
+    got = running_updates(df, "user_id", "event_id", 20, block=5)
     assert got.columns == ["event_id", "user_id", "counts"]
     assert multiset(got, ["event_id", "user_id", "counts"]) == \
         multiset(ref, ["event_id", "user_id", "n"])
@@ -60,8 +60,8 @@ def test_retract_changelog_matches_definition(spark):
                                                  F.lit(False).alias("is_add"),
                                                  (F.col("n") - 1).alias("counts"))
     cols = ["event_id", "user_id", "is_add", "counts"]
-    for block, chunk in ((3, 2), (1 << 20, 1 << 16)):
-        got = retract_changelog(df, "user_id", "event_id", k, block=block, chunk=chunk)
+    for block in (3, 1 << 20):
+        got = retract_changelog(df, "user_id", "event_id", k, block=block)
         assert got.columns == cols
         assert multiset(got, cols) == multiset(adds.unionByName(rets), cols)
 
@@ -78,7 +78,7 @@ def test_negative_and_huge_orders(spark):
     big = (1 << 62) + 5
     rows = [(-7, 1), (-1, 1), (0, 1), (3, 1), (big, 1), (big - 1, 1), (big, 1), (-7, 2)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = running_counts(df, "user_id", "event_id", block=4, chunk=1)
+    got = running_counts(df, "user_id", "event_id", block=4)
     ref = brute(df, 0)
     assert multiset(got, ["user_id", "event_id", "counts"]) == \
         multiset(ref, ["user_id", "event_id", "n"])
@@ -91,15 +91,16 @@ def test_order_must_be_integral(spark):
         running_counts(df, "user_id", "event_id")
 
 
-def test_direct_and_collapsed_paths_agree(spark):
-    df = spark.createDataFrame(skewed_rows(9), SCHEMA)
+def test_block_sizes_agree_on_copies_and_sparse_orders(spark):
+    """Piles of identical copies and hash-sparse order values, any block size."""
+    rows = skewed_rows(9) + [((1 << 61) + 17 * i, 0) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
     ref = multiset(brute(df.dropna(), 0), ["user_id", "event_id", "n"])
-    for limit in (1, 10 ** 9):                  # 1 forces the collapsed path
-        got = running_counts(df, "user_id", "event_id", block=16, chunk=5, group_limit=limit)
-        assert multiset(got, ["user_id", "event_id", "counts"]) == ref, limit
+    for block in (1, 16, 1 << 20):
+        got = running_counts(df, "user_id", "event_id", block=block)
+        assert multiset(got, ["user_id", "event_id", "counts"]) == ref, block
         k = 30
-        rc = retract_changelog(df, "user_id", "event_id", k, block=16, chunk=5,
-                               group_limit=limit)
+        rc = retract_changelog(df, "user_id", "event_id", k, block=block)
         adds = sorted((e, u, True, n) for u, e, n in ref if n > k)
         rets = sorted((e, u, False, n - 1) for u, e, n in ref if n - 1 > k)
         assert multiset(rc, ["event_id", "user_id", "is_add", "counts"]) == sorted(adds + rets)

@@ -72,10 +72,10 @@ def test_corrupt_latest_dimension_record_is_skipped(spark, tmp_path):
     assert got == [(5, "a")]
 
 
-def test_group_limit_zero_forces_collapse(spark):
+def test_pile_of_copies_counts_consecutively(spark):
     from tristar.operators import running_counts
     df = spark.createDataFrame([(1, 1), (1, 1), (2, 1)], "event_id long, user_id long")
-    got = sorted(tuple(r) for r in running_counts(df, "user_id", "event_id", group_limit=0)
+    got = sorted(tuple(r) for r in running_counts(df, "user_id", "event_id", block=1)
                  .select("event_id", "counts").collect())
     assert got == [(1, 1), (1, 2), (2, 3)]
 

@@ -39,10 +39,12 @@ def test_small_dimensions_broadcast_no_fact_shuffle(spark):
 def test_changelog_scans_the_fact_once(spark):
     df = QUERIES["retract_changelog"](spark, SF001)
     plan = plan_text(df)
-    # the source tables are read once, when the distinct ranges are written; the plan
-    # itself only reads that written table
-    assert not any("props" in s for s in read_schemas(plan))
-    assert "Window" in plan
+    # the source tables are read once, when the positioned rows are written; the plan
+    # itself joins that table with the small per-block table, with no window over rows
+    schemas = read_schemas(plan)
+    assert not any("props" in s for s in schemas)
+    assert any("__pos" in s for s in schemas) and any("__before" in s for s in schemas)
+    assert "Window" not in plan
 
 
 def test_latest_by_key_combines_map_side(spark):

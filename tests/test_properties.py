@@ -36,14 +36,13 @@ def test_eager_counts_equal_join_counts(spark, cards, users, facts, by, k):
 @SETTINGS
 @given(rows=st.lists(st.tuples(st.integers(0, 40), st.sampled_from([0, 0, 0, 1, 2])),
                      min_size=1, max_size=120),
-       block=st.integers(1, 9), chunk=st.integers(1, 5), min_count=st.integers(1, 6))
-def test_block_replay_equals_row_number(spark, rows, block, chunk, min_count):
+       block=st.integers(1, 9), min_count=st.integers(1, 6))
+def test_block_replay_equals_row_number(spark, rows, block, min_count):
     df = spark.createDataFrame(rows, "event_id long, user_id long")
     w = Window.partitionBy("user_id").orderBy("event_id")
     ref = (df.withColumn("counts", F.row_number().over(w).cast("bigint"))
              .filter(F.col("counts") >= min_count))
-    got = running_counts(df, "user_id", "event_id", min_count=min_count, block=block,
-                         chunk=chunk)
+    got = running_counts(df, "user_id", "event_id", min_count=min_count, block=block)
     assert rows_of(got) == rows_of(ref)
 
 

@@ -7,144 +7,94 @@ For every input row of a key, in ``order``, the running count n of that key is:
     retract_changelog  (row, add, n) for n > k, and (row, retract, n - 1) for n - 1 > k
 
 A plain ``row_number() OVER (PARTITION BY key ORDER BY order)`` would put every row of a
-hot key in one task. ``running_counts`` computes the same numbers with bounded groups:
-
-1. ``(key, order, block)`` is written once to the shared folder (``block`` = ``order``
-   cut into runs of ``block`` consecutive values; this pass also cuts the lineage);
-2. rows are counted per ``(key, block)`` (map-side combine: few distinct pairs), and the
-   block totals are prefix-summed per key (one small row per block);
-3. if no ``(key, block)`` holds more than ``group_limit`` rows (the usual case), the count
-   of a row is its block prefix plus its ``row_number`` inside ``(key, block)``;
-4. otherwise some block holds piles of copies: rows are first collapsed per distinct
-   ``(key, order)`` with a multiplicity m (copies combine map-side), the window runs over
-   distinct rows (at most ``block`` per group), and each distinct row's count range
-   [lo, hi] is expanded back to m rows, long ranges cut into chunks that are shuffled
-   apart so one huge pile is expanded by many tasks.
-
-Only values above the threshold are materialised. ``order`` must be integral (ids,
-epoch seconds). Ties in ``order`` within a key get consecutive counts in arbitrary order,
-exactly as ``row_number`` gives them.
+hot key in one task. ``running_counts`` computes the same numbers with bounded work:
+
+1. rows are range-partitioned by ``(key, order, random tiebreak)`` (sampled bounds, so a
+   hot key, sparse order values and even a pile of identical copies spread over many
+   partitions), sorted within each partition, and numbered by their position there
+   (``monotonically_increasing_id``); ``block`` = position div ``block``. This is written
+   once to the shared folder (also cutting the lineage);
+2. per ``(key, block)`` (at most ``block`` rows each, by construction) the row count and
+   first position are aggregated, and block counts are prefix-summed per key: a key has
+   at most rows / ``block`` + partitions blocks;
+3. a row's count is its block's prefix plus its offset from the block's first position.
+   No window runs over the rows themselves, and only counts above the threshold are kept.
+
+``order`` must be integral (ids, epoch seconds). Ties in ``order`` within a key get
+consecutive counts in arbitrary order, exactly as ``row_number`` gives them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tristar.session import write_stage
 
 DEFAULT_BLOCK = 1 << 20
-DEFAULT_CHUNK = 1 << 16
+TIEBREAK_SEED = 4242
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
-def _floor_div(c: str, n: int) -> Column:
-    """Exact floor(c / n) on integers (no trip through double)."""
-    x = f"CAST(`{c}` AS BIGINT)"
-    return F.expr(f"({x} - pmod({x}, {int(n)})) div {int(n)}")
-
-
-def _stage(df: DataFrame, key: str, order: str, block: int):
-    """Write ``(key, order, __b)`` once; return it, the per-key block prefixes, and the
-    largest ``(key, block)`` group (one scalar)."""
+def _positions(df: DataFrame, key: str, order: str, block: int) -> tuple[DataFrame, DataFrame]:
+    """Written ``(key, order, __pos, __b)`` rows and ``(key, __b, __before, __first)`` blocks."""
     kind = dict(df.dtypes)[order]
     if kind not in INTEGRAL:
         raise TypeError(f"order column {order!r} must be integral, not {kind}; "
                         "use an id or epoch seconds/micros")
-    if block < 1:
-        raise ValueError("block must be >= 1")
+    if not 1 <= block <= 1 << 32:
+        raise ValueError("block must be in [1, 2^32]")
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (df.select(key, order).filter(F.col(key).isNotNull() & F.col(order).isNotNull())
-              .withColumn("__b", _floor_div(order, block)))
+              .withColumn("__t", F.rand(TIEBREAK_SEED))
+              .repartitionByRange(parts, key, order, "__t")
+              .sortWithinPartitions(key, order, "__t")
+              .select(key, order, F.monotonically_increasing_id().alias("__pos"))
+              .withColumn("__b", F.expr(f"__pos div {int(block)}")))
+    # Positions are only stable once written: the range bounds come from a sample.
     rows = write_stage(rows, "running-counts")
-    # One small row per (key, block), written too: the size check and the final plan
-    # then read it instead of aggregating the large table twice.
     before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     blocks = write_stage(
-        rows.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__bt"))
-            .withColumn("__before", F.coalesce(F.sum("__bt").over(before), F.lit(0))
-                        .cast("bigint")), "running-count-blocks")
-    biggest = blocks.agg(F.max("__bt")).first()[0] or 0
-    return rows, blocks.select(key, "__b", "__before"), int(biggest)
-
-
-def _direct(rows: DataFrame, prefix: DataFrame, key: str, order: str) -> DataFrame:
-    """``(key, order, __n)`` with ``row_number`` inside bounded ``(key, block)`` groups."""
-    inside = Window.partitionBy(key, "__b").orderBy(order)
-    return (rows.withColumn("__rn", F.row_number().over(inside))
-                .join(prefix, [key, "__b"])
-                .select(key, order, (F.col("__before") + F.col("__rn")).cast("bigint")
-                        .alias("__n")))
-
-
-def _ranges(rows: DataFrame, prefix: DataFrame, key: str, order: str) -> DataFrame:
-    """Distinct (key, order) rows with their running-count range [__lo, __hi]."""
-    d = rows.groupBy(key, order, "__b").agg(F.count(F.lit(1)).alias("__m"))
-    inside = Window.partitionBy(key, "__b").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (d.withColumn("__cum", F.sum("__m").over(inside))
-             .join(prefix, [key, "__b"])
-             .select(key, order,
-                     (F.col("__before") + F.col("__cum")).cast("bigint").alias("__hi"),
-                     F.col("__m"))
-             .withColumn("__lo", F.col("__hi") - F.col("__m") + 1))
-
-
-def _expand(r: DataFrame, key: str, order: str, extra: list[str], out: str,
-            chunk: int) -> DataFrame:
-    """One row per integer of [__x, __y] for each range row.
-
-    Ranges are cut into chunks of ``chunk`` values and the chunk rows are shuffled apart
-    before expanding, so one huge range (a pile of copies) is expanded by many tasks.
-    """
-    r = r.filter(F.col("__x") <= F.col("__y"))
-    n_chunks = F.expr(f"(__y - __x) div {int(chunk)}")
-    c = r.select(key, order, *extra, "__x", "__y",
-                 F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks)).alias("__c"))
-    c = c.repartition(key, order, "__c")
-    lo = F.col("__x") + F.col("__c") * F.lit(chunk)
-    return c.select(key, order, *extra, F.explode(F.sequence(
-        lo, F.least(F.col("__y"), lo + F.lit(chunk - 1)))).alias(out))
+        rows.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__bt"),
+                                     F.min("__pos").alias("__first"))
+            .select(key, "__b", "__first",
+                    F.coalesce(F.sum("__bt").over(before), F.lit(0)).cast("bigint")
+                    .alias("__before")), "running-count-blocks")
+    return rows, blocks
+
+
+def _numbered(df: DataFrame, key: str, order: str, block: int) -> DataFrame:
+    """``(key, order, __n)``: every row with its running count within its key."""
+    rows, blocks = _positions(df, key, order, block)
+    return (rows.join(blocks, [key, "__b"])
+                .select(key, order, (F.col("__before") + F.col("__pos") - F.col("__first") + 1)
+                        .cast("bigint").alias("__n")))
 
 
 def running_counts(df: DataFrame, key: str, order: str, min_count: int = 1,
-                   block: int = DEFAULT_BLOCK, chunk: int = DEFAULT_CHUNK,
-                   out: str = "counts", group_limit: int | None = None) -> DataFrame:
+                   block: int = DEFAULT_BLOCK, out: str = "counts") -> DataFrame:
     """``(key, order, out)``: one row per input row whose running count is ``>= min_count``."""
-    rows, prefix, biggest = _stage(df, key, order, block)
-    if biggest <= (2 * block if group_limit is None else group_limit):
-        n = _direct(rows, prefix, key, order)
-        return n.filter(F.col("__n") >= min_count).select(key, order, F.col("__n").alias(out))
-    r = _ranges(rows, prefix, key, order).select(
-        key, order, F.greatest(F.col("__lo"), F.lit(min_count).cast("bigint")).alias("__x"),
-        F.col("__hi").alias("__y"))
-    return _expand(r, key, order, [], out, chunk)
+    n = _numbered(df, key, order, block)
+    return n.filter(F.col("__n") >= min_count).select(key, order, F.col("__n").alias(out))
 
 
 def running_updates(df: DataFrame, key: str, order: str, threshold: int,
-                    block: int = DEFAULT_BLOCK, chunk: int = DEFAULT_CHUNK,
-                    out: str = "counts", group_limit: int | None = None) -> DataFrame:
+                    block: int = DEFAULT_BLOCK, out: str = "counts") -> DataFrame:
     """The update stream of a count per ``key``, filtered ``> threshold``: ``(order, key, out)``."""
-    res = running_counts(df, key, order, threshold + 1, block, chunk, out, group_limit)
+    res = running_counts(df, key, order, threshold + 1, block, out)
     return res.select(order, key, out)
 
 
 def retract_changelog(df: DataFrame, key: str, order: str, threshold: int,
-                      block: int = DEFAULT_BLOCK, chunk: int = DEFAULT_CHUNK,
-                      out: str = "counts", flag: str = "is_add",
-                      group_limit: int | None = None) -> DataFrame:
+                      block: int = DEFAULT_BLOCK, out: str = "counts",
+                      flag: str = "is_add") -> DataFrame:
     """``(order, key, flag, out)``: per row, add n if n > k and retract n - 1 if n - 1 > k.
 
     Both messages of a row come from one pass (a two-element flag array).
     """
-    rows, prefix, biggest = _stage(df, key, order, block)
     shift = F.when(F.col(flag), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
-    flags = F.explode(F.array(F.lit(True), F.lit(False))).alias(flag)
-    if biggest <= (2 * block if group_limit is None else group_limit):
-        n = _direct(rows, prefix, key, order).select(key, order, "__n", flags)
-        return (n.select(order, key, flag, (F.col("__n") - shift).alias(out))
-                 .filter(F.col(out) > threshold))
-    k1 = F.lit(threshold + 1).cast("bigint")
-    r = (_ranges(rows, prefix, key, order).select(key, order, "__lo", "__hi", flags)
-         .select(key, order, flag, F.greatest(F.col("__lo") - shift, k1).alias("__x"),
-                 (F.col("__hi") - shift).alias("__y")))
-    return _expand(r, key, order, [flag], out, chunk).select(order, key, flag, out)
+    n = _numbered(df, key, order, block).select(
+        key, order, "__n", F.explode(F.array(F.lit(True), F.lit(False))).alias(flag))
+    return (n.select(order, key, flag, (F.col("__n") - shift).alias(out))
+             .filter(F.col(out) > threshold))
