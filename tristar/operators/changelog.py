@@ -13,7 +13,8 @@ hot key in one task. ``running_counts`` computes the same numbers with bounded w
    hot key, sparse order values and even a pile of identical copies spread over many
    partitions), sorted within each partition, and numbered by their position there
    (``monotonically_increasing_id``); ``block`` = position div ``block``. This is written
-   once to the shared folder (also cutting the lineage);
+   once to the shared folder (positions are only stable once written; this also cuts
+   the lineage);
 2. per ``(key, block)`` (at most ``block`` rows each, by construction) the row count and
    first position are aggregated, and block counts are prefix-summed per key: a key has
    at most rows / ``block`` + partitions blocks;
@@ -55,12 +56,12 @@ def _positions(df: DataFrame, key: str, order: str, block: int) -> tuple[DataFra
     # Positions are only stable once written: the range bounds come from a sample.
     rows = write_stage(rows, "running-counts")
     before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = write_stage(
-        rows.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__bt"),
-                                     F.min("__pos").alias("__first"))
-            .select(key, "__b", "__first",
-                    F.coalesce(F.sum("__bt").over(before), F.lit(0)).cast("bigint")
-                    .alias("__before")), "running-count-blocks")
+    # Read once, by the final join: computed from the written rows, not written itself.
+    blocks = (rows.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__bt"),
+                                           F.min("__pos").alias("__first"))
+                  .select(key, "__b", "__first",
+                          F.coalesce(F.sum("__bt").over(before), F.lit(0)).cast("bigint")
+                          .alias("__before")))
     return rows, blocks
 
 
