@@ -3,9 +3,10 @@ where SQL can express them."""
 
 from __future__ import annotations
 
-from tristar.llm import quality_rules
+from tristar.llm import bpe_words, quality_rules
 
 QUERIES = {
+    "op5_bpe_words": bpe_words.op5,
     "op8_quality_rules": quality_rules.op8,
 }
 ORACLE_SQL: dict[str, str] = {}
