@@ -3,9 +3,10 @@ where SQL can express them."""
 
 from __future__ import annotations
 
-from tristar.llm import bpe_words, quality_rules
+from tristar.llm import bpe_words, packing, quality_rules
 
 QUERIES = {
+    "op2_packing": packing.op2,
     "op5_bpe_words": bpe_words.op5,
     "op8_quality_rules": quality_rules.op8,
 }
