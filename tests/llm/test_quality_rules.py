@@ -1,0 +1,71 @@
+import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tristar.llm.quality_rules import _score, judge, keep_good, op8
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    win = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    covered = {j for i in range(len(w) - 2) if win[tuple(w[i:i + 3])] > 1 for j in range(i, i + 3)}
+    rep = len(covered)
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, rep,
+            len(w) < 50 or 100 * rep > 50 * len(w))
+
+
+def base(row):
+    return tuple(row[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                  "n_repeat_words", "base_failed"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="ab é#\n\r\t\x0b|", max_size=40), max_size=6))
+def test_counts_equal_brute_force(texts):
+    got = _score(pa.array(texts, pa.string()), None).to_pylist()
+    assert [base(r) for r in got] == [brute(t) for t in texts]
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    rows = op8(spark, SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    return rows, texts, labels
+
+
+def test_whole_table(scored):
+    rows, texts, labels = scored
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert base(r) == brute(texts[r["doc_id"]])
+        assert r["kept"] == (not r["base_failed"] and r["probability"] >= 0.5)
+    judged = [r for r in rows if r["doc_id"] in labels and not r["base_failed"]]
+    right = sum(r["kept"] == bool(labels[r["doc_id"]]) for r in judged)
+    assert right >= 0.97 * len(judged)
+
+
+def test_edge_cases(spark):
+    docs = spark.createDataFrame([(1, None, 1), (2, "", 2), (None, "a " * 60, 3), (3, "w " * 9, 4),
+                                  (3, "w " * 9, 4), (4, "x" * 100_000, 5)],
+                                 "doc_id long, text string, kept int")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    rows = judge(docs, none).collect()
+    assert len(rows) == 6 and all(r["base_failed"] and not r["kept"] for r in rows)
+    good = " ".join(f"word{i}" for i in range(80))
+    more = docs.unionByName(spark.createDataFrame([(9, good, 7)], docs.schema))
+    kept = keep_good(more, none)
+    assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [9]
+    assert judge(docs.limit(0), none).count() == 0
