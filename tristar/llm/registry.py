@@ -3,13 +3,14 @@ where SQL can express them."""
 
 from __future__ import annotations
 
-from tristar.llm import bpe_words, packing, quality_rules, toxicity
+from tristar.llm import bpe_words, html_text, packing, quality_rules, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2,
     "op5_bpe_words": bpe_words.op5,
     "op8_quality_rules": quality_rules.op8,
     "op9_toxicity": toxicity.op9,
+    "op10_html_text": html_text.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}
