@@ -3,11 +3,12 @@ where SQL can express them."""
 
 from __future__ import annotations
 
-from tristar.llm import bpe_words, html_text, packing, quality_rules, toxicity
+from tristar.llm import bpe_words, html_text, packing, quality_rules, toxicity, url_filters
 
 QUERIES = {
     "op2_packing": packing.op2,
     "op5_bpe_words": bpe_words.op5,
+    "op6_url_filters": url_filters.op6,
     "op8_quality_rules": quality_rules.op8,
     "op9_toxicity": toxicity.op9,
     "op10_html_text": html_text.op10,
