@@ -1,0 +1,70 @@
+import math
+
+import numpy as np
+import pytest
+
+from tristar.llm.ann_tree import Tree, _unit, op3, search
+
+
+def brute(rows, every=50, k=5):
+    ok = [(i, np.array(v, float)) for i, v in rows
+          if i is not None and v and None not in v and all(map(math.isfinite, v)) and any(v)
+          and len(v) == len(rows[0][1])]
+    ok = {(i, v.tobytes()): (i, v) for i, v in ok}.values()
+    out = {}
+    for i, q in ok:
+        if i % every == 0:
+            score = [(-float((q * v).sum() / (np.linalg.norm(q) * np.linalg.norm(v))), j)
+                     for j, v in ok if j != i]
+            out[i] = sorted(score)[:k]
+    return out
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_whole_table(spark, sf):
+    table = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
+    want, got = brute(rows), {}
+    for r in op3(spark, f"/root/testdata/{sf}").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    by_id = dict(rows)
+    hits = 0
+    for q, best in want.items():
+        found = sorted(got[q])
+        assert [f[0] for f in found] == [1, 2, 3, 4, 5]
+        assert [f[2] for f in found] == sorted((f[2] for f in found), reverse=True)
+        for _, j, s in found:
+            a, b = np.array(by_id[q], float), np.array(by_id[j], float)
+            assert s == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b), abs=1e-12)
+        hits += len({f[1] for f in found} & {j for _, j in best})
+    assert hits >= 0.9 * 5 * len(want)
+
+
+def test_copies_ties_and_unusable_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(400)]           # one hot vector
+    rows += [(i, rng.normal(size=4).tolist()) for i in range(400, 600)]
+    rows += [(700, None), (750, []), (800, [0.0] * 4), (850, [1.0, None, 1.0, 1.0]),
+             (900, [1.0, math.nan, 0.0, 0.0]), (950, [math.inf, 0.0, 0.0, 0.0]), (1000, [1.0, 2.0]),
+             (None, [1.0, 1.0, 1.0, 1.0]), (0, [1.0, 2.0, 3.0, 4.0]), (500, rows[500][1])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows],
+                               "vec_id long, embedding array<double>, score int")
+    want, got = brute(rows), {}
+    for r in search(df).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert set(got) == set(want)
+    for q in range(0, 400, 50):
+        assert [j for _, j in sorted(got[q])] == [j for j in range(6) if j != q][:5]
+    assert search(df.limit(0)).count() == 0
+    two = [(0, [1.0, 0.0]), (3, [1.0, 1.0])]
+    rows = search(spark.createDataFrame(two, "vec_id long, embedding array<float>")).collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"]) for r in rows] == [(0, 1, 3)]
+
+
+def test_tree_visits_every_leaf_once():
+    x = _unit(np.random.default_rng(1).normal(size=(3000, 8)))
+    tree = Tree(x)
+    assert sorted(tree.best_bins(x[:1], tree.leaves)[0]) == list(range(tree.leaves))
+    assert set(tree.descend(x)) <= set(range(tree.leaves))
+    first = tree.best_bins(x[:200], 1)
+    assert all(len(b) == 1 for b in first)

@@ -3,10 +3,13 @@ where SQL can express them."""
 
 from __future__ import annotations
 
-from tristar.llm import bpe_words, html_text, packing, quality_rules, toxicity, url_filters
+from tristar.llm import (ann_tree, bpe_words, html_text, packing, ppm_score,
+                         quality_rules, toxicity, url_filters)
 
 QUERIES = {
     "op2_packing": packing.op2,
+    "op3_ann_tree": ann_tree.op3,
+    "op4_ppm_score": ppm_score.op4,
     "op5_bpe_words": bpe_words.op5,
     "op6_url_filters": url_filters.op6,
     "op8_quality_rules": quality_rules.op8,
