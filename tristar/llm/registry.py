@@ -3,15 +3,17 @@ where SQL can express them."""
 
 from __future__ import annotations
 
-from tristar.llm import (ann_tree, bpe_words, html_text, packing, ppm_score,
+from tristar.llm import (ann_tree, bpe_words, html_text, near_dedup, packing, passage_dedup, ppm_score,
                          quality_rules, toxicity, url_filters)
 
 QUERIES = {
+    "op1_passage_dedup": passage_dedup.op1,
     "op2_packing": packing.op2,
     "op3_ann_tree": ann_tree.op3,
     "op4_ppm_score": ppm_score.op4,
     "op5_bpe_words": bpe_words.op5,
     "op6_url_filters": url_filters.op6,
+    "op7_near_dedup": near_dedup.op7,
     "op8_quality_rules": quality_rules.op8,
     "op9_toxicity": toxicity.op9,
     "op10_html_text": html_text.op10,

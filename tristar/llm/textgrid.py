@@ -47,6 +47,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def constant(k: int) -> np.uint64:
+    """A well spread constant for each small k."""
+    return np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
