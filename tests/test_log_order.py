@@ -1,0 +1,125 @@
+"""Retractions, replays, log order and continuous starts over several micro-batches."""
+
+import datetime as dt
+import glob
+import re
+
+import pytest
+
+from tests.conftest import SF0001
+from tristar.plans import streams
+from tristar.sources.keyed import keyed_table
+from tristar.streaming.jobs import USER_WIRE, keyed_star_streams, run_sql, run_two_stage
+from tristar.streaming.sinks import BatchDirSink, RetractSink, net_changelog, read_changelog
+
+ROW = "user_id long, user_name string, counts long"
+
+
+def play(spark, folder, batches, key):
+    sink = RetractSink(f"{folder}/snapshots", f"{folder}/log", key)
+    for n, rows in enumerate(batches):
+        sink(spark.createDataFrame(rows, ROW), n)
+    log = read_changelog(spark, f"{folder}/log")
+    return sorted((r["batch_id"], r["is_add"], r["user_id"], r["user_name"], r["counts"])
+                  for r in log.collect()), log
+
+
+def test_unchanged_user_with_null_name_is_not_retracted(spark, tmp_dir):
+    got, _ = play(spark, tmp_dir, [[(1, None, 5)], [(1, None, 5)], [(1, None, 6)]],
+                  ["user_id", "user_name"])
+    assert got == [(0, True, 1, None, 5), (2, False, 1, None, 5), (2, True, 1, None, 6)]
+
+
+def test_changed_carried_column_is_retracted_whole(spark, tmp_dir):
+    got, log = play(spark, tmp_dir, [[(1, "ann", 5)], [(1, "bob", 5)], []], ["user_id"])
+    assert got == [(0, True, 1, "ann", 5), (1, False, 1, "ann", 5), (1, True, 1, "bob", 5),
+                   (2, False, 1, "bob", 5)]
+    assert net_changelog(log, ["user_id", "user_name"]).count() == 0
+
+
+def test_entries_run_four_batches_and_retract(spark, monkeypatch):
+    runs = []
+    keep = streams.scratch_dir
+
+    def noted(s, name):
+        runs.append(keep(s, name))
+        return runs[-1]
+
+    monkeypatch.setattr(streams, "scratch_dir", noted)
+    streams.q_stream_retract_net(spark, SF0001).collect()
+    out = next(r for r in runs if "stream_retract_net" in r).removeprefix("file:")
+    ids = {int(re.search(r"batch_id=(\d+)", p)[1]) for p in glob.glob(f"{out}/changelog/batch_id=*")}
+    assert len(ids) >= 4
+    assert read_changelog(spark, f"{out}/changelog").filter("NOT is_add").count() > 0
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_replicated_table_does_not_depend_on_partitioning(spark, parts):
+    t = dt.datetime(2024, 1, 1)
+    value = '{"userId": 1, "userName": "%s"}'
+    rows = [("1", value % "old", t, 0, 1), ("1", value % "new", t, 0, 2),
+            ("2", value % "gone", t, 0, 1), ("2", None, t, 0, 2)]
+    df = spark.createDataFrame(rows, "key string, value string, timestamp timestamp, "
+                                     "partition int, offset long").repartition(parts)
+    names = {"userId": "user_id", "userName": "user_name"}
+    assert [r["user_name"] for r in keyed_table(df, USER_WIRE, names).collect()] == ["new"]
+    plain = keyed_table(df.drop("partition", "offset"), USER_WIRE, names)
+    assert sorted(r["user_name"] for r in plain.collect()) == ["gone", "old"]
+
+
+def test_sql_job_leaves_session_views_alone(spark, tmp_dir):
+    spark.createDataFrame([(7,)], "x int").createOrReplaceTempView("cards")
+    facts = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+    q = run_sql(spark, {"cards": facts}, "SELECT value FROM cards", f"{tmp_dir}/out",
+                f"{tmp_dir}/ck", mode="append", trigger={"availableNow": True})
+    q.stop()
+    assert spark.table("cards").collect()[0]["x"] == 7
+    spark.catalog.dropTempView("cards")
+
+
+def test_both_stages_start_on_a_source_that_never_rests(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from tristar.sources.roles import Star
+    rate = spark.readStream.format("rate").option("rowsPerSecond", 20).load()
+    ver = rate.select(F.col("value").alias("id"), (F.col("value") % 2).alias("card_id"),
+                      F.lit(0).cast("long").alias("verification_date"),
+                      (F.col("value") % 3).alias("verified_by"),
+                      F.col("timestamp").alias("verification_ts"))
+    slow = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    cards = slow.select(F.col("value").alias("card_id"), F.lit("t").alias("title"),
+                        F.col("timestamp").alias("card_ts"))
+    users = slow.select(F.col("value").alias("user_id"), F.lit("u").alias("user_name"),
+                        F.col("timestamp").alias("user_ts"))
+    qs = run_two_stage(spark, Star(cards, ver, users), f"{tmp_dir}/relay", f"{tmp_dir}/out",
+                       f"{tmp_dir}/ck", 0, trigger={"processingTime": "0 seconds"}, partitions=2)
+    try:
+        assert [q.isActive for q in qs] == [True, True]
+    finally:
+        for q in qs:
+            q.stop()
+
+
+def test_options_reach_every_kafka_source(monkeypatch):
+    from tristar.streaming import jobs
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def source(spark, kind, location, **kw):
+        seen.append((kind, location, kw["options"]))
+        raise Stop
+
+    monkeypatch.setattr(jobs, "keyed_source", source)
+    with pytest.raises(Stop):
+        keyed_star_streams(None, {"cards": "c", "verifications": "v", "users": "u"}, kind="kafka",
+                           options={"kafka.bootstrap.servers": "b:1"})
+    assert seen == [("kafka", "c", {"kafka.bootstrap.servers": "b:1"})]
+
+
+def test_batch_folder_sink_overwrites_a_replayed_batch(spark, tmp_dir):
+    sink = BatchDirSink(tmp_dir)
+    for _ in range(2):
+        sink(spark.createDataFrame([(1, "a", 2)], ROW), 0)
+    assert spark.read.parquet(tmp_dir).count() == 1

@@ -336,13 +336,13 @@ def test_relay_dedup_counts_a_replayed_batch_once(spark, tmp_dir):
     batch.coalesce(1).write.mode("append").parquet(relay)
     batch.coalesce(1).write.mode("append").parquet(relay)       # the replay
     counted = {}
-    for dedup in (None, "1 hour"):
+    for dedup in (False, True):
         out = f"{tmp_dir}/out-{bool(dedup)}"
         run_relay(spark, relay, out, f"{tmp_dir}/ckpt-{bool(dedup)}", threshold=0,
-                  trigger=BOUNDED, dedup_within=dedup).awaitTermination()
+                  trigger=BOUNDED, dedup=dedup).awaitTermination()
         counted[dedup] = sorted(tuple(r) for r in read_latest_snapshot(spark, out).collect())
-    assert counted["1 hour"] == [("u0", 10), ("u1", 10), ("u2", 10)]
-    assert counted[None] == [("u0", 20), ("u1", 20), ("u2", 20)]
+    assert counted[True] == [("u0", 10), ("u1", 10), ("u2", 10)]
+    assert counted[False] == [("u0", 20), ("u1", 20), ("u2", 20)]
 
 
 def test_live_dimensions_from_keyed_records_update_and_tombstone(spark, tmp_dir):

@@ -34,6 +34,7 @@ from tristar.session import write_stage
 
 DEFAULT_BLOCK = 1 << 20
 TIEBREAK_SEED = 4242
+ROWS_PER_PARTITION = 8_000_000  # two longs and a double each: about 200 MB
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -46,11 +47,14 @@ def _positions(df: DataFrame, key: str, order: str, block: int) -> tuple[DataFra
     if not 1 <= block <= 1 << 32:
         raise ValueError("block must be in [1, 2^32]")
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = (df.select(key, order).filter(F.col(key).isNotNull() & F.col(order).isNotNull())
-              .withColumn("__t", F.rand(TIEBREAK_SEED))
-              .repartitionByRange(parts, key, order, "__t")
-              .sortWithinPartitions(key, order, "__t")
+    # Written first: range partitioning samples its input, so the upstream joins would run
+    # twice, and a tiebreak drawn above a shuffle could differ on a retried task.
+    source = write_stage(df.select(key, order).filter(F.col(key).isNotNull()), "replay-input")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                source.count() // ROWS_PER_PARTITION + 1)
+    place = [F.col(key), F.col(order).asc_nulls_last(), F.col("__t")]
+    rows = (source.withColumn("__t", F.rand(TIEBREAK_SEED))
+              .repartitionByRange(parts, *place).sortWithinPartitions(*place)
               .select(key, order, F.monotonically_increasing_id().alias("__pos"))
               .withColumn("__b", F.expr(f"__pos div {int(block)}")))
     # Positions are only stable once written: the range bounds come from a sample.

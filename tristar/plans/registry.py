@@ -13,6 +13,7 @@ ORACLE_SQL = {
     "stream_update_counts": EVENT_COUNTS_SQL,
     "stream_stream_join": NESTED_SQL,
     "two_stage_relay": RELAY_SQL,
+    "relay_dedup": RELAY_SQL,
     "stream_sql_having": EVENT_COUNTS_SQL,
     "stream_retract_net": EVENT_COUNTS_SQL,
     "live_dimension_counts": EVENT_COUNTS_SQL,

@@ -5,14 +5,14 @@ returns the job's output read back as a batch DataFrame, so it compares with SQL
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tristar.operators.counts import enriched_counts
 from tristar.session import batch_bytes, scratch_dir
 from tristar.sources.keyed import keyed_table, read_keyed
-from tristar.operators.enrich import prepare_dimension
+from tristar.operators.enrich import enrich, prepare_dimension
 from tristar.sources.roles import (
-    EVENT_THRESHOLD, Star, cards_from_part, event_star, read_table, stream_location,
-    users_from_customer,
+    EVENT_THRESHOLD, Star, cards_from_part, event_star, read_table, users_from_customer,
 )
 from tristar.streaming.jobs import (
     BOUNDED, CARD_WIRE, DEFAULT_BROADCAST_ROWS, USER_WIRE, combine_counts, event_fact_stream,
@@ -28,10 +28,24 @@ from tristar.streaming.sinks import (
 USER_COLS = ["user_id", "user_name", "counts"]
 
 
+BATCHES = 4   # micro-batches of each entry, so that state is merged and rows are retracted
+SALT = 4      # state partitions a hot card or user of the stream-stream join is spread over
+
+
+def _in_ranges(spark: SparkSession, df: DataFrame, order: str) -> tuple[DataFrame, int]:
+    """``df`` cut into ranges of ``order`` (at least four files), and the files per micro-batch
+    that make about ``BATCHES`` batches."""
+    files = max(BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartitionByRange(files, order), -(-files // BATCHES)
+
+
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole events table as a stream, in micro-batches of a few cluster waves."""
-    folder, glob = stream_location(spark, sf, "events")
-    return event_fact_stream(spark, folder, glob=glob, max_bytes=batch_bytes(spark))
+    """The whole events table as a stream, appended to the run folder in id ranges and taken
+    in four micro-batches or more."""
+    ranges, per_batch = _in_ranges(spark, read_table(spark, sf, "events"), "event_id")
+    folder = scratch_dir(spark, "events")
+    ranges.write.parquet(folder)
+    return event_fact_stream(spark, folder, max_files=per_batch)
 
 
 def _dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -89,14 +103,16 @@ def q_stream_sql_having(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _published_streams(spark: SparkSession, sf: str, run: str) -> Star:
-    paths = publish_star(event_star(spark, sf), f"{run}/topics")
-    return keyed_star_streams(spark, paths, kind="files", max_bytes=batch_bytes(spark))
+    star = event_star(spark, sf)
+    ranges, per_batch = _in_ranges(spark, star.verifications, "id")
+    paths = publish_star(star._replace(verifications=ranges), f"{run}/topics")
+    return keyed_star_streams(spark, paths, kind="files", max_files=per_batch)
 
 
 def q_stream_stream_join(spark: SparkSession, sf: str) -> DataFrame:
     run = scratch_dir(spark, "stream_stream_join")
     streams = _published_streams(spark, sf, run)
-    run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint", BOUNDED,
+    run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint", BOUNDED, salt=SALT,
                     partitions=state_partitions(spark)).awaitTermination()
     return spark.read.parquet(f"{run}/relay").select(
         "verification_id", "card_id", "card_title", "user_id", "user_name")
@@ -105,7 +121,7 @@ def q_stream_stream_join(spark: SparkSession, sf: str) -> DataFrame:
 def q_two_stage_relay(spark: SparkSession, sf: str) -> DataFrame:
     run = scratch_dir(spark, "two_stage_relay")
     streams = _published_streams(spark, sf, run)
-    run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint-join", BOUNDED,
+    run_stream_join(streams, f"{run}/relay", f"{run}/checkpoint-join", BOUNDED, salt=SALT,
                     partitions=state_partitions(spark)).awaitTermination()
     run_relay(spark, f"{run}/relay", f"{run}/out", f"{run}/checkpoint-count",
               threshold=EVENT_THRESHOLD, by="name", trigger=BOUNDED,
@@ -114,6 +130,26 @@ def q_two_stage_relay(spark: SparkSession, sf: str) -> DataFrame:
     return read_latest_snapshot(spark, f"{run}/out").select("user_name", "counts")
 
 
+def q_relay_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """A relay that an at-least-once sink filled: the later half of the events first, then the
+    earlier half (late rows), then a third of all rows again. Each event counts once."""
+    run = scratch_dir(spark, "relay_dedup")
+    cards, verifications, users = event_star(spark, sf)
+    rows = enrich(cards, verifications, users).select(
+        F.col("id").alias("verification_id"), "card_id", F.col("title").alias("card_title"),
+        "user_id", "user_name", F.col("verification_date").cast("timestamp").alias(
+            "verification_ts"))
+    middle = verifications.agg(F.avg("id")).first()[0] or 0
+    for part in (rows.filter(F.col("verification_id") > middle),
+                 rows.filter(F.col("verification_id") <= middle),
+                 rows.filter("verification_id % 3 = 0")):
+        part.coalesce(2).write.mode("append").parquet(f"{run}/relay")
+    run_relay(spark, f"{run}/relay", f"{run}/out", f"{run}/checkpoint", threshold=EVENT_THRESHOLD,
+              by="name", trigger=BOUNDED, max_files=2, dedup=True,
+              partitions=state_partitions(spark)).awaitTermination()
+    return read_latest_snapshot(spark, f"{run}/out").select("user_name", "counts")
+
+
 def _live_dims(topics: dict[str, str]):
     """Dimensions as replicated tables: the keyed record logs re-read per micro-batch,
     latest record per key, tombstones deleting."""
@@ -143,6 +179,7 @@ STREAMS = {
     "stream_update_counts": q_stream_update_counts,
     "stream_stream_join": q_stream_stream_join,
     "two_stage_relay": q_two_stage_relay,
+    "relay_dedup": q_relay_dedup,
     "stream_sql_having": q_stream_sql_having,
     "stream_retract_net": q_stream_retract_net,
     "live_dimension_counts": q_live_dimension_counts,

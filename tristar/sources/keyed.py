@@ -70,19 +70,24 @@ def keyed_table(records: DataFrame, schema: T.StructType,
                 fields: dict[str, str] | None = None, mode: str = "PERMISSIVE") -> DataFrame:
     """The current table of a keyed record log (a replicated changelog table).
 
-    Per key, the record with the latest ``timestamp`` wins (ties: either); a null value
-    (tombstone) as the latest record deletes the key. A record whose text does not parse
+    Per key, the last record wins: the latest ``timestamp``, then (if ``records`` has those
+    columns) ``partition`` and ``offset``, the order of the log. Without them, records of
+    one timestamp have no order of their own; the greatest value text wins, a tombstone
+    last, so the table does not depend on partitioning. A null value (tombstone) as the
+    last record deletes the key. A record whose text does not parse
     (PERMISSIVE gives a struct of nulls) is skipped, so it cannot replace a good value.
     ``fields`` renames wire fields to table columns (only the listed ones are kept). The
     reduction is an aggregate (``max_by``), so a hot key combines map-side.
     """
     from tristar.functions.records import decode
     from tristar.sources.tables import latest_by_key
-    dec = decode(records, schema, mode=mode, keep=("key", "timestamp", "value"), expand=False)
+    log = [c for c in ("partition", "offset") if c in records.columns]
+    records = records.withColumn("__order", F.struct("timestamp", *log, "value"))
+    dec = decode(records, schema, mode=mode, keep=("key", "__order", "value"), expand=False)
     unparsed = F.col("value").isNotNull() & ~F.greatest(
         *[F.col(f"record.{f.name}").isNotNull() for f in schema.fields], F.lit(False))
     dec = dec.filter(~unparsed).drop("value")
-    current = latest_by_key(dec, "key", "timestamp", value="record")
+    current = latest_by_key(dec, "key", "__order", value="record")
     names = fields or {f.name: f.name for f in schema.fields}
     return current.select(*[F.col(f"record.{w}").alias(c) for w, c in names.items()])
 

@@ -17,6 +17,7 @@ continuous one, which matches a one-second commit interval).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -157,11 +158,13 @@ def publish_star(star: Star, folder: str, events_ts: str = "verification_date",
 
 def keyed_star_streams(spark: SparkSession, locations: dict[str, str], kind: str = "files",
                        max_files: int | None = None, mode: str = "PERMISSIVE",
-                       starting: str = "earliest", max_bytes: int | None = None) -> Star:
-    """Open the three keyed record streams and decode them to role columns."""
+                       starting: str = "earliest", max_bytes: int | None = None,
+                       options: dict[str, str] | None = None) -> Star:
+    """Open the three keyed record streams and decode them to role columns. ``options`` go to
+    each source (for Kafka: at least ``kafka.bootstrap.servers``)."""
     def src(role: str) -> DataFrame:
         return keyed_source(spark, kind, locations[role], starting=starting,
-                            max_files=max_files, max_bytes=max_bytes)
+                            max_files=max_files, max_bytes=max_bytes, options=options)
 
     cards = decode(src("cards"), CARD_WIRE, mode=mode, keep=(), timestamp_as="card_ts").select(
         F.col("cardId").alias("card_id"), F.col("cardTitle").alias("title"), "card_ts")
@@ -206,15 +209,21 @@ def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str
     """SQL text over named (streaming and static) DataFrames, written per batch.
 
     The names exist only while the text is analysed; the analysed plan holds the
-    DataFrames, so the temporary views are dropped again before the query starts.
+    DataFrames, so afterwards the names are dropped, or given back to the session's own
+    temporary views that had them before.
     """
+    taken = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+    own = {name: spark.table(name) for name in views if name.lower() in taken}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     try:
         result = spark.sql(sql)
     finally:
         for name in views:
-            spark.catalog.dropTempView(name)
+            if name in own:
+                own[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
     w = result.writeStream.outputMode(mode).foreachBatch(BatchDirSink(out))
     return _start(w, checkpoint, trigger, spark, partitions)
 
@@ -286,15 +295,15 @@ def run_stream_join(streams: Star, relay: str, checkpoint: str,
 
 
 def relay_stream(spark: SparkSession, relay: str, kind: str = "files",
-                 max_files: int | None = None, dedup_within: str | None = None,
+                 max_files: int | None = None, dedup: bool = False,
                  options: dict[str, str] | None = None,
                  max_bytes: int | None = None) -> DataFrame:
     """The relay as a stream of joined rows.
 
-    With ``dedup_within`` (e.g. ``"1 hour"``) a row whose ``verification_id`` was already
-    seen is dropped: ``dropDuplicatesWithinWatermark`` on the verification's event time,
-    so a batch the relay delivered twice (an at-least-once Kafka sink after a failure) is
-    counted once, and the de-duplication state only keeps ids within the watermark delay.
+    With ``dedup`` a row whose ``verification_id`` was already seen is dropped, so a batch
+    the relay delivered twice (an at-least-once Kafka sink after a failure) is counted once.
+    There is no watermark: a first-seen id is never dropped, however late it comes. The
+    price is one state row per id (spread over the state partitions by id, on disk).
     """
     if kind == "files":
         reader = spark.readStream.schema(RELAY_SCHEMA)
@@ -308,38 +317,43 @@ def relay_stream(spark: SparkSession, relay: str, kind: str = "files",
         rows = decode(wire, RELAY_SCHEMA, keep=())
     else:
         raise ValueError(f"unknown relay kind {kind!r}")
-    if dedup_within:
-        rows = (rows.withWatermark("verification_ts", dedup_within)
-                    .dropDuplicatesWithinWatermark(["verification_id"]))
-    return rows
+    return rows.dropDuplicates(["verification_id"]) if dedup else rows
 
 
 def run_relay(spark: SparkSession, relay: str, out: str, checkpoint: str, threshold: int,
               by: str = "name", max_files: int | None = None,
               trigger: dict | None = None, kind: str = "files",
-              dedup_within: str | None = None,
+              dedup: bool = False,
               options: dict[str, str] | None = None,
               max_bytes: int | None = None, partitions: int | None = None) -> StreamingQuery:
     """Second stage: count the relay per user (complete mode), keep counts > threshold."""
-    rows = relay_stream(spark, relay, kind, max_files, dedup_within, options, max_bytes)
+    rows = relay_stream(spark, relay, kind, max_files, dedup, options, max_bytes)
     counts = enriched_counts(rows, by=by, threshold=threshold)
     return run_snapshot(counts, out, checkpoint, trigger, partitions)
 
 
 def run_two_stage(spark: SparkSession, streams: Star, relay: str, out: str, checkpoint: str,
                   threshold: int, by: str = "name",
-                  trigger: dict | None = None) -> list[StreamingQuery]:
+                  trigger: dict | None = None, kind: str = "files",
+                  options: dict[str, str] | None = None, salt: int = 1,
+                  partitions: int | None = None, max_bytes: int | None = None,
+                  dedup: bool = False) -> list[StreamingQuery]:
     """Both stages at once (continuous use): the join feeding the relay and the count
     reading it. Returns the two queries; wait with ``await_any`` / ``stop_all``.
 
-    The counting stage needs the relay's first files for its schema, so with a
-    continuous trigger the join is started first and given one batch to land.
+    The counting stage reads the file relay through its commit log, so it starts once the
+    join has committed its first batch; it never waits for the source to fall silent. A
+    Kafka relay (``options`` hold its broker) needs no such wait.
     """
-    spark.streams.resetTerminated()
-    join_q = run_stream_join(streams, relay, f"{checkpoint}/join", trigger)
-    join_q.processAllAvailable()
-    count_q = run_relay(spark, relay, out, f"{checkpoint}/count", threshold, by,
-                        trigger=trigger)
+    join_q = run_stream_join(streams, relay, f"{checkpoint}/join", trigger, kind, options, salt,
+                             partitions)
+    while kind == "files" and join_q.isActive and join_q.lastProgress is None:
+        time.sleep(0.05)
+    if join_q.exception() is not None:
+        raise join_q.exception()
+    count_q = run_relay(spark, relay, out, f"{checkpoint}/count", threshold, by, trigger=trigger,
+                        kind=kind, options=options, dedup=dedup, max_bytes=max_bytes,
+                        partitions=partitions)
     return [join_q, count_q]
 
 

@@ -37,9 +37,10 @@ class BatchDirSink:
 class RetractSink:
     """Micro-batch retract/add changelog from complete-mode snapshots.
 
-    Batch n's snapshot is written first; it is then compared with batch n-1's snapshot by a
-    full outer join on ``key``. A key whose value changed gives ``(is_add=false, old)`` if it
-    was in the old result and ``(is_add=true, new)`` if it is in the new one. The snapshot
+    Batch n's snapshot is written first; it is then compared with batch n-1's snapshot by one
+    null-safe full outer join on ``key``. A key whose row changed (its value or a carried
+    column) gives ``(is_add=false, old row)`` if it was in the old result and
+    ``(is_add=true, new row)`` if it is in the new one. The snapshot
     is bounded by the number of keys (users), not by the facts.
     """
 
@@ -56,23 +57,18 @@ class RetractSink:
             prev = spark.read.schema(cur.schema).parquet(batch_path(self.snapshots, batch_id - 1))
         else:
             prev = spark.createDataFrame([], cur.schema)
-        v, k = self.value, self.key
-        # Each side keeps its own carried columns (e.g. a name that changed), so a retract
-        # row repeats exactly the row that was added earlier.
-        old = prev.select(*k, F.col(v).alias("__old"), *[c for c in prev.columns
-                                                          if c not in k and c != v])
-        new = cur.select(*k, F.col(v).alias("__new"), *[c for c in cur.columns
-                                                         if c not in k and c != v])
-        retracts = (old.join(new.select(*k, "__new"), k, "left")
-                       .filter(~F.col("__old").eqNullSafe(F.col("__new")))
-                       .select(*[c for c in old.columns if c != "__old"],
-                               F.lit(False).alias(self.flag), F.col("__old").alias(v)))
-        adds = (new.join(old.select(*k, "__old"), k, "left")
-                   .filter(~F.col("__new").eqNullSafe(F.col("__old")))
-                   .select(*[c for c in new.columns if c != "__new"],
-                           F.lit(True).alias(self.flag), F.col("__new").alias(v)))
-        retracts.unionByName(adds).write.mode("overwrite").parquet(
-            batch_path(self.changelog, batch_id))
+        cols = cur.columns
+        old = prev.select(F.struct(*cols).alias("__old"))
+        new = cur.select(F.struct(*cols).alias("__new"))
+        same = [F.col(f"__old.{k}").eqNullSafe(F.col(f"__new.{k}")) for k in self.key]
+        changed = (old.join(new, same, "full_outer")
+                      .filter(~F.col("__old").eqNullSafe(F.col("__new"))))
+        moves = F.array(F.struct(F.lit(False).alias(self.flag), F.col("__old").alias("__row")),
+                        F.struct(F.lit(True).alias(self.flag), F.col("__new").alias("__row")))
+        (changed.select(F.explode(moves).alias("__m")).filter("__m.__row IS NOT NULL")
+                .select(*[F.col(f"__m.__row.{c}").alias(c) for c in cols],
+                        F.col(f"__m.{self.flag}").alias(self.flag))
+                .write.mode("overwrite").parquet(batch_path(self.changelog, batch_id)))
 
 
 def latest_batch_id(spark: SparkSession, out: str) -> int:
