@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR  input tables (default /root/testdata/sf0.1)
     BENCH_CPUS    local[N] (default 8)
-    BENCH_REPEAT  timed runs per query after one warm-up (default 5); the median is kept
+    BENCH_REPEAT  timed runs per query after one warm-up (default 3); the median is kept
 
 Each query is fully materialised through the ``noop`` sink, so every output column is
 computed (a ``count()`` could be answered from fewer columns). Streaming entries include
@@ -24,13 +24,14 @@ from tristar.session import get_session  # noqa: E402
 
 HEADLINE = ["verified_users_by_id", "enriched_cards", "verified_users_by_name",
             "value_counts", "running_updates", "retract_changelog", "stream_update_counts",
-            "stream_snapshot_counts", "two_stage_relay"]
+            "stream_snapshot_counts", "two_stage_relay", "stream_stream_join",
+            "stream_retract_net", "stream_sql_having", "live_dimension_counts", "relay_dedup"]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = get_session(f"local[{cpus}]", app="tristar-bench", shuffle_partitions=cpus,
                         extra={"spark.driver.memory": "16g"})

@@ -17,10 +17,15 @@ def run(*args):
 
 def test_cli_count_report():
     out = run("count", "--sf", SF0001, "--threshold", "600")
-    lines = [ln for ln in out.splitlines() if ln.startswith("Name: ")]
+    lines = [ln.split() for ln in out.splitlines() if "Supplier#" in ln]
     assert len(lines) == 6
-    assert lines[0] == "Name: Supplier#000000001 ----- 640"
-    assert "Total users with greater than 600 verifications: 6" in out
+    assert lines[0] == ["640", "Supplier#000000001"]
+    assert "6 users have more than 600 verifications" in out
+
+
+def test_cli_run_says_when_it_cuts():
+    out = run("run", "value_counts", "--sf", SF0001, "--rows", "2")
+    assert "first 2 rows, more follow" in out
 
 
 def test_cli_list():

@@ -4,8 +4,8 @@
     python -m tristar run verified_users_by_id --sf /root/testdata/sf0.01 [--explain]
     python -m tristar count --sf /root/testdata/sf0.01 --mapping batch --by name --threshold 600
 
-``count`` prints the qualifying users as ``Name: <name> ----- <count>`` lines and their
-total, the report of the batch workload; ``run`` prints any registry query.
+``count`` prints each qualifying user and count on a line, then how many there were;
+``run`` prints any registry query: all rows, or the first ``--rows`` and a note that it cut.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def report(df: DataFrame) -> int:
     """
     n = 0
     for r in df.orderBy(F.desc("counts"), "user_name").toLocalIterator():
-        print(f"Name: {r['user_name']} ----- {r['counts']}")
+        print(f"{r['counts']:>12}  {r['user_name']}")
         n += 1
     return n
 
@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("run", help="run a registry query and show it")
     r.add_argument("query")
     r.add_argument("--sf", default="/root/testdata/sf0.01")
-    r.add_argument("--rows", type=int, default=20)
+    r.add_argument("--rows", type=int, default=0, help="print at most so many rows (0: all)")
     r.add_argument("--explain", action="store_true", help="print the formatted plan instead")
     c = sub.add_parser("count", help="users with more than a threshold of verifications")
     c.add_argument("--sf", default="/root/testdata/sf0.01")
@@ -60,16 +60,19 @@ def main(argv: list[str] | None = None) -> int:
             df = QUERIES[a.query](spark, a.sf)
             if a.explain:
                 df.explain("formatted")
-            elif {"user_name", "counts"} <= set(df.columns):
-                print(f"Total users: {report(df)}")
             else:
-                df.show(a.rows, truncate=False)
+                shown, cut = 0, False
+                for row in df.toLocalIterator():
+                    if cut := bool(a.rows) and shown >= a.rows:
+                        break
+                    print(*row, sep="\t")
+                    shown += 1
+                print(f"first {shown} rows, more follow" if cut else f"{shown} rows")
         else:
             star = (batch_star if a.mapping == "batch" else event_star)(spark, a.sf)
             df = verified_users(*star, by=a.by, threshold=a.threshold)
-            print(f"Users with greater than {a.threshold} verifications include:")
             n = report(df)
-            print(f"Total users with greater than {a.threshold} verifications: {n}")
+            print(f"{n} users have more than {a.threshold} verifications")
     finally:
         spark.stop()
     return 0

@@ -29,16 +29,20 @@ def fits_rows(dim: DataFrame, max_rows: int,
     """Whether ``dim`` has at most ``max_rows`` rows and about ``max_bytes`` of data.
 
     One aggregate gives the row count and the bytes of its variable-width columns
-    (strings, binaries; 8 bytes are counted for every other value, 16 per row for the
-    row overhead). It is a map-side partial aggregate (one row per task), so the check
+    (strings and binaries as they are, arrays, maps and structs as the text they print
+    as; 8 bytes are counted for every other value, 16 per row for the row overhead). It is a map-side partial aggregate (one row per task), so the check
     stays distributed on any size; a ``limit(n).count()`` would funnel up to n rows per
     partition into one task.
     """
     var = [f.name for f in dim.schema.fields
-           if f.dataType.simpleString() in ("string", "binary")]
+           if f.dataType.simpleString() in ("string", "binary")
+           or f.dataType.simpleString().startswith(("array", "map", "struct"))]
+    flat = {f.name for f in dim.schema.fields
+            if f.dataType.simpleString() in ("string", "binary")}
     fixed = 16 + 8 * (len(dim.columns) - len(var))
     aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"b{i}")
+    aggs += [F.coalesce(F.sum(F.octet_length(
+        F.col(c) if c in flat else F.to_json(F.struct(F.col(c))))), F.lit(0)).alias(f"b{i}")
              for i, c in enumerate(var)]
     row = dim.agg(*aggs).first()
     n = row["n"]
