@@ -75,8 +75,8 @@ def test_links_connect_all_similar_members_of_a_bucket(spark):
     # Sets on a line: neighbours are similar, ends are not, and the leader is an outsider.
     rng = random.Random(5)
     sets = {0: set(range(100, 200))}
-    for i in range(1, 60):
-        start = rng.randrange(300)
+    for i in range(1, 32):
+        start = rng.randrange(160)
         sets[i] = set(range(start, start + 100))
     sim = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
     seen = []

@@ -4,15 +4,20 @@ A bucket holds nodes that share a band of their signatures. Comparing every pair
 grows with its square, so pairs are compared only as far as they can change the classes:
 
 1. every member is compared with the bucket's leader (its smallest node);
-2. members that fail are compared with a few pivots among those that passed: one link is
-   enough, since the members that passed are already connected through the leader;
+2. members that fail are compared with a few pivots: the most central members that passed (the
+   most similar to the leader, with a little noise). One link is enough, since the members
+   that passed are already connected through the leader;
 3. members that still fail are compared with all that passed whose distance to the leader allows
    a link: 1 - similarity obeys the triangle inequality for Jaccard similarities, so
    |d(x, leader) - d(y, leader)| <= 1 - threshold is necessary. Nothing else is skipped;
-4. the members that failed form the bucket of the next round, until none has two.
-
-So two nodes of one bucket that are similar enough always end in one class, and a hot bucket of
-n alike nodes costs about n comparisons. Pairs are compared once, whichever buckets they
+4. the members that failed form the bucket of the next round, until none has two. At most
+   ``SMALL`` of them are compared with one another at once. More of them (many texts that
+   share a passage but are not alike) are first split by bands of fresh samples (``refine``),
+   which keeps pairs over the threshold together with the recall the bands are tuned for;
+   without ``refine`` the next rounds peel leader by leader.
+
+So two nodes of one bucket that are similar enough end in one class, a hot bucket of n alike nodes
+costs about n comparisons, and one of n unlike nodes does not cost n squared. Pairs are compared once, whichever buckets they
 share. Every round is written to the shared folder, which also cuts the lineage.
 """
 
@@ -25,7 +30,8 @@ from pyspark.sql import functions as F
 
 from tristar.session import write_stage
 
-PIVOTS = 3
+PIVOTS = 4
+SMALL = 64
 
 
 def tune_bands(threshold: float, recall: float, rows: int) -> int:
@@ -38,15 +44,17 @@ def tune_bands(threshold: float, recall: float, rows: int) -> int:
 
 def _shared(members: DataFrame) -> DataFrame:
     """Members of buckets with two nodes or more, with the bucket's leader."""
-    size = (members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    size = (members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"),
+                                          F.count("*").alias("size"))
             .filter("leader != last").drop("last"))
     return members.join(size, "bucket")
 
 
 def link(members: DataFrame, compare: Callable[[DataFrame], DataFrame], threshold: float,
-         name: str) -> DataFrame:
+         name: str, refine: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """(a, b): verified links. ``members``: distinct (bucket, node); ``compare`` adds ``sim`` to
-    distinct pairs (a, b)."""
+    distinct pairs (a, b); ``refine(nodes, level)`` gives (node, band, value) of samples that are
+    new at each level."""
     spark = members.sparkSession
     known = None
     shared = write_stage(_shared(members), f"{name}-buckets")
@@ -64,7 +72,22 @@ def link(members: DataFrame, compare: Callable[[DataFrame], DataFrame], threshol
     def pair(x: str, y: str) -> list:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
+    level = 0
     while not shared.isEmpty():
+        if level:
+            few = shared.filter(F.col("size") <= SMALL)
+            verify(few.select("bucket", F.col("node").alias("a"))
+                   .join(few.select("bucket", F.col("node").alias("b")), "bucket").filter("a < b"))
+            shared = shared.filter(F.col("size") > SMALL)
+            if shared.isEmpty():
+                break
+            if refine is not None:
+                fresh = refine(shared.select("node").distinct(), level)
+                shared = write_stage(_shared(
+                    shared.select("bucket", "node").join(fresh, "node")
+                    .select(F.xxhash64("bucket", "band", "value").alias("bucket"), "node")),
+                    f"{name}-buckets")
+        level += 1
         followers = shared.filter("node != leader")
         sims = verify(followers.select(F.col("leader").alias("a"), F.col("node").alias("b")))
         status = write_stage(followers.join(
@@ -75,7 +98,8 @@ def link(members: DataFrame, compare: Callable[[DataFrame], DataFrame], threshol
         close = failed.filter(F.col("sim") >= 2 * threshold - 1)
         if not close.isEmpty():
             pivots = passed.groupBy("bucket").agg(*(
-                F.max_by("node", F.xxhash64("node", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)))
+                F.max_by("node", F.col("sim") + 0.02 * i * F.pmod(F.xxhash64("node", F.lit(i)), 1024)
+                         / 1024).alias(f"p{i}") for i in range(PIVOTS)))
             tried = (close.join(pivots, "bucket")
                      .select("bucket", "node", "sim",
                              F.explode(F.array_distinct(F.array(*(f"p{i}" for i in range(PIVOTS)))))

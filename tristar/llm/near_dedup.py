@@ -83,28 +83,29 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return (1 + np.log((n + 1) / (np.minimum(df, n) + 1))).astype(np.float32)
 
 
-def bands_of(h: np.ndarray, off: np.ndarray, weight: np.ndarray, bands: int = BANDS,
-             rows: int = ROWS) -> np.ndarray:
-    """Band hashes (text, band) of weighted sets; sets must not be empty."""
-    n = len(off) - 1
+def bands_of(h: np.ndarray, off: np.ndarray, weight: np.ndarray, level: int = 0,
+             bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """Band hashes (text, band) of weighted sets, from other samples at each level; sets must
+    not be empty."""
+    n, seed = len(off) - 1, 1000 * level
     out = np.zeros((n, bands), np.uint64)
     if not n:
         return out
     lw = np.log(weight).astype(np.float32)
     place = np.arange(len(h), dtype=np.uint64)
     for k in range(bands * rows):
-        x = tg.mix(h + tg.constant(k + 1))
+        x = tg.mix(h + tg.constant(seed + k + 1))
         r = _R[(x & np.uint64(0xFFFF)).astype(np.int64)]
         ln_c = _LN_C[((x >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64)]
         beta = _BETA[((x >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.int64)]
-        level = np.floor(lw / r + beta)
-        race = ln_c - r * (level - beta + 1)
+        step = np.floor(lw / r + beta)
+        race = ln_c - r * (step - beta + 1)
         # Order-preserving integers of the races, with the place below: one minimum per text.
         bits = race.view(np.uint32)
         bits = np.where(bits >> 31, ~bits, bits | np.uint32(0x80000000)).astype(np.uint64)
         best = np.minimum.reduceat((bits << np.uint64(32)) | place, off[:-1]) & np.uint64(0xFFFFFFFF)
         best = best.astype(np.int64)
-        drawn = tg.mix(h[best] ^ tg.mix(level[best].astype(np.int64).view(np.uint64)
+        drawn = tg.mix(h[best] ^ tg.mix(step[best].astype(np.int64).view(np.uint64)
                                         + np.uint64(k)))
         out[:, k // rows] = tg.mix(out[:, k // rows] + drawn + np.uint64(k))
     return out
@@ -175,6 +176,23 @@ def compare_texts(texts: DataFrame, sims, pairs: DataFrame) -> DataFrame:
         run, "a long, b long, sim double")
 
 
+def refiner(texts: DataFrame, bands):
+    """For link: (node, band, value) from ``bands(texts, level)`` of the nodes' texts."""
+    def refine(nodes: DataFrame, level: int) -> DataFrame:
+        def run(batches):
+            for b in batches:
+                values = [x for _, _, data, off in tg.blocks(b.column("text"))
+                          for x in bands(data, off, level).view(np.int64).tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("node"), pa.array(values, pa.list_(pa.int64()))],
+                    names=["node", "bands"])
+
+        return (texts.join(nodes, "node").mapInArrow(run, "node long, bands array<long>")
+                .select("node", F.posexplode("bands").alias("band", "value")))
+
+    return refine
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(row, doc_id, component): rows of one class have the same component, which is the
     smallest row of the class."""
@@ -191,8 +209,14 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = write_stage(
         numbered(docs).join(shared.select(F.col("node").alias("row")).distinct(), "row")
         .select(F.col("row").alias("node"), "text"), "near-texts")
+
+    def bands(data, off, level):
+        h, soff, count = shingle_sets(data, off)
+        return bands_of(h, soff, count * idf[_bucket(h)], level)
+
     links = link(shared, lambda p: compare_texts(
-        texts, lambda a, b: weighted_jaccard(a, b, idf), p), THRESHOLD, "near")
+        texts, lambda a, b: weighted_jaccard(a, b, idf), p), THRESHOLD, "near",
+        refiner(texts, bands))
     found = components(links, "near")
     return (signed.select("row", "doc_id", "digest", F.col("bands").isNotNull().alias("full"))
             .join(groups.select("digest", "node"), "digest", "left")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tristar.llm import textgrid as tg
 from tristar.llm.linking import components, link, tune_bands
-from tristar.llm.near_dedup import compare_texts, numbered
+from tristar.llm.near_dedup import compare_texts, numbered, refiner
 from tristar.session import write_stage
 
 MIN_WORDS = 50
@@ -54,11 +54,11 @@ def paragraphs(data: np.ndarray, off: np.ndarray, min_words: int):
     return text, long - ln.off[text], ln.start[long], ln.end[long], n, s, soff
 
 
-def bands_of(s: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """MinHash band values (paragraph, band)."""
+def bands_of(s: np.ndarray, off: np.ndarray, level: int = 0) -> np.ndarray:
+    """MinHash band values (paragraph, band), from other hash functions at each level."""
     out = np.zeros((len(off) - 1, BANDS), np.uint64)
     for k in range(BANDS * ROWS if len(off) > 1 else 0):
-        low = np.minimum.reduceat(tg.mix(s + tg.constant(k + 1)), off[:-1])
+        low = np.minimum.reduceat(tg.mix(s + tg.constant(1000 * level + k + 1)), off[:-1])
         out[:, k // ROWS] = tg.mix(out[:, k // ROWS] + low + np.uint64(k))
     return out
 
@@ -135,7 +135,15 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .select("row", "text").mapInArrow(lambda it: _texts(it, min_words),
                                           "row long, line long, text string")
         .join(wanted, ["row", "line"]).select("node", "text"), "paragraph-texts")
-    links = link(shared, lambda p: compare_texts(texts, jaccard, p), THRESHOLD, "paragraph")
+
+    def bands(data, off, level):
+        data = tg.LOWER[data]
+        w = tg.words(data, off)
+        s, soff = tg.shingles(tg.span_hash(data, w.start, w.end), w.off, WORDS)
+        return bands_of(s, soff, level)
+
+    links = link(shared, lambda p: compare_texts(texts, jaccard, p), THRESHOLD, "paragraph",
+                 refiner(texts, bands))
     found = components(links, "paragraph")
     placed = (signed.drop("bands").join(groups.select("digest", "node"), "digest")
               .join(found, "node", "left")
