@@ -1,0 +1,45 @@
+import random
+
+import corpus_pipeline
+from tristar.llm import near_dedup, passage_dedup, quality_rules, toxicity
+from tristar.session import write_stage
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    verdict = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs, labels).collect()}
+    seen = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        seen.append(write_stage(stage(spark, seen[-1], SF), "test"))
+        if name != "packing":
+            assert seen[-1].columns == docs.columns
+    ids = [sorted(r["doc_id"] for r in d.select("doc_id").distinct().collect()) for d in seen]
+    assert ids[1] == [i for i in ids[0] if verdict[i]]
+    model = toxicity.train(seen[1], labels)
+    clean = [r["doc_id"] for r in seen[1].filter(toxicity.score(seen[1]["text"], model) < 0.5).collect()]
+    assert ids[2] == sorted(clean)
+    classes = near_dedup.near_duplicates(seen[2]).collect()
+    assert len(ids[3]) == len({r["class_id"] for r in classes})
+    assert ids[4] == ids[3] == ids[5]
+    assert passage_dedup.repeated(seen[4]).filter("removed").count() == 0
+    assert all(r["n_chars"] == len(r["text"]) for r in seen[4].collect())
+
+
+def test_nulls_repeats_and_empty_table(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    same = text(90)
+    rows = [(1, same, "en", "a", 3), (1, same, "en", "a", 3), (2, None, None, None, None),
+            (3, "", "en", "b", 0), (None, text(70), "de", "c", 1), (4, text(50_000), "en", "d", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
+                                       "n_chars long")
+    for part, want in ((docs, 3), (docs.limit(0), 0)):
+        out = write_stage(part.coalesce(1), "test")
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = write_stage(stage(spark, out, SF), "test")
+            if k == 3:
+                assert out.count() == want and out.columns == docs.columns
+        assert out.select("doc_id").distinct().count() == want

@@ -3,6 +3,7 @@ where SQL can express them."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tristar.llm import (ann_tree, bpe_words, html_text, near_dedup, packing, passage_dedup, ppm_score,
                          quality_rules, toxicity, url_filters)
 
@@ -17,6 +18,9 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8,
     "op9_toxicity": toxicity.op9,
     "op10_html_text": html_text.op10,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
