@@ -7,13 +7,15 @@ grows with its square, so pairs are compared only as far as they can change the
 2. members that fail are compared with a few pivots: the most central members that passed (the
    most similar to the leader, with a little noise). One link is enough, since the members
    that passed are already connected through the leader;
-3. members that still fail are compared with all that passed whose distance to the leader allows
-   a link: 1 - similarity obeys the triangle inequality for Jaccard similarities, so
-   |d(x, leader) - d(y, leader)| <= 1 - threshold is necessary. Nothing else is skipped;
+3. in buckets of at most ``SMALL`` nodes, members that still fail are compared with all that
+   passed whose distance to the leader allows a link: 1 - similarity obeys the triangle
+   inequality for Jaccard similarities, so |d(x, leader) - d(y, leader)| <= 1 - threshold is
+   necessary. In larger buckets those that passed go on to the next round with them;
 4. the members that failed form the bucket of the next round, until none has two. At most
    ``SMALL`` of them are compared with one another at once. More of them (many texts that
-   share a passage but are not alike) are first split by bands of fresh samples (``refine``),
-   which keeps pairs over the threshold together with the recall the bands are tuned for;
+   share a passage but are not alike) are put into new buckets by bands of fresh samples
+   (``refine``), longer at each level, so that unlike texts part; as many bands are taken as
+   keep pairs over the threshold together with the same recall;
    without ``refine`` the next rounds peel leader by leader.
 
 So two nodes of one bucket that are similar enough end in one class, a hot bucket of n alike nodes
@@ -83,10 +85,8 @@ def link(members: DataFrame, compare: Callable[[DataFrame], DataFrame], threshol
                 break
             if refine is not None:
                 fresh = refine(shared.select("node").distinct(), level)
-                shared = write_stage(_shared(
-                    shared.select("bucket", "node").join(fresh, "node")
-                    .select(F.xxhash64("bucket", "band", "value").alias("bucket"), "node")),
-                    f"{name}-buckets")
+                shared = write_stage(_shared(fresh.select(
+                    F.xxhash64("band", "value").alias("bucket"), "node")), f"{name}-buckets")
         level += 1
         followers = shared.filter("node != leader")
         sims = verify(followers.select(F.col("leader").alias("a"), F.col("node").alias("b")))
@@ -94,6 +94,7 @@ def link(members: DataFrame, compare: Callable[[DataFrame], DataFrame], threshol
             sims.select(F.col("a").alias("leader"), F.col("b").alias("node"), "sim"),
             ["leader", "node"]), f"{name}-status")
         passed, failed = status.filter(F.col("sim") >= threshold), status.filter(F.col("sim") < threshold)
+        left = failed.select("bucket", "node")
         # Failed members close enough to the leader that a passed one may still be similar.
         close = failed.filter(F.col("sim") >= 2 * threshold - 1)
         if not close.isEmpty():
@@ -111,10 +112,15 @@ def link(members: DataFrame, compare: Callable[[DataFrame], DataFrame], threshol
             attached = close.join(done, ["bucket", "node"], "left_semi")
             others = passed.unionByName(attached).select(
                 "bucket", F.col("node").alias("other"), F.col("sim").alias("other_sim"))
-            across = (rest.join(others, "bucket")
+            at_once = rest if refine is None else rest.filter(F.col("size") <= SMALL)
+            across = (at_once.join(others, "bucket")
                       .filter(F.abs(F.col("sim") - F.col("other_sim")) <= 1 - threshold))
             verify(across.select(*pair("node", "other")))
-        shared = write_stage(_shared(failed.select("bucket", "node")), f"{name}-buckets")
+            if refine is not None:
+                unsettled = rest.filter(F.col("size") > SMALL).select("bucket").distinct()
+                left = left.unionByName(passed.select("bucket", "node").join(
+                    unsettled, "bucket", "left_semi"))
+        shared = write_stage(_shared(left), f"{name}-buckets")
     if known is None:
         return spark.createDataFrame([], "a long, b long")
     return known.filter(F.col("sim") >= threshold).select("a", "b")

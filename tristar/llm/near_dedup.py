@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 
 from tristar.llm import textgrid as tg
 from tristar.llm.linking import components, link, tune_bands
+from tristar.llm.rows import row_number_of
 from tristar.session import write_stage
 
 THRESHOLD = 0.8
 WORDS = 5
 BUCKET_BITS = 18
 ROWS = 4                                        # samples per band
-BANDS = tune_bands(THRESHOLD, 0.997, ROWS)
+RECALL = 0.997                                  # of a pair at the threshold
+BANDS = tune_bands(THRESHOLD, RECALL, ROWS)
 
 _rng = np.random.default_rng(20100)
 _TABLE = 1 << 16
@@ -87,7 +89,7 @@ def bands_of(h: np.ndarray, off: np.ndarray, weight: np.ndarray, level: int = 0,
              bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """Band hashes (text, band) of weighted sets, from other samples at each level; sets must
     not be empty."""
-    n, seed = len(off) - 1, 1000 * level
+    n, seed = len(off) - 1, 10_000 * level
     out = np.zeros((n, bands), np.uint64)
     if not n:
         return out
@@ -135,7 +137,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
 def numbered(docs: DataFrame) -> DataFrame:
     """row, doc_id and text; a row's number is its place in the table's files."""
-    return docs.select(F.monotonically_increasing_id().alias("row"),
+    return docs.select(row_number_of(docs).alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
 
@@ -212,7 +214,9 @@ def classes(docs: DataFrame) -> DataFrame:
 
     def bands(data, off, level):
         h, soff, count = shingle_sets(data, off)
-        return bands_of(h, soff, count * idf[_bucket(h)], level)
+        rows = ROWS * (level + 1)
+        return bands_of(h, soff, count * idf[_bucket(h)], level,
+                        tune_bands(THRESHOLD, RECALL, rows), rows)
 
     links = link(shared, lambda p: compare_texts(
         texts, lambda a, b: weighted_jaccard(a, b, idf), p), THRESHOLD, "near",
@@ -237,7 +241,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one of each class, the first row, with all their columns."""
     kept = write_stage(classes(docs), "near-classes").filter("row = component").select(
         F.col("row").alias("_near_row"))
-    return (docs.withColumn("_near_row", F.monotonically_increasing_id())
+    return (docs.withColumn("_near_row", row_number_of(docs))
             .join(kept, "_near_row", "left_semi").select(*(docs[c] for c in docs.columns)))
 
 

@@ -1,8 +1,8 @@
 """Substring dedup: paragraph MinHash banding.
 
 A paragraph is a line of at least ``MIN_WORDS`` words. Its five-word shingles (words in lower
-case, A-Z) are summarised by MinHash; bands of ``ROWS`` values, as many as ``tune_bands`` asks
-for the recall, put paragraphs into candidate buckets. Members of a bucket are compared by the
+case, A-Z) are summarised by MinHash; bands of ``ROWS`` values, as many as ``tune_bands`` asks for
+``RECALL``, put paragraphs into candidate buckets. Members of a bucket are compared by the
 exact Jaccard similarity of their shingle sets, links of ``THRESHOLD`` or more make
 classes (connected components), and of each class the first paragraph, by document id and
 position, stays while the others are removed, within a document as across documents.
@@ -28,13 +28,14 @@ from pyspark.sql import functions as F
 from tristar.llm import textgrid as tg
 from tristar.llm.linking import components, link, tune_bands
 from tristar.llm.near_dedup import compare_texts, numbered, refiner
+from tristar.llm.rows import row_number_of
 from tristar.session import write_stage
 
 MIN_WORDS = 50
 THRESHOLD = 0.8
 WORDS = 5
 ROWS = 4
-BANDS = tune_bands(THRESHOLD, 0.997, ROWS)
+RECALL = 0.997  # of a pair at the threshold
 
 
 def paragraphs(data: np.ndarray, off: np.ndarray, min_words: int):
@@ -55,11 +56,14 @@ def paragraphs(data: np.ndarray, off: np.ndarray, min_words: int):
 
 
 def bands_of(s: np.ndarray, off: np.ndarray, level: int = 0) -> np.ndarray:
-    """MinHash band values (paragraph, band), from other hash functions at each level."""
-    out = np.zeros((len(off) - 1, BANDS), np.uint64)
-    for k in range(BANDS * ROWS if len(off) > 1 else 0):
-        low = np.minimum.reduceat(tg.mix(s + tg.constant(1000 * level + k + 1)), off[:-1])
-        out[:, k // ROWS] = tg.mix(out[:, k // ROWS] + low + np.uint64(k))
+    """MinHash band values (paragraph, band), from other hash functions and with longer bands
+    at each level."""
+    rows = ROWS * (level + 1)
+    bands = tune_bands(THRESHOLD, RECALL, rows)
+    out = np.zeros((len(off) - 1, bands), np.uint64)
+    for k in range(bands * rows if len(off) > 1 else 0):
+        low = np.minimum.reduceat(tg.mix(s + tg.constant(10_000 * level + k + 1)), off[:-1])
+        out[:, k // rows] = tg.mix(out[:, k // rows] + low + np.uint64(k))
     return out
 
 
@@ -168,7 +172,7 @@ def cut_repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = (repeated(docs, min_words).filter("removed").groupBy("row")
              .agg(F.collect_set("line").alias("_cut")).withColumnRenamed("row", "_cut_row"))
     lines = write_stage(lines, "paragraph-removals")
-    marked = docs.withColumn("_cut_row", F.monotonically_increasing_id()).join(
+    marked = docs.withColumn("_cut_row", row_number_of(docs)).join(
         lines, "_cut_row", "left")
     kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col("_cut"),
                                                                            i.cast("long")))
