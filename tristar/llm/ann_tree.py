@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tristar.session import write_stage
 
 SAMPLE = 20_000
-BRANCH, LEAF = 8, 48
+BRANCH, LEAF = 8, 400
 K = 5
 TARGET = 0.95            # calibrated recall on the sample
 VECTORS, QUERIES = 512, 2048   # candidates and queries per block at most, on average
