@@ -7,11 +7,14 @@ exact Jaccard similarity of their shingle sets, links of ``THRESHOLD`` or more m
 classes (connected components), and of each class the first paragraph, by document id and
 position, stays while the others are removed, within a document as across documents.
 
+Passages that are not lines are found by ``passage_spans``: any ``MIN_WORDS`` equal words in
+a row, across line ends and inside longer lines, wherever no line is removed already.
+
 Equal paragraphs are put together by digest first: a passage that very many documents share is
 one node and costs one comparison per similar text. Rows are numbered by their place in
 the table, which must not change between two reads (a table's files do not).
 
-Defined results: null and empty texts and texts of short lines have no paragraph and no row;
+Defined results: null and empty texts and texts without a repeat have no row;
 rows with null ids take part, after all others of their class; repeated rows repeat their
 paragraphs; extra columns are not read.
 """
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from tristar.llm import textgrid as tg
 from tristar.llm.linking import components, link, tune_bands
 from tristar.llm.near_dedup import compare_texts, numbered, refiner
+from tristar.llm.passage_spans import repeated_spans, without
 from tristar.llm.rows import row_number_of
 from tristar.session import write_stage
 
@@ -165,19 +169,47 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     .alias("removed")))
 
 
+def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+    """Paragraphs that have a like (``repeated``) and spans that have one (``repeated_spans``),
+    which together cover the whole text."""
+    lines = write_stage(repeated(docs, min_words), "paragraph-rows")
+    return lines, repeated_spans(numbered(docs), lines.filter("removed").select("row", "line"),
+                                 min_words)
+
+
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``repeated`` and one row for each span, which has ``start_word`` too (null
+    for a paragraph): its first word's place in the text. The class of a span is the place
+    where its first occurrence begins."""
+    lines, spans = passages(docs, min_words)
+    return lines.withColumn("start_word", F.lit(None).cast("long")).unionByName(spans.select(
+        "row", "doc_id", "line", (F.col("end_word") - F.col("start_word")).alias("n_words"),
+        F.xxhash64("first_row", "first_word").alias("class_id"), "first_doc_id", "class_size",
+        "removed", "start_word"))
+
+
 def cut_repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with all their columns, without the removed paragraphs; ``n_chars``, if
-    there is such a column, counts the characters left. Texts without a removed paragraph stay
-    as they are."""
-    lines = (repeated(docs, min_words).filter("removed").groupBy("row")
-             .agg(F.collect_set("line").alias("_cut")).withColumnRenamed("row", "_cut_row"))
-    lines = write_stage(lines, "paragraph-removals")
-    marked = docs.withColumn("_cut_row", row_number_of(docs)).join(
-        lines, "_cut_row", "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col("_cut"),
-                                                                           i.cast("long")))
-    out = marked.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text"))
-                            .otherwise(F.array_join(kept, "\n")))
+    """The documents with all their columns, without the removed paragraphs and spans;
+    ``n_chars``, if there is such a column, counts the characters left. Texts without a removed
+    passage stay as they are."""
+    lines, spans = passages(docs, min_words)
+    none = F.lit(None).cast("long")
+    cut = (lines.filter("removed").select("row", "line", none.alias("a"), none.alias("z"))
+           .unionByName(spans.filter("removed").select(
+               "row", none.alias("line"), F.col("start_word").alias("a"), F.col("end_word").alias("z")))
+           .groupBy(F.col("row").alias("_cut_row"))
+           .agg(F.collect_list("line").alias("_cut"),
+                F.collect_list(F.when(F.col("a").isNotNull(), F.struct("a", "z"))).alias("_spans")))
+    cut = write_stage(cut, "paragraph-removals")
+
+    @F.arrow_udf("string")
+    def kept(texts: pa.Array, lines: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([t if x is None else without(t, x, [(s["a"], s["z"]) for s in y])
+                         for t, x, y in zip(texts.to_pylist(), lines.to_pylist(), spans.to_pylist())],
+                        pa.string())
+
+    out = docs.withColumn("_cut_row", row_number_of(docs)).join(cut, "_cut_row", "left").withColumn(
+        "text", kept.asNondeterministic()(F.col("text").cast("string"), "_cut", "_spans"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(
             F.length("text")).cast(docs.schema["n_chars"].dataType))
@@ -186,3 +218,7 @@ def cut_repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row")
+
+
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row")

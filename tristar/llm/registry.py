@@ -8,7 +8,7 @@ from tristar.llm import (ann_tree, bpe_words, html_text, near_dedup, packing, pa
                          quality_rules, toxicity, url_filters)
 
 QUERIES = {
-    "op1_passage_dedup": passage_dedup.op1,
+    "op1_passage_dedup": passage_dedup.op1_passages,
     "op2_packing": packing.op2,
     "op3_ann_tree": ann_tree.op3,
     "op4_ppm_score": ppm_score.op4,
