@@ -6,7 +6,7 @@ state is the tuple of theirs):
 
 * *insult* and *threat*: emit a match with the matched word's weight;
 * *target*: words that address someone open a window of a few tokens, on both sides;
-* *negation*: a negating word covers the next few tokens;
+* *negation*: a negating word, or any contraction with n't, covers the next few tokens;
 * *reported speech*: a reporting word covers the rest of its clause.
 
 A match leaves the machine as plain, targeted or discounted (negated or reported). A text
@@ -66,6 +66,21 @@ def _hash_words(words: list[str]) -> np.ndarray:
     return tg.span_hash(data, off[:-1], off[1:])
 
 
+def _contracted(data: np.ndarray, t: tg.Words, off: np.ndarray) -> np.ndarray:
+    """Which tokens end a negation n't: a t after an apostrophe, where tokens break, or a whole
+    word with the typographic one, where they do not."""
+    first = off[t.text]
+
+    def at(back: int, byte: int) -> np.ndarray:
+        place = t.end - back
+        return (place >= first) & (data[np.maximum(place, 0)] == byte)
+
+    last = at(1, 0x74)
+    plain = last & (t.end - t.start == 1) & at(2, 0x27) & at(3, 0x6E)
+    bent = last & (t.end - t.start > 5) & at(2, 0x99) & at(3, 0x80) & at(4, 0xE2) & at(5, 0x6E)
+    return plain | bent
+
+
 class Grammar:
     """Composed machine: token classes and weights by word hash."""
 
@@ -108,6 +123,7 @@ class Grammar:
             data = tg.LOWER[data]
             t = tg.tokens(data, off)
             kinds, weights = self.classes(tg.span_hash(data, t.start, t.end))
+            kinds = np.where(_contracted(data, t, off), NEGATION, kinds)
             text = t.text
             breaks = np.concatenate([[0], np.cumsum(_BREAK[data])])
             clause = breaks[t.start]
