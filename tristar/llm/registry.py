@@ -4,8 +4,8 @@ where SQL can express them."""
 from __future__ import annotations
 
 import corpus_pipeline
-from tristar.llm import (ann_tree, bpe_words, byte_bpe, html_text, near_dedup, packing,
-                         passage_dedup, ppm_score, quality_rules, toxicity, url_filters)
+from tristar.llm import (ann_tree, bpe_words, byte_bpe, conversations, html_text, near_dedup,
+                         packing, passage_dedup, ppm_score, quality_rules, toxicity, url_filters)
 
 QUERIES = {
     "op1_passage_dedup": passage_dedup.op1_passages,
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9,
     "op10_html_text": html_text.op10,
     "op12_byte_bpe": byte_bpe.op12,
+    "op13_conversation_repair": conversations.op13,
     "pipeline": corpus_pipeline.run,
 }
 
