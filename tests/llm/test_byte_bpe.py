@@ -14,7 +14,8 @@ tiktoken = pytest.importorskip("tiktoken")
 PATH, PATTERN = public_path(FILE), public_tokenizers.PATTERN
 LIB = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=read_ranks(PATH),
                         special_tokens={})
-WEIRD = ["", " ", "   ", "a\n", "\n\nab  c\t\n d", "it's I'LL we've 's 't", "<|endoftext|>",
+WEIRD = ["", " ", "a\t \tb", "a \xa0 \xa0 b", "a\t\n\tb", "a\t\nb", "a \tb", "\ta b", "a\t b",
+         " a", "a ", "a\n b", "\na\nb\n", "   ", "a\n", "\n\nab  c\t\n d", "it's I'LL we've 's 't", "<|endoftext|>",
          "a" * 20_000, "abcdefgh" * 3_000, " " * 3001, "\x85\xa0 　x\x1c y", "日本語 テスト",
          "\U0001f600\U0001f600", "é" * 700, "1234567 12a3½²", "ↀxⅠ", "͸ a͸",
          "xᲉy \U00011de0 1\U00011de0 Ɤ", "".join(map(chr, range(1, 300)))]
@@ -34,7 +35,8 @@ def test_equals_library(text):
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.text(max_size=60),
                  st.lists(st.sampled_from(["ab", "th", "e", " ", "in", "\n", "1", "é", "日",
-                                           "!!", "  ", "xx", "aaaa", "'s", "\x85", "er"]),
+                                           "!!", "  ", "xx", "aaaa", "'s", "\x85", "er",
+                                           "\t", "\xa0", "\x1c", "the", "one"]),
                           max_size=40).map("".join)))
 def test_equals_library_on_any_text(text):
     assert ids_of(text) == LIB.encode_ordinary(text)

@@ -74,7 +74,7 @@ class ByteBpe:
         self.size = {i: len(b) for b, i in ranks.items()}
         self.compatible = Memo(self._compatible, 500_000)
         self.match = Memo(self._match, 200_000)
-        self.unit = Memo(lambda u: self._unit(u if u[0] == "\n" else " " + u), 500_000)
+        self.unit = Memo(self._unit, 500_000)
         self.stand_in = Memo(self._stand_in, 50_000)
 
     def merge(self, raw: bytes) -> list[int]:
@@ -158,24 +158,33 @@ class ByteBpe:
                         for m in self.split.finditer(text.translate(other))]
         return self.split.findall(text)
 
-    def _unit(self, text: str) -> bytes:
-        if text[:1] == " " and text[1:].isalpha():    # a word is one match
-            return self.match[text] if len(text) <= LONG else self._match(text)
+    def _whole(self, text: str) -> bytes:
         match, keep = self._match, self.match
         return b"".join([keep[m] if len(m) <= LONG else match(m) for m in self.matches(text)])
 
+    def _unit(self, unit: str) -> bytes | None:
+        """Ids of a unit after a space or from its line feed on; None if it cannot stand alone."""
+        text, core = (unit, unit[1:]) if unit[:1] == "\n" else (" " + unit, unit)
+        if not core or core[0].isspace() or core[-1].isspace():
+            return None
+        if core is unit and core.isalpha():               # a word is one match
+            return self.match[text] if len(text) <= LONG else self._match(text)
+        return self._whole(text)
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers.
 
         No match of the pattern runs from other characters into white space, and a single
-        space or line feed belongs to what follows; so a text without runs of these is
-        split there first, and each unit is remembered."""
+        space or line feed between other characters belongs to what follows; so texts are
+        split there first, and units remembered, unless white space comes in runs."""
+        if not self.by_unit:
+            return self._whole(text)
         units = text.replace("\n", " \n").split(" ")
-        if not self.by_unit or "" in units or "\n" in units:
-            return self._unit(text)
-        unit, keep = self.unit._make, self.unit
-        return self._unit(units[0]) + b"".join(
-            [keep[u] if len(u) <= LONG else unit(u) for u in units[1:]])
+        unit, keep = self._unit, self.unit
+        ids = [keep[u] if len(u) <= LONG else unit(u) for u in units[1:]]
+        if None in ids or units[0][-1:].isspace():
+            return self._whole(text)
+        return self._whole(units[0]) + b"".join(ids)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, array("I", ids)))
