@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tristar.llm import (ann_tree, bpe_words, byte_bpe, conversations, html_text, near_dedup,
-                         packing, passage_dedup, ppm_score, quality_rules, toxicity, url_filters)
+                         packing, passage_dedup, ppm_score, quality_rules, token_alignment, toxicity,
+                         url_filters)
 
 QUERIES = {
     "op1_passage_dedup": passage_dedup.op1_passages,
@@ -18,6 +19,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8,
     "op9_toxicity": toxicity.op9,
     "op10_html_text": html_text.op10,
+    "op11_token_alignment": token_alignment.op11,
     "op12_byte_bpe": byte_bpe.op12,
     "op13_conversation_repair": conversations.op13,
     "pipeline": corpus_pipeline.run,
