@@ -42,16 +42,27 @@ from tristar.llm.bpe_words import BYTE_CHAR, public_path
 from tristar.session import write_stage
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-SLICE = 4 << 20        # characters of text aligned together
+SLICE = 2 << 20        # characters of text aligned together
+CHUNK = 1 << 18        # characters given to the libraries at once
 STEPS = 512            # steps between two expansions of cuts to links
 LINKS = 1 << 21        # links written out at once; larger groups go through distinct ids
 SHIFT = 20             # a pair is A id << SHIFT | B id
-KNOWN, LONG = 600_000, 256    # remembered units of a Python worker, and their characters
+KNOWN, LONG = 300_000, 256    # remembered units of a Python worker, and their characters
 HOT = 200_000          # most frequent pairs that are broadcast
 ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
            "groups string, pairs array<long>, links array<long>")
 
 
+def _chunks(texts: list[str], size: int):
+    """The texts in lists of about so many characters (an empty text counts as some)."""
+    first = chars = 0
+    for k, t in enumerate(texts):
+        chars += len(t) + 16
+        if chars > size or k + 1 == len(texts):
+            yield texts[first:k + 1]
+            first, chars = k + 1, 0
+
+
 class Tokenizers:
     """Both tokenizers, and the bytes of each of their tokens."""
 
@@ -91,14 +102,15 @@ class Tokenizers:
         """(A ids, B ids) of each text by the libraries, or None where bytes differ or a part of
         a text cannot stand alone."""
         out, check_a = [], self.a.normalizer is not None   # byte-level, else A changes nothing
-        for text, e, b in zip(texts, self.a.encode_batch_fast([" " + t for t in texts],
-                                                              add_special_tokens=False),
-                              self.b.encode(texts, num_threads=1)):
-            a, raw = e.ids, (" " + text).encode()
-            same = text and (whole or not (text[0].isspace() or text[-1].isspace())) \
-                and b"".join([self.b_bytes[i] for i in b]) == raw \
-                and (not check_a or b"".join([self.a_bytes[i] for i in a]) == raw)
-            out.append((array("i", a).tobytes(), array("i", b).tobytes()) if same else None)
+        for some in _chunks(texts, CHUNK):
+            for text, e, b in zip(some, self.a.encode_batch_fast([" " + t for t in some],
+                                                                 add_special_tokens=False),
+                                  self.b.encode(some, num_threads=1)):
+                a, raw = e.ids, (" " + text).encode()
+                same = text and (whole or not (text[0].isspace() or text[-1].isspace())) \
+                    and b"".join([self.b_bytes[i] for i in b]) == raw \
+                    and (not check_a or b"".join([self.a_bytes[i] for i in a]) == raw)
+                out.append((array("i", a).tobytes(), array("i", b).tobytes()) if same else None)
         return out
 
     def encode(self, texts: list[str]) -> tuple[list, list]:
@@ -268,16 +280,6 @@ def group_strings(a_ids: list, b_ids: list, cuts: tuple, toks: Tokenizers) -> li
     return ["".join(map(write, name[i:j].tolist()))[:-1] for i, j in zip(first, first[1:])]
 
 
-def _slices(doc_ids: list, texts: list):
-    """(doc_ids, texts) of about ``SLICE`` characters each."""
-    first = size = 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size > SLICE or k + 1 == len(texts):
-            yield doc_ids[first:k + 1], texts[first:k + 1]
-            first, size = k + 1, 0
-
-
 def align_documents(docs: DataFrame, a_path: str | None = None,
                     b_path: str | None = None) -> DataFrame:
     """Per document: row (unique), doc_id, numbers of tokens, groups and links, the groups as
@@ -286,19 +288,19 @@ def align_documents(docs: DataFrame, a_path: str | None = None,
         toks = load(a_path or public_path(A_FILE), b_path or public_path(B_FILE))
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for doc_ids, texts in _slices(ids, [t or "" for t in batch.column("text").to_pylist()]):
+            ids, done = batch.column("doc_id"), 0
+            for texts in _chunks([t or "" for t in batch.column("text").to_pylist()], SLICE):
                 a, b = toks.encode(texts)
                 groups, links, cuts, first, pairs, times = align(a, b, toks.a_size, toks.b_size)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(row, row + len(texts))), pa.array(doc_ids, pa.int64()),
+                    pa.array(np.arange(row, row + len(texts))), ids.slice(done, len(texts)),
                     pa.array([len(x) for x in a], pa.int64()),
                     pa.array([len(x) for x in b], pa.int64()), pa.array(groups), pa.array(links),
                     pa.array(group_strings(a, b, cuts, toks), pa.string()),
                     pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(pairs)),
                     pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(times))],
                     names=[c.split()[0] for c in ALIGNED.split(", ")])
-                row += len(texts)
+                row, done = row + len(texts), done + len(texts)
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text")).mapInArrow(run, ALIGNED))
