@@ -34,11 +34,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tristar.llm.bpe_words import BYTE_CHAR, public_path
+from tristar.llm.packing import ByteIds
 from tristar.session import write_stage
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -74,6 +76,9 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
+        # The same merges, quicker for the many short ASCII units (where no table of Unicode
+        # classes can differ).
+        self.quick = ByteIds(a_path)._bpe.encode_ordinary if self.a.normalizer is None else None
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         char_byte = {c: b for b, c in BYTE_CHAR.items()}
         vocab = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
@@ -103,10 +108,11 @@ class Tokenizers:
         a text cannot stand alone."""
         out, check_a = [], self.a.normalizer is not None   # byte-level, else A changes nothing
         for some in _chunks(texts, CHUNK):
-            for text, e, b in zip(some, self.a.encode_batch_fast([" " + t for t in some],
-                                                                 add_special_tokens=False),
-                                  self.b.encode(some, num_threads=1)):
-                a, raw = e.ids, (" " + text).encode()
+            slow = [t for t in some if not (self.quick and t.isascii())]
+            slow = iter(self.a.encode_batch_fast([" " + t for t in slow], add_special_tokens=False))
+            for text, b in zip(some, self.b.encode(some, num_threads=1)):
+                a = self.quick(" " + text) if self.quick and text.isascii() else next(slow).ids
+                raw = (" " + text).encode()
                 same = text and (whole or not (text[0].isspace() or text[-1].isspace())) \
                     and b"".join([self.b_bytes[i] for i in b]) == raw \
                     and (not check_a or b"".join([self.a_bytes[i] for i in a]) == raw)
@@ -288,7 +294,10 @@ def align_documents(docs: DataFrame, a_path: str | None = None,
         toks = load(a_path or public_path(A_FILE), b_path or public_path(B_FILE))
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            ids, done = batch.column("doc_id"), 0
+            # Documents of like length together, so that lanes end at about the same step.
+            order = pc.sort_indices(pc.binary_length(batch.column("text")))
+            batch, done = batch.take(order), 0
+            ids = batch.column("doc_id")
             for texts in _chunks([t or "" for t in batch.column("text").to_pylist()], SLICE):
                 a, b = toks.encode(texts)
                 groups, links, cuts, first, pairs, times = align(a, b, toks.a_size, toks.b_size)
