@@ -63,20 +63,38 @@ def _positions(df: DataFrame, key: str, order: str, block: int) -> tuple[DataFra
     # Read once, by the final join: computed from the written rows, not written itself.
     blocks = (rows.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__bt"),
                                            F.min("__pos").alias("__first"))
-                  .select(key, "__b", "__first",
+                  .select(key, "__b", "__bt", "__first",
                           F.coalesce(F.sum("__bt").over(before), F.lit(0)).cast("bigint")
                           .alias("__before")))
     return rows, blocks
 
 
-def _numbered(df: DataFrame, key: str, order: str, block: int) -> DataFrame:
-    """``(key, order, __n)``: every row with its running count within its key."""
-    rows, blocks = _positions(df, key, order, block)
+def _count_rows(rows: DataFrame, blocks: DataFrame, key: str, order: str) -> DataFrame:
     return (rows.join(blocks, [key, "__b"])
                 .select(key, order, (F.col("__before") + F.col("__pos") - F.col("__first") + 1)
                         .cast("bigint").alias("__n")))
 
 
+def _numbered(df: DataFrame, key: str, order: str, block: int) -> DataFrame:
+    """``(key, order, __n)``: every row with its running count within its key."""
+    return _count_rows(*_positions(df, key, order, block), key, order)
+
+
+def numbered_from(df: DataFrame, key: str, order: str, carry: DataFrame,
+                  block: int = DEFAULT_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Running counts that go on from ``carry`` (key, ``counts`` so far; one row a key): the
+    rows as ``(key, order, __n)``, and ``(key, counts)`` of the keys that occur in ``df``.
+
+    The carry is added to the blocks, not to the rows, so a hot key's rows still meet only
+    their own block."""
+    rows, blocks = _positions(df, key, order, block)
+    blocks = (blocks.join(carry.select(key, F.col("counts").alias("__carry")), key, "left")
+              .withColumn("__before", F.col("__before") + F.coalesce("__carry", F.lit(0))))
+    totals = blocks.groupBy(key).agg(F.max(F.col("__before") + F.col("__bt")).cast("bigint")
+                                     .alias("counts"))
+    return _count_rows(rows, blocks, key, order), totals
+
+
 def running_counts(df: DataFrame, key: str, order: str, min_count: int = 1,
                    block: int = DEFAULT_BLOCK, out: str = "counts") -> DataFrame:
     """``(key, order, out)``: one row per input row whose running count is ``>= min_count``."""
@@ -98,8 +116,14 @@ def retract_changelog(df: DataFrame, key: str, order: str, threshold: int,
 
     Both messages of a row come from one pass (a two-element flag array).
     """
+    return retractions(_numbered(df, key, order, block), key, order, threshold, out, flag)
+
+
+def retractions(numbered: DataFrame, key: str, order: str, threshold: int, out: str = "counts",
+                flag: str = "is_add") -> DataFrame:
+    """The retract/add messages of rows that are numbered already (``__n``)."""
     shift = F.when(F.col(flag), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
-    n = _numbered(df, key, order, block).select(
+    n = numbered.select(
         key, order, "__n", F.explode(F.array(F.lit(True), F.lit(False))).alias(flag))
     return (n.select(order, key, flag, (F.col("__n") - shift).alias(out))
              .filter(F.col(out) > threshold))

@@ -22,7 +22,7 @@ from tristar.operators.counts import (
 )
 from tristar.operators.enrich import card_verifications, enrich, flatten_nested, nested_records
 from tristar.sources.roles import (
-    BATCH_THRESHOLD, CHANGELOG_THRESHOLD, COLLIDING_THRESHOLD, EVENT_THRESHOLD,
+    BATCH_THRESHOLD, CHANGELOG_THRESHOLD, COLLIDING_THRESHOLD, EVENT_THRESHOLD, RETRACT_THRESHOLD,
     batch_star, event_star, read_table, users_from_customer,
 )
 from tristar.sources.tables import duplicate_keys, latest_by_key
@@ -234,3 +234,15 @@ EVENT_COUNTS_SQL = _EV_BY_ID_NAME
 NESTED_SQL = _NESTED
 RELAY_SQL = (f"SELECT c_name AS user_name, COUNT(*) AS counts {_EV} GROUP BY c_name "
              f"HAVING COUNT(*) > {EVENT_THRESHOLD}")
+# Counts per user after each quarter of the ids; a changed count retracts the one before.
+_PARTS = (f"SELECT c_custkey AS user_id, c_name AS user_name, "
+          f"CAST((v.event_id - lo) * 4 // w AS BIGINT) AS batch, COUNT(*) AS n {_EV} "
+          f"CROSS JOIN (SELECT MIN(event_id) AS lo, MAX(event_id) - MIN(event_id) + 1 AS w "
+          f"FROM events) b GROUP BY ALL")
+_SUMS = (f"SELECT *, SUM(n) OVER (PARTITION BY user_id, user_name ORDER BY batch) AS total "
+         f"FROM ({_PARTS}) p")
+RETRACT_LOG_SQL = (
+    f"SELECT batch, user_id, user_name, CAST(total AS BIGINT) AS counts, TRUE AS is_add "
+    f"FROM ({_SUMS}) a WHERE total > {RETRACT_THRESHOLD} UNION ALL "
+    f"SELECT batch, user_id, user_name, CAST(total - n AS BIGINT) AS counts, FALSE AS is_add "
+    f"FROM ({_SUMS}) r WHERE total - n > {RETRACT_THRESHOLD}")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tristar.plans.queries import BATCH, EVENT_COUNTS_SQL, NESTED_SQL, ORACLE, RELAY_SQL
+from tristar.plans.queries import (
+    BATCH, EVENT_COUNTS_SQL, NESTED_SQL, ORACLE, RELAY_SQL, RETRACT_LOG_SQL,
+)
 from tristar.plans.streams import STREAMS
 
 QUERIES = {**BATCH, **STREAMS}
@@ -16,5 +18,9 @@ ORACLE_SQL = {
     "relay_dedup": RELAY_SQL,
     "stream_sql_having": EVENT_COUNTS_SQL,
     "stream_retract_net": EVENT_COUNTS_SQL,
+    "stream_running_updates": ORACLE["running_updates"],
+    "stream_retract_records": ORACLE["retract_changelog"],
+    "stream_retract_log": RETRACT_LOG_SQL,
+    "stream_pending_join": NESTED_SQL,
     "live_dimension_counts": EVENT_COUNTS_SQL,
 }

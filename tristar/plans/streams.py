@@ -4,23 +4,29 @@ returns the job's output read back as a batch DataFrame, so it compares with SQL
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tristar.operators.counts import enriched_counts
 from tristar.session import batch_bytes, scratch_dir
 from tristar.sources.keyed import keyed_table, read_keyed
 from tristar.operators.enrich import enrich, prepare_dimension
 from tristar.sources.roles import (
-    EVENT_THRESHOLD, Star, cards_from_part, event_star, read_table, users_from_customer,
+    CHANGELOG_THRESHOLD, EVENT_THRESHOLD, RETRACT_THRESHOLD, Star, cards_from_part, event_star, read_table, users_from_customer,
 )
 from tristar.streaming.jobs import (
     BOUNDED, CARD_WIRE, DEFAULT_BROADCAST_ROWS, USER_WIRE, combine_counts, event_fact_stream,
     keyed_star_streams,
-    publish_star, run_live, run_relay, run_retract, run_snapshot, run_sql, run_stream_join,
+    publish_star, relay_stream, run_live, run_relay, run_retract, run_snapshot, run_sql, run_stream_join,
     run_updates,
     state_partitions, stream_enriched,
 )
+from tristar.streaming.stateful import (
+    RelayCounts, read_joined, run_changelog, run_pending_join, run_retract_log, run_sink,
+)
 from tristar.streaming.sinks import (
     net_changelog, read_changelog, read_final_state, read_latest_snapshot,
 )
@@ -140,14 +146,81 @@ def q_relay_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "user_id", "user_name", F.col("verification_date").cast("timestamp").alias(
             "verification_ts"))
     middle = verifications.agg(F.avg("id")).first()[0] or 0
+    sink = RelayCounts(f"{run}/out", f"{run}/state", EVENT_THRESHOLD)
     for part in (rows.filter(F.col("verification_id") > middle),
                  rows.filter(F.col("verification_id") <= middle),
                  rows.filter("verification_id % 3 = 0")):
-        part.coalesce(2).write.mode("append").parquet(f"{run}/relay")
-    run_relay(spark, f"{run}/relay", f"{run}/out", f"{run}/checkpoint", threshold=EVENT_THRESHOLD,
-              by="name", trigger=BOUNDED, max_files=2, dedup=True,
-              partitions=state_partitions(spark)).awaitTermination()
-    return read_latest_snapshot(spark, f"{run}/out").select("user_name", "counts")
+        part.write.mode("append").parquet(f"{run}/relay")
+        run_sink(relay_stream(spark, f"{run}/relay"), sink, f"{run}/checkpoint",
+                 BOUNDED).awaitTermination()
+    return sink.result(spark).select("user_name", "counts")
+
+
+# ---- state in a keyed store ----------------------------------------------------------------
+
+def _in_id_parts(spark: SparkSession, sf: str, run: str,
+                 job: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Appends the whole events table part by part (``BATCHES`` equal ranges of ids) and runs the
+    job from its checkpoint after each, so every part is one micro-batch and a restart."""
+    events = read_table(spark, sf, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    width = 1 if low is None else high - low + 1
+    part = F.expr(f"((event_id - {low or 0}) * {BATCHES}) div {width}")
+    for k in range(BATCHES):
+        events.filter(part == k).write.mode("append").parquet(f"{run}/events")
+        job(event_fact_stream(spark, f"{run}/events")).awaitTermination()
+
+
+def _run_changelog(spark: SparkSession, sf: str, retract: bool) -> str:
+    run = scratch_dir(spark, "stream_changelog")
+    cards, users = _dims(spark, sf)
+    _in_id_parts(spark, sf, run, lambda facts: run_changelog(
+        facts, cards, users, f"{run}/out", f"{run}/state", f"{run}/checkpoint",
+        CHANGELOG_THRESHOLD, retract, BOUNDED))
+    return f"{run}/out"
+
+
+def q_stream_running_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Per record: the running count of its user, counted on across batches and restarts."""
+    return spark.read.parquet(_run_changelog(spark, sf, False)).select(
+        "event_id", "user_id", "counts")
+
+
+def q_stream_retract_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Per record: the retract and add message of its user's count."""
+    return spark.read.parquet(_run_changelog(spark, sf, True)).select(
+        "event_id", "user_id", "is_add", "counts")
+
+
+def q_stream_retract_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Every retract and add row of every micro-batch."""
+    run = scratch_dir(spark, "stream_retract_log")
+    cards, users = _dims(spark, sf)
+    _in_id_parts(spark, sf, run, lambda facts: run_retract_log(
+        facts, cards, users, f"{run}/out", f"{run}/state", f"{run}/checkpoint",
+        RETRACT_THRESHOLD, BOUNDED, compact_every=2))
+    return read_changelog(spark, f"{run}/out").select(
+        F.col("batch_id").cast("long").alias("batch"), *USER_COLS, "is_add")
+
+
+def q_stream_pending_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Three keyed streams joined; each part of the facts comes with a quarter of the cards and
+    users, so facts wait for dimension rows that come up to three batches later."""
+    run = scratch_dir(spark, "stream_pending_join")
+    cards, facts, users = event_star(spark, sf)
+    low, high = facts.agg(F.min("id"), F.max("id")).first()
+    width = 1 if low is None else high - low + 1
+    for k in range(BATCHES):
+        publish_star(Star(cards.filter(F.pmod(F.hash("card_id"), F.lit(BATCHES)) == k),
+                          facts.filter(F.expr(f"((id - {low or 0}) * {BATCHES}) div {width}") == k),
+                          users.filter(F.pmod(F.hash("user_id"), F.lit(BATCHES)) == k)),
+                     f"{run}/topics", mode="append")
+        streams = keyed_star_streams(spark, {r: f"{run}/topics/{r}" for r in
+                                             ("cards", "verifications", "users")})
+        run_pending_join(streams, f"{run}/out", f"{run}/state", f"{run}/checkpoint",
+                         BOUNDED).awaitTermination()
+    return read_joined(spark, f"{run}/out").select(
+        "verification_id", "card_id", "card_title", "user_id", "user_name")
 
 
 def _live_dims(topics: dict[str, str]):
@@ -182,5 +255,9 @@ STREAMS = {
     "relay_dedup": q_relay_dedup,
     "stream_sql_having": q_stream_sql_having,
     "stream_retract_net": q_stream_retract_net,
+    "stream_running_updates": q_stream_running_updates,
+    "stream_retract_records": q_stream_retract_records,
+    "stream_retract_log": q_stream_retract_log,
+    "stream_pending_join": q_stream_pending_join,
     "live_dimension_counts": q_live_dimension_counts,
 }

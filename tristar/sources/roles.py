@@ -30,6 +30,7 @@ WORKLOAD_THRESHOLD = 200
 BATCH_THRESHOLD = 600          # M1: mean verifications per supplier
 EVENT_THRESHOLD = 66           # M2: final counts per customer
 CHANGELOG_THRESHOLD = 60       # M2: per-record changelogs
+RETRACT_THRESHOLD = 30         # M2: micro-batch changelog, passed in the middle of the table
 COLLIDING_THRESHOLD = 200      # grouping by (colliding) card titles
 
 CARD_SCHEMA = T.StructType([

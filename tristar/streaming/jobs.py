@@ -135,24 +135,26 @@ def stream_enriched(facts: DataFrame, cards: DataFrame, users: DataFrame,
 
 
 def publish_star(star: Star, folder: str, events_ts: str = "verification_date",
-                 roles: Sequence[str] = ("cards", "verifications", "users")) -> dict[str, str]:
-    """Publish the listed roles as keyed JSON record folders (wire field names).
+                 roles: Sequence[str] = ("cards", "verifications", "users"),
+                 mode: str = "overwrite") -> dict[str, str]:
+    """Publish the listed roles as keyed JSON record folders (wire field names), replacing
+    what is there or (``mode="append"``) adding to it.
 
     Returns ``{role: path}`` for the published roles.
     """
     paths = {r: f"{folder.rstrip('/')}/{r}" for r in roles}
     if "cards" in paths:
         publish_keyed(star.cards, "card_id", ["card_id", "title"], paths["cards"],
-                      names=["cardId", "cardTitle"])
+                      names=["cardId", "cardTitle"], mode=mode)
     if "verifications" in paths:
         v = star.verifications.withColumn("__epoch", epoch_seconds(events_ts))
         publish_keyed(v, "id", ["id", "card_id", "__epoch", "verified_by"],
                       paths["verifications"],
                       names=["verificationId", "cardId", "verificationDate", "verifiedByUserId"],
-                      timestamp=event_time(events_ts))
+                      timestamp=event_time(events_ts), mode=mode)
     if "users" in paths:
         publish_keyed(star.users, "user_id", ["user_id", "user_name"], paths["users"],
-                      names=["userId", "userName"])
+                      names=["userId", "userName"], mode=mode)
     return paths
 
 
