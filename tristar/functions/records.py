@@ -27,9 +27,13 @@ def _col(c: Column | str) -> Column:
 
 
 def cast_keyed(df: DataFrame) -> DataFrame:
-    """Bytes key/value to strings and the record time to TIMESTAMP."""
-    return df.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value",
-                         "CAST(timestamp AS TIMESTAMP) AS timestamp")
+    """Bytes key/value to strings and the record time to TIMESTAMP; the place in the log
+    (``partition``, ``offset``) is kept where the records have one."""
+    place = [F.col(c).cast(t).alias(c) for c, t in (("partition", "int"), ("offset", "long"))
+             if c in df.columns]
+    return df.select(F.col("key").cast("string").alias("key"),
+                     F.col("value").cast("string").alias("value"),
+                     F.col("timestamp").cast("timestamp").alias("timestamp"), *place)
 
 
 def decode_column(value: Column | str, schema: T.StructType, mode: str = "PERMISSIVE") -> Column:

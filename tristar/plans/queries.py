@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tristar.functions.records import decode, encode
 from tristar.functions.time import with_age
@@ -21,6 +22,8 @@ from tristar.operators.counts import (
     grouped_counts, qualifying_total, value_counts, verified_users,
 )
 from tristar.operators.enrich import card_verifications, enrich, flatten_nested, nested_records
+from tristar.session import scratch_dir
+from tristar.sources.keyed import keyed_table, publish_log, read_keyed
 from tristar.sources.roles import (
     BATCH_THRESHOLD, CHANGELOG_THRESHOLD, COLLIDING_THRESHOLD, EVENT_THRESHOLD, RETRACT_THRESHOLD,
     batch_star, event_star, read_table, users_from_customer,
@@ -32,6 +35,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed value: the "as of" instant of the age column, 2025-01-01T00:00:00Z.
 AS_OF = 1735689600
 
+ORDER_WIRE = T.StructType([T.StructField("custKey", T.LongType()),
+                           T.StructField("orderKey", T.LongType()),
+                           T.StructField("status", T.StringType())])
+
 
 # ---- batch, mapping M1 -------------------------------------------------------------
 
@@ -113,7 +120,6 @@ def q_keyed_json(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Encode each verification as a keyed JSON record, then decode it again."""
-    from pyspark.sql import types as T
     v = event_star(spark, sf).verifications
     wire = encode(v, "id", ["id", "card_id"], names=["id", "cardId"])
     schema = T.StructType([T.StructField("id", T.LongType()),
@@ -140,7 +146,23 @@ def q_retract_changelog(spark: SparkSession, sf: str) -> DataFrame:
                              CHANGELOG_THRESHOLD)
 
 
+def q_replicated_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The table that a published log stands for: orders as records of their customer, many of one
+    timestamp (the log's offsets decide), every seventh a tombstone."""
+    orders = read_table(spark, sf, "orders")
+    log = encode(orders.withColumn("offset", F.col("o_orderkey")), "o_custkey",
+                 ["o_custkey", "o_orderkey", "o_orderstatus"], names=["custKey", "orderKey", "status"],
+                 keep=("offset",))
+    topic = scratch_dir(spark, "orders-log")
+    publish_log(log.select(
+        "key", F.when(F.col("offset") % 7 != 0, F.col("value")).alias("value"),
+        F.timestamp_seconds(F.expr("offset div 1000")).alias("timestamp"), "offset"), topic)
+    return keyed_table(read_keyed(spark, topic, log=True), ORDER_WIRE, {
+        "custKey": "o_custkey", "orderKey": "o_orderkey", "status": "o_orderstatus"})
+
+
 BATCH: dict[str, Query] = {
+    "replicated_table": q_replicated_table,
     "card_verifications": q_card_verifications,
     "enriched_cards": q_enriched_cards,
     "verified_users_by_id": q_verified_users_by_id,
@@ -180,6 +202,10 @@ _NESTED = (f"SELECT v.event_id AS verification_id, p_partkey AS card_id, p_name
 _K = CHANGELOG_THRESHOLD
 
 ORACLE: dict[str, str] = {
+    "replicated_table": (
+        "SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "
+        "o_custkey ORDER BY o_orderkey // 1000 DESC, o_orderkey DESC) AS rn FROM orders) t "
+        "WHERE rn = 1 AND o_orderkey % 7 <> 0"),
     "card_verifications": (
         "SELECT p_partkey AS card_id, p_name AS title, l_suppkey AS verified_by, "
         "l_shipdate AS verification_date FROM part JOIN lineitem ON p_partkey = l_partkey"),
@@ -246,3 +272,13 @@ RETRACT_LOG_SQL = (
     f"FROM ({_SUMS}) a WHERE total > {RETRACT_THRESHOLD} UNION ALL "
     f"SELECT batch, user_id, user_name, CAST(total - n AS BIGINT) AS counts, FALSE AS is_add "
     f"FROM ({_SUMS}) r WHERE total - n > {RETRACT_THRESHOLD}")
+_LOG = ("SELECT f.event_id % 10 AS kind, p_partkey AS card, c_custkey AS usr FROM (SELECT *, "
+        "CAST(json_extract_string(props, '$.k') AS INT) AS card_id FROM events) f "
+        "LEFT JOIN (SELECT * FROM part WHERE p_partkey % 5 <> 0) p ON p_partkey = f.card_id "
+        "LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) c ON c_custkey = f.user_id")
+DECODE_REPORT_SQL = (
+    "SELECT COUNT(*) AS records, COUNT(*) FILTER (kind = 1) AS tombstones, "
+    "COUNT(*) FILTER (kind = 0) AS undecodable, COUNT(*) FILTER (kind > 1) AS facts, "
+    "COUNT(*) FILTER (kind > 1 AND card IS NULL) AS no_card, "
+    "COUNT(*) FILTER (kind > 1 AND card IS NOT NULL AND usr IS NULL) AS no_user, "
+    f"COUNT(*) FILTER (kind > 1 AND card IS NOT NULL AND usr IS NOT NULL) AS joined FROM ({_LOG}) l")

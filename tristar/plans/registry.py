@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tristar.plans.queries import (
-    BATCH, EVENT_COUNTS_SQL, NESTED_SQL, ORACLE, RELAY_SQL, RETRACT_LOG_SQL,
+    BATCH, DECODE_REPORT_SQL, EVENT_COUNTS_SQL, NESTED_SQL, ORACLE, RELAY_SQL, RETRACT_LOG_SQL,
 )
 from tristar.plans.streams import STREAMS
 
@@ -22,5 +22,7 @@ ORACLE_SQL = {
     "stream_retract_records": ORACLE["retract_changelog"],
     "stream_retract_log": RETRACT_LOG_SQL,
     "stream_pending_join": NESTED_SQL,
+    "state_counts": EVENT_COUNTS_SQL,
+    "decode_report": DECODE_REPORT_SQL,
     "live_dimension_counts": EVENT_COUNTS_SQL,
 }

@@ -10,25 +10,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tristar.functions.records import encode, rename_all
 from tristar.operators.counts import enriched_counts
 from tristar.session import batch_bytes, scratch_dir
-from tristar.sources.keyed import keyed_table, read_keyed
+from tristar.sources.keyed import keyed_source, keyed_table, read_keyed
 from tristar.operators.enrich import enrich, prepare_dimension
 from tristar.sources.roles import (
-    CHANGELOG_THRESHOLD, EVENT_THRESHOLD, RETRACT_THRESHOLD, Star, cards_from_part, event_star, read_table, users_from_customer,
+    CARD_SCHEMA, CHANGELOG_THRESHOLD, EVENT_THRESHOLD, RETRACT_THRESHOLD, Star, USER_SCHEMA,
+    VERIFICATION_SCHEMA, cards_from_part, event_star, read_table, users_from_customer,
 )
 from tristar.streaming.jobs import (
-    BOUNDED, CARD_WIRE, DEFAULT_BROADCAST_ROWS, USER_WIRE, combine_counts, event_fact_stream,
+    BOUNDED, CARD_WIRE, DEFAULT_BROADCAST_ROWS, USER_WIRE, VERIFICATION_WIRE, combine_counts, event_fact_stream,
     keyed_star_streams,
-    publish_star, relay_stream, run_live, run_relay, run_retract, run_snapshot, run_sql, run_stream_join,
+    publish_star, read_state_counts, relay_stream, run_live, run_relay, run_retract, run_snapshot, run_sql, run_stream_join,
     run_updates,
     state_partitions, stream_enriched,
 )
+from tristar.streaming.losses import decode_counted, join_counted, observed_totals
 from tristar.streaming.stateful import (
     RelayCounts, read_joined, run_changelog, run_pending_join, run_retract_log, run_sink,
 )
 from tristar.streaming.sinks import (
-    net_changelog, read_changelog, read_final_state, read_latest_snapshot,
+    BatchDirSink, net_changelog, read_changelog, read_final_state, read_latest_snapshot,
 )
 
 USER_COLS = ["user_id", "user_name", "counts"]
@@ -95,16 +98,23 @@ def q_stream_retract_net(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_stream_sql_having(spark: SparkSession, sf: str) -> DataFrame:
     run = scratch_dir(spark, "stream_sql_having")
-    cards, users = _dims(spark, sf)
-    cards = prepare_dimension(cards, "card_id", DEFAULT_BROADCAST_ROWS, name="cards")
-    users = prepare_dimension(users, "user_id", DEFAULT_BROADCAST_ROWS, name="users")
-    views = {"verifications": _facts(spark, sf), "cards": cards, "users": users}
+    # Views by position, as a SQL script would name its columns; checked when the job starts.
+    cards = rename_all(read_table(spark, sf, "part").select("p_partkey", "p_name"),
+                       CARD_SCHEMA.names)
+    users = rename_all(read_table(spark, sf, "customer").select("c_custkey", "c_name"),
+                       USER_SCHEMA.names)
+    facts = _facts(spark, sf).withColumn("card_id", F.col("card_id").cast("long"))
+    views = {"verifications": facts,
+             "cards": prepare_dimension(cards, "card_id", DEFAULT_BROADCAST_ROWS, name="cards"),
+             "users": prepare_dimension(users, "user_id", DEFAULT_BROADCAST_ROWS, name="users")}
+    schemas = {"verifications": VERIFICATION_SCHEMA, "cards": CARD_SCHEMA, "users": USER_SCHEMA}
     sql = ("SELECT u.user_id, u.user_name, COUNT(*) AS counts "
            "FROM verifications v JOIN cards c ON c.card_id = v.card_id "
            "JOIN users u ON v.verified_by = u.user_id "
            f"GROUP BY u.user_id, u.user_name HAVING COUNT(*) > {EVENT_THRESHOLD}")
     run_sql(spark, views, sql, f"{run}/out", f"{run}/checkpoint",
-            trigger=BOUNDED, partitions=state_partitions(spark)).awaitTermination()
+            trigger=BOUNDED, partitions=state_partitions(spark),
+            schemas=schemas).awaitTermination()
     return read_final_state(spark, f"{run}/out", ["user_id", "user_name"]).select(*USER_COLS)
 
 
@@ -223,6 +233,44 @@ def q_stream_pending_join(spark: SparkSession, sf: str) -> DataFrame:
         "verification_id", "card_id", "card_title", "user_id", "user_name")
 
 
+def q_state_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs the update job, then reads its counts from the state in its checkpoint."""
+    run = scratch_dir(spark, "state_counts")
+    cards, users = _dims(spark, sf)
+    counts = enriched_counts(stream_enriched(_facts(spark, sf), cards, users),
+                             by="id_and_name", threshold=EVENT_THRESHOLD)
+    run_updates(counts, f"{run}/out", f"{run}/checkpoint", BOUNDED,
+                partitions=state_partitions(spark)).awaitTermination()
+    return (read_state_counts(spark, f"{run}/checkpoint").select(*USER_COLS)
+            .filter(F.col("counts") > EVENT_THRESHOLD))
+
+
+def q_decode_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What a permissive job over a damaged log leaves out: every tenth record's text is cut, every
+    tenth is a tombstone; a third of the users and a fifth of the cards are missing."""
+    run = scratch_dir(spark, "decode_report")
+    cards, facts, users = event_star(spark, sf)
+    wire = encode(facts, "id", ["id", "card_id", "verified_by"],
+                  names=["verificationId", "cardId", "verifiedByUserId"], keep=("id",))
+    kind = F.col("id") % 10
+    (wire.select("key", F.when(kind == 0, F.expr("substring(value, 3, 9)"))
+                 .when(kind != 1, F.col("value")).alias("value"),
+                 F.current_timestamp().alias("timestamp")).write.parquet(f"{run}/topic"))
+    records = decode_counted(keyed_source(spark, "files", f"{run}/topic"), VERIFICATION_WIRE)
+    joined = join_counted(
+        cards.filter("card_id % 5 <> 0"),
+        records.select("verificationId", F.col("cardId").alias("card_id"),
+                       F.col("verifiedByUserId").alias("verified_by")),
+        users.filter("user_id % 3 <> 0"))
+    query = run_sink(joined.select("verificationId", "card_id", "user_id"),
+                     BatchDirSink(f"{run}/out"), f"{run}/checkpoint", BOUNDED)
+    query.awaitTermination()
+    lost = observed_totals(query)
+    names = ("records", "tombstones", "undecodable", "facts", "no_card", "no_user")
+    return spark.read.parquet(f"{run}/out").agg(F.count("*").alias("joined")).select(
+        *[F.lit(lost.get(n, 0)).cast("long").alias(n) for n in names], "joined")
+
+
 def _live_dims(topics: dict[str, str]):
     """Dimensions as replicated tables: the keyed record logs re-read per micro-batch,
     latest record per key, tombstones deleting."""
@@ -259,5 +307,7 @@ STREAMS = {
     "stream_retract_records": q_stream_retract_records,
     "stream_retract_log": q_stream_retract_log,
     "stream_pending_join": q_stream_pending_join,
+    "state_counts": q_state_counts,
+    "decode_report": q_decode_report,
     "live_dimension_counts": q_live_dimension_counts,
 }

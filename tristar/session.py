@@ -25,6 +25,11 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # One RocksDB instance per partition of a stream-stream join (column families) in place of
+    # four, and checkpoints that upload a batch's changes in place of whole files: the join
+    # entry takes 15 s in place of 31 to 35 s at sf0.01, and 14 s with both.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # State stores of finished queries are unloaded at the next maintenance pass; bounded
     # (availableNow) jobs run back to back would otherwise pile up loaded RocksDB
     # instances for a minute each (measured: the relay job went from 5 s to 14 s).

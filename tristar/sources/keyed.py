@@ -10,6 +10,7 @@ Every source yields ``(key string, value string, timestamp timestamp)``:
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,32 +26,64 @@ KEYED_SCHEMA = T.StructType([
 ])
 
 
+LOG_SCHEMA = T.StructType([*KEYED_SCHEMA.fields, T.StructField("partition", T.IntegerType()),
+                           T.StructField("offset", T.LongType())])
+
+
+def _kafka_start(starting: str) -> dict[str, str]:
+    """Kafka options of a start position: earliest, latest, JSON of offsets per partition, or a
+    time (ISO text)."""
+    if starting in ("earliest", "latest") or starting.lstrip().startswith("{"):
+        return {"startingOffsets": starting}
+    at = datetime.fromisoformat(starting)
+    at = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+    return {"startingTimestamp": str(int(at.timestamp() * 1000))}
+
+
 def keyed_source(spark: SparkSession, kind: str, location: str, starting: str = "earliest",
                  max_files: int | None = None, options: dict[str, str] | None = None,
-                 stream: bool = True, max_bytes: int | None = None) -> DataFrame:
+                 stream: bool = True, max_bytes: int | None = None,
+                 max_records: int | None = None, log: bool = False) -> DataFrame:
     """Open a keyed record source as a stream (default) or as a bounded batch.
 
-    ``max_files`` / ``max_bytes`` cap a micro-batch of a files source (the first wins).
+    ``starting``: "earliest", a time (ISO text, UTC unless it names a zone; records of that time
+    or later), and for Kafka also "latest" or JSON of offsets; what a files source cannot
+    honour is refused. A micro-batch takes at most ``max_files`` files or ``max_bytes`` bytes of
+    a files source (the first wins), or ``max_records`` records of a Kafka topic; a limit of
+    the other kind of source is refused. With ``log`` the records keep ``partition`` and
+    ``offset``, their order in the log.
     """
     options = dict(options or {})
     if kind == "files":
+        if max_records:
+            raise ValueError("a files source limits batches by files or bytes, not records")
+        if starting == "latest" or starting.lstrip().startswith("{"):
+            raise ValueError(f"a files source starts at 'earliest' or a time, not {starting!r}")
         reader = spark.readStream if stream else spark.read
-        reader = reader.schema(KEYED_SCHEMA)
+        reader = reader.schema(LOG_SCHEMA if log else KEYED_SCHEMA)
         if stream and max_files:
             reader = reader.option("maxFilesPerTrigger", str(max_files))
         elif stream and max_bytes:
             reader = reader.option("maxBytesPerTrigger", str(int(max_bytes)))
         for k, v in options.items():
             reader = reader.option(k, v)
-        return reader.parquet(location).select("key", "value", "timestamp")
+        records = reader.parquet(location)
+        if starting != "earliest":
+            at = datetime.fromisoformat(starting)
+            at = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+            records = records.filter(F.col("timestamp") >= F.lit(at))
+        return records
     if kind == "kafka":
+        if max_files or max_bytes:
+            raise ValueError("a Kafka source limits batches by max_records")
         reader = (spark.readStream if stream else spark.read).format("kafka")
         reader = reader.option("subscribe", location)
-        reader = reader.option("startingOffsets", starting)
-        for k, v in options.items():
+        if stream and max_records:
+            reader = reader.option("maxOffsetsPerTrigger", str(int(max_records)))
+        for k, v in {**_kafka_start(starting), **options}.items():
             reader = reader.option(k, v)
         try:
-            return cast_keyed(reader.load())
+            records = cast_keyed(reader.load())
         except Exception as e:
             msg = str(e).lower()
             if "kafka" in msg and "data source" in msg:
@@ -58,12 +91,20 @@ def keyed_source(spark: SparkSession, kind: str, location: str, starting: str =
                     "the Kafka connector (spark-sql-kafka-0-10 for this Spark version) is "
                     "not on the classpath; add it to the job, or use kind='files'") from e
             raise
+        return records if log else records.select("key", "value", "timestamp")
     raise ValueError(f"unknown source kind {kind!r}; use 'files' or 'kafka'")
 
 
-def read_keyed(spark: SparkSession, location: str) -> DataFrame:
+def read_keyed(spark: SparkSession, location: str, log: bool = False) -> DataFrame:
     """A keyed files folder as a bounded DataFrame."""
-    return keyed_source(spark, "files", location, stream=False)
+    return keyed_source(spark, "files", location, stream=False, log=log)
+
+
+def publish_log(records: DataFrame, path: str, partitions: int = 4, mode: str = "overwrite") -> None:
+    """Write ``(key, value, timestamp, offset)`` records as a log: a key's records share a
+    partition (``partition`` = hash of the key), ``offset`` orders them there."""
+    (records.withColumn("partition", F.pmod(F.hash("key"), F.lit(int(partitions))).cast("int"))
+     .select(*LOG_SCHEMA.names).write.mode(mode).parquet(path))
 
 
 def keyed_table(records: DataFrame, schema: T.StructType,

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tristar.functions.records import decode
+from tristar.functions.records import decode, require_schema
 from tristar.functions.time import epoch_seconds, event_time
 from tristar.operators.counts import enriched_counts, verified_users
 from tristar.operators.enrich import (
@@ -161,12 +161,15 @@ def publish_star(star: Star, folder: str, events_ts: str = "verification_date",
 def keyed_star_streams(spark: SparkSession, locations: dict[str, str], kind: str = "files",
                        max_files: int | None = None, mode: str = "PERMISSIVE",
                        starting: str = "earliest", max_bytes: int | None = None,
-                       options: dict[str, str] | None = None) -> Star:
+                       options: dict[str, str] | None = None,
+                       max_records: int | None = None) -> Star:
     """Open the three keyed record streams and decode them to role columns. ``options`` go to
-    each source (for Kafka: at least ``kafka.bootstrap.servers``)."""
+    each source (for Kafka: at least ``kafka.bootstrap.servers``); ``max_records`` limits a
+    Kafka batch."""
     def src(role: str) -> DataFrame:
         return keyed_source(spark, kind, locations[role], starting=starting,
-                            max_files=max_files, max_bytes=max_bytes, options=options)
+                            max_files=max_files, max_bytes=max_bytes, options=options,
+                            max_records=max_records)
 
     cards = decode(src("cards"), CARD_WIRE, mode=mode, keep=(), timestamp_as="card_ts").select(
         F.col("cardId").alias("card_id"), F.col("cardTitle").alias("title"), "card_ts")
@@ -207,13 +210,22 @@ def run_retract(counts: DataFrame, key: Sequence[str], snapshots: str, changelog
 
 def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str,
             checkpoint: str, mode: str = "update", trigger: dict | None = None,
-            partitions: int | None = None) -> StreamingQuery:
+            partitions: int | None = None,
+            schemas: dict[str, T.StructType] | None = None) -> StreamingQuery:
     """SQL text over named (streaming and static) DataFrames, written per batch.
 
+    A view named in ``schemas`` must have those columns with those types; the job does not
+    start otherwise.
+
     The names exist only while the text is analysed; the analysed plan holds the
     DataFrames, so afterwards the names are dropped, or given back to the session's own
     temporary views that had them before.
     """
+    for name, schema in (schemas or {}).items():
+        try:
+            require_schema(views[name], schema)
+        except TypeError as e:
+            raise TypeError(f"view {name}: {e}") from None
     taken = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
     own = {name: spark.table(name) for name in views if name.lower() in taken}
     for name, df in views.items():
@@ -230,6 +242,19 @@ def run_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str, out: str
     return _start(w, checkpoint, trigger, spark, partitions)
 
 
+def read_state_counts(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The grouping keys and the count that a counting job's checkpoint holds, read through
+    Spark's state data source: all counts, also those under the job's threshold, without
+    running the job or keeping its output. The grouping columns come as they are; the count
+    is ``counts``."""
+    state = (spark.read.format("statestore").option("path", checkpoint)
+             .option("operatorId", str(operator)).load())
+    if len(state.schema["value"].dataType.fields) != 1:
+        raise ValueError("the operator's state is not a single count")
+    return state.select("key.*", F.col(f"value.{state.schema['value'].dataType.names[0]}")
+                        .cast("long").alias("counts"))
+
+
 # ---- stream-stream join and relay -------------------------------------------------------
 
 RELAY_COLUMNS = ["verification_id", "card_id", "card_title", "user_id", "user_name",
@@ -280,7 +305,8 @@ def run_stream_join(streams: Star, relay: str, checkpoint: str,
     ``kind="files"``: a parquet relay through the file sink, exactly-once for readers.
     ``kind="kafka"``: topic ``relay``, key = user id, value = the joined row as JSON. The
     Kafka sink is at-least-once; the relay keeps the verification id, so a consumer can
-    drop a replayed row (``dropDuplicatesWithinWatermark``) instead of counting it twice.
+    drop a replayed row (``SeenIds``, or ``relay_stream(dedup=True)``) instead of counting it
+    twice.
     """
     joined = stream_join(streams, salt)
     if kind == "files":
@@ -361,8 +387,7 @@ def run_two_stage(spark: SparkSession, streams: Star, relay: str, out: str, chec
 
 def await_any(spark: SparkSession, timeout_s: int | None = None) -> bool | None:
     """Block until a query of the session ends (re-raising its error), or ``timeout_s``
-    seconds pass. Queries that ended before the last ``resetTerminated`` do not count;
-    ``run_two_stage`` resets before it starts its queries."""
+    seconds pass. Queries that ended before the last ``resetTerminated`` do not count."""
     if timeout_s is None:
         return spark.streams.awaitAnyTermination()
     return spark.streams.awaitAnyTermination(int(timeout_s))
