@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections import defaultdict
 from functools import lru_cache
 
@@ -70,8 +71,11 @@ class ByteIds:
         self._first = Memo(self._ids, 50_000)
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self._bpe.encode(text, allowed_special=self._special,
-                                         disallowed_special=()), "<u4").tobytes()
+        if any(s in text for s in self._special):
+            ids = self._bpe.encode(text, allowed_special=self._special, disallowed_special=())
+        else:
+            ids = self._bpe.encode_ordinary(text)
+        return array("I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         units = text.replace("\n", " \n").split(" ")
