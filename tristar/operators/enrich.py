@@ -69,9 +69,28 @@ def salt_column(salt: int) -> Column:
     return F.floor(F.rand(SALT_SEED) * F.lit(salt)).cast("bigint")
 
 
+def hot_keys(facts: DataFrame, key: str, share: float = 0.01) -> list:
+    """The values of ``key`` that hold about ``share`` of the rows or more (at most 1 / share).
+
+    One pass with a frequent-items sketch (``approx_top_k``), a few KB a task, of a table or a
+    stream's first batch. Any list is correct for salting: a hot key that is missed is
+    not spread, a cold one that is named only has needless copies."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be in (0, 1]")
+    k = int(1 / share)
+    row = (facts.filter(F.col(key).isNotNull()).select(F.col(key).alias("__key"))
+           .agg(F.count(F.lit(1)).alias("n"),
+                F.expr(f"approx_top_k(__key, {k}, {min(10 * k, 1_000_000)})").alias("top")).first())
+    return sorted(t["item"] for t in row["top"] or () if t["count"] >= share * row["n"])
+
+
+def _is_hot(key: Column, hot: Sequence | None) -> Column:
+    return F.lit(True) if hot is None else key.isin(*hot) if len(hot) else F.lit(False)
+
+
 def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
                       buckets: int | None = None, name: str = "dimension",
-                      salt: int = 1) -> DataFrame:
+                      salt: int = 1, hot: Sequence | None = None) -> DataFrame:
     """A static dimension made ready for a long-running stream-static join.
 
     Under the row bound it is marked for broadcast (``bounded_broadcast``). Past it, it
@@ -81,7 +100,8 @@ def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
 
     With ``salt`` = S > 1 the bucketed table holds S copies of each row, one per value of
     a ``__salt`` column, bucketed by ``(key, __salt)``. Joined on both with salted facts
-    (``salted_stream_join``), a hot key spreads over S bucket tasks instead of one.
+    (``salted_stream_join``), a hot key spreads over S bucket tasks instead of one. With
+    ``hot`` (see ``hot_keys``) only the rows of these keys are copied.
     """
     if max_broadcast_rows is not None and fits_rows(dim, max_broadcast_rows):
         return F.broadcast(dim)
@@ -90,8 +110,8 @@ def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
     table = f"tristar_{name}_{uuid.uuid4().hex[:12]}"
     cols = [key]
     if salt > 1:
-        dim = dim.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                   F.lit(salt - 1).cast("bigint"))).alias(SALT))
+        last = F.when(_is_hot(F.col(key), hot), F.lit(salt - 1)).otherwise(F.lit(0)).cast("bigint")
+        dim = dim.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias(SALT))
         cols.append(SALT)
     # Repartitioning by the bucket columns first gives one file per bucket (the bucket
     # id is the same hash modulo n), instead of up to n files from every write task.
@@ -100,9 +120,11 @@ def prepare_dimension(dim: DataFrame, key: str, max_broadcast_rows: int | None,
     return spark.table(table)
 
 
-def salted_stream_join(facts: DataFrame, cards: DataFrame, users: DataFrame,
-                       salt: int) -> DataFrame:
-    """``enrich`` for dimensions from ``prepare_dimension(..., salt=salt)``.
+def salted_stream_join(facts: DataFrame, cards: DataFrame, users: DataFrame, salt: int,
+                       hot_cards: Sequence | None = None,
+                       hot_users: Sequence | None = None) -> DataFrame:
+    """``enrich`` for dimensions from ``prepare_dimension(..., salt=salt)``, with the same lists of
+    hot keys (None: all keys are salted).
 
     Each fact gets a ``__salt`` in [0, salt) and joins a salted dimension on
     ``(key, __salt)``; an unsalted (broadcast) dimension joins on the key alone. Each fact
@@ -114,13 +136,17 @@ def salted_stream_join(facts: DataFrame, cards: DataFrame, users: DataFrame,
     f = facts.withColumn(SALT, salt_column(salt))
     c = cards.withColumnRenamed(SALT, "__cs") if SALT in cards.columns else cards
     u = users.withColumnRenamed(SALT, "__us") if SALT in users.columns else users
+    cold = F.lit(0).cast("bigint")
     on_card = F.col("fc.card_id") == F.col("c.card_id")
     if "__cs" in c.columns:
-        on_card = on_card & (F.col(f"fc.{SALT}") == F.col("c.__cs"))
+        drawn = F.when(_is_hot(F.col("fc.card_id"), hot_cards), F.col(f"fc.{SALT}")).otherwise(cold)
+        on_card = on_card & (drawn == F.col("c.__cs"))
     j = f.alias("fc").join(c.alias("c"), on_card)
     on_user = F.col("fc.verified_by") == F.col("u.user_id")
     if "__us" in u.columns:
-        on_user = on_user & (F.col(f"fc.{SALT}") == F.col("u.__us"))
+        drawn = F.when(_is_hot(F.col("fc.verified_by"), hot_users),
+                       F.col(f"fc.{SALT}")).otherwise(cold)
+        on_user = on_user & (drawn == F.col("u.__us"))
     j = j.join(u.alias("u"), on_user)
     card_cols = [x for x in cards.columns if x != SALT]
     user_cols = [x for x in users.columns if x != SALT]

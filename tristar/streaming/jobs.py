@@ -116,21 +116,25 @@ def event_fact_stream(spark: SparkSession, folder: str, glob: str | None = None,
 
 
 def stream_enriched(facts: DataFrame, cards: DataFrame, users: DataFrame,
-                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                    salt: int = 1) -> DataFrame:
+                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, salt: int = 1,
+                    hot_cards: Sequence | None = None,
+                    hot_users: Sequence | None = None) -> DataFrame:
     """Stream-static enrichment.
 
     Each dimension is broadcast when a row check proves it under ``broadcast_rows``;
     otherwise it is written once as a bucketed table (``prepare_dimension``) so each
     micro-batch shuffles only itself. With ``salt`` > 1 a bucketed dimension is salted
-    so a hot key spreads over ``salt`` tasks (a broadcast one needs no salt).
+    so a hot key spreads over ``salt`` tasks (a broadcast one needs no salt); with lists of
+    hot keys (``hot_keys`` of a table of facts) only these are spread and copied.
     ``broadcast_rows=None`` leaves the dimensions as given (Spark's size-based choice).
     """
     if broadcast_rows is not None:
-        cards = prepare_dimension(cards, "card_id", broadcast_rows, name="cards", salt=salt)
-        users = prepare_dimension(users, "user_id", broadcast_rows, name="users", salt=salt)
+        cards = prepare_dimension(cards, "card_id", broadcast_rows, name="cards", salt=salt,
+                                  hot=hot_cards)
+        users = prepare_dimension(users, "user_id", broadcast_rows, name="users", salt=salt,
+                                  hot=hot_users)
     if SALT in cards.columns or SALT in users.columns:
-        return salted_stream_join(facts, cards, users, salt)
+        return salted_stream_join(facts, cards, users, salt, hot_cards, hot_users)
     return enrich(cards, facts, users)
 
 
