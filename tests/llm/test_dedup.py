@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tristar.llm import near_dedup, passage_dedup
+from tristar.llm import linking, near_dedup, passage_dedup
 from tristar.llm.linking import components, link, tune_bands
 
 SF = "/root/testdata/sf0.001"
@@ -71,8 +71,11 @@ def test_components_equal_union_find(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
 
 
-def test_links_connect_all_similar_members_of_a_bucket(spark):
+@pytest.mark.parametrize("small", [64, 2])
+def test_links_connect_all_similar_members_of_a_bucket(spark, monkeypatch, small):
     # Sets on a line: neighbours are similar, ends are not, and the leader is an outsider.
+    monkeypatch.setattr(linking, "SMALL", small)   # 2: by the prefix join, in tiny blocks
+    monkeypatch.setattr(linking, "BLOCK", 3)
     rng = random.Random(5)
     sets = {0: set(range(100, 200))}
     for i in range(1, 32):
@@ -86,14 +89,70 @@ def test_links_connect_all_similar_members_of_a_bucket(spark):
         seen.extend(rows)
         return spark.createDataFrame([(a, b, sim(a, b)) for a, b in rows], "a long, b long, sim double")
 
+    def prefixes(nodes):
+        return spark.createDataFrame(
+            [(r["node"], key, float(100 - k), 100.0) for r in nodes.collect()
+             for k, key in enumerate(sorted(sets[r["node"]])) if 100 - k >= 80],
+            "node long, key long, rest double, total double")
+
     members = spark.createDataFrame([(b, i) for i in sets for b in ((1, 2) if i % 2 else (1,))],
                                     "bucket long, node long")
-    links = [(r["a"], r["b"]) for r in link(members, compare, 0.8, "test").collect()]
+    links = [(r["a"], r["b"]) for r in link(members, compare, 0.8, "test", prefixes).collect()]
     want = [(a, b) for a in sets for b in sets if a < b and sim(a, b) >= 0.8]
     assert classes_of(links, sets) == classes_of(want, sets)
     assert len(seen) == len(set(seen)) and set(links) <= set(want)
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_prefix_join_of_many_texts_that_share_a_passage(spark, weighted):
+    # 2,000 texts about 0.6 alike, with pairs near the threshold on both sides among them.
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(45)]
+    words = {i: passage + [word() for _ in range(15)] for i in range(1000)}
+    for i in range(1000):
+        base = list(words[i])
+        for _ in range(rng.randrange(4)):
+            base[rng.randrange(45, 60)] = word()
+        words[1000 + i] = base
+    texts = {i: " ".join(w) for i, w in words.items()}
+    df = spark.createDataFrame(list(texts.items()), "node long, text string").repartition(4)
+    idf = near_dedup.inverse_frequencies(df) if weighted else np.ones(1 << near_dedup.BUCKET_BITS)
+    weigh = lambda h, n: n * idf[near_dedup._bucket(h)] if weighted else np.ones(len(h))
+    keys = near_dedup.prefixer(df, weigh, 0.8, "test")(df.select("node"))
+    got = {(r["a"], r["b"]) for r in linking.across_keys(
+        keys.withColumn("anchor", keys["node"]), 0.8, "test").collect()}
+    sims = near_dedup.weighted_jaccard if weighted else (lambda a, b, _: passage_dedup.jaccard(a, b))
+    near = [(i, 1000 + i) for i in range(1000)]
+    s = sims(pa.array([texts[a] for a, _ in near]), pa.array([texts[b] for _, b in near]), idf)
+    want = {p for p, x in zip(near, s) if x >= 0.8}
+    assert 100 < len(want) < 1000 and want <= got
+    assert len(got) < 20 * len(near)     # of two million pairs
+
+    far = rng.sample([(a, b) for a in range(300) for b in range(a)], 2000)
+    assert max(sims(pa.array([texts[a] for a, _ in far]), pa.array([texts[b] for _, b in far]), idf)) < 0.8
+
+
+def test_one_anchor_meets_nothing(spark):
+    keys = spark.createDataFrame([(n, k, 10.0, 10.0, 7 if n < 90 else n) for n in range(93) for k in (1, 2)],
+                                 "node long, key long, rest double, total double, anchor long")
+    got = {(r["a"], r["b"]) for r in linking.across_keys(keys, 0.8, "test").collect()}
+    assert got == {(a, b) for b in (90, 91, 92) for a in range(b)}
+    assert linking.across_keys(keys.filter("node < 90"), 0.8, "test").count() == 0
+
+
+def test_helper_columns_do_not_clash(spark):
+    p = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, p, "a", "b", "c", "d"), (2, p, "e", "f", "g", "h")],
+                               "doc_id long, text string, near_row string, cut_row string, "
+                               "_cut_row string, CUT_LINES string").coalesce(1)
+    assert [tuple(r) for r in near_dedup.keep_one(df).collect()] == [(1, p, "a", "b", "c", "d")]
+    cut = passage_dedup.cut_repeated(df)
+    assert cut.columns == df.columns
+    assert sorted(tuple(r) for r in cut.collect()) == [(1, p, "a", "b", "c", "d"),
+                                                       (2, "", "e", "f", "g", "h")]
+
+
 def test_weighted_jaccard_is_exact():
     idf = np.linspace(1, 8, 1 << near_dedup.BUCKET_BITS).astype(np.float32)
     texts = ["a b c d e f g a b c d e", "A b c d e f h", "", "x", None, "a b c d e"]

@@ -9,7 +9,8 @@ Improved consistent weighted sampling draws, per sample, the shingle and level t
 exponential race; two documents draw the same with the probability of their weighted
 Jaccard similarity. Bands of samples make candidate buckets, whose members are compared by
 exact weighted Jaccard similarity of the whole texts, and links of ``THRESHOLD`` or more
-make classes.
+make classes. Large buckets whose members are not all alike go through an exact prefix-filter
+join (``linking``).
 
 Copies are put together by the digest of their text before any comparison, so a group of
 copies is one node. Rows are numbered by their place in the table, which must not change
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tristar.llm import textgrid as tg
 from tristar.llm.linking import components, link, tune_bands
-from tristar.llm.rows import row_number_of
+from tristar.llm.rows import free_name, row_number_of
 from tristar.session import write_stage
 
 THRESHOLD = 0.8
@@ -85,18 +86,17 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return (1 + np.log((n + 1) / (np.minimum(df, n) + 1))).astype(np.float32)
 
 
-def bands_of(h: np.ndarray, off: np.ndarray, weight: np.ndarray, level: int = 0,
-             bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Band hashes (text, band) of weighted sets, from other samples at each level; sets must
-    not be empty."""
-    n, seed = len(off) - 1, 10_000 * level
+def bands_of(h: np.ndarray, off: np.ndarray, weight: np.ndarray, bands: int = BANDS,
+             rows: int = ROWS) -> np.ndarray:
+    """Band hashes (text, band) of weighted sets; sets must not be empty."""
+    n = len(off) - 1
     out = np.zeros((n, bands), np.uint64)
     if not n:
         return out
     lw = np.log(weight).astype(np.float32)
     place = np.arange(len(h), dtype=np.uint64)
     for k in range(bands * rows):
-        x = tg.mix(h + tg.constant(seed + k + 1))
+        x = tg.mix(h + tg.constant(k + 1))
         r = _R[(x & np.uint64(0xFFFF)).astype(np.int64)]
         ln_c = _LN_C[((x >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64)]
         beta = _BETA[((x >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.int64)]
@@ -178,21 +178,40 @@ def compare_texts(texts: DataFrame, sims, pairs: DataFrame) -> DataFrame:
         run, "a long, b long, sim double")
 
 
-def refiner(texts: DataFrame, bands):
-    """For link: (node, band, value) from ``bands(texts, level)`` of the nodes' texts."""
-    def refine(nodes: DataFrame, level: int) -> DataFrame:
-        def run(batches):
-            for b in batches:
-                values = [x for _, _, data, off in tg.blocks(b.column("text"))
-                          for x in bands(data, off, level).view(np.int64).tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("node"), pa.array(values, pa.list_(pa.int64()))],
-                    names=["node", "bands"])
+def prefixer(texts: DataFrame, weigh, threshold: float, name: str):
+    """For link: the prefixes of nodes' shingle sets, weighted by ``weigh(shingles, counts)``.
 
-        return (texts.join(nodes, "node").mapInArrow(run, "node long, bands array<long>")
-                .select("node", F.posexplode("bands").alias("band", "value")))
+    A set is put in order of document frequency among these nodes, rarest first (in hashed
+    columns and then by hash: any common order gives the same links, the columns only decide
+    how many candidates there are). Two sets that are similar enough share more than the
+    part that follows an element with less than ``threshold`` of the weight from there on, so the
+    elements before it are enough. Shingles alone in their column are shared by nobody."""
+    def prefixes(nodes: DataFrame) -> DataFrame:
+        chosen = write_stage(texts.join(nodes, "node", "left_semi"), f"{name}-open-texts")
+        df = document_frequencies(chosen)[1].astype(np.int32)
 
-    return refine
+        def run(batches):
+            for b in batches:
+                for i, _, data, off in tg.blocks(b.column("text")):
+                    h, soff, count = shingle_sets(data, off)
+                    weight = np.asarray(weigh(h, count), np.float64)
+                    text = np.repeat(np.arange(len(off) - 1), np.diff(soff))
+                    n = df[_bucket(h)]
+                    order = np.lexsort((h, n, text))
+                    h, n, weight = h[order], n[order], weight[order]
+                    before = np.concatenate([[0.0], np.cumsum(weight)])
+                    rest = before[soff[1:]][text] - before[:-1]
+                    total = (before[soff[1:]] - before[soff[:-1]])[text]
+                    at = np.flatnonzero((rest >= threshold * (1 - 1e-6) * total) & (n > 1))
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("node").take(pa.array(text[at] + i)),
+                         pa.array(h[at].view(np.int64)), pa.array(rest[at]), pa.array(total[at])],
+                        names=["node", "key", "rest", "total"])
+
+        return chosen.select("node", "text").mapInArrow(
+            run, "node long, key long, rest double, total double")
+
+    return prefixes
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -212,15 +231,9 @@ def classes(docs: DataFrame) -> DataFrame:
         numbered(docs).join(shared.select(F.col("node").alias("row")).distinct(), "row")
         .select(F.col("row").alias("node"), "text"), "near-texts")
 
-    def bands(data, off, level):
-        h, soff, count = shingle_sets(data, off)
-        rows = ROWS * (level + 1)
-        return bands_of(h, soff, count * idf[_bucket(h)], level,
-                        tune_bands(THRESHOLD, RECALL, rows), rows)
-
     links = link(shared, lambda p: compare_texts(
         texts, lambda a, b: weighted_jaccard(a, b, idf), p), THRESHOLD, "near",
-        refiner(texts, bands))
+        prefixer(texts, lambda h, count: count * idf[_bucket(h)], THRESHOLD, "near"))
     found = components(links, "near")
     return (signed.select("row", "doc_id", "digest", F.col("bands").isNotNull().alias("full"))
             .join(groups.select("digest", "node"), "digest", "left")
@@ -239,10 +252,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one of each class, the first row, with all their columns."""
+    number = free_name(docs, "near_row")
     kept = write_stage(classes(docs), "near-classes").filter("row = component").select(
-        F.col("row").alias("_near_row"))
-    return (docs.withColumn("_near_row", row_number_of(docs))
-            .join(kept, "_near_row", "left_semi").select(*(docs[c] for c in docs.columns)))
+        F.col("row").alias(number))
+    return (docs.withColumn(number, row_number_of(docs)).join(kept, number, "left_semi")
+            .drop(number))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

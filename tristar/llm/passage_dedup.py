@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from tristar.llm import textgrid as tg
 from tristar.llm.linking import components, link, tune_bands
-from tristar.llm.near_dedup import compare_texts, numbered, refiner
+from tristar.llm.near_dedup import compare_texts, numbered, prefixer
 from tristar.llm.passage_spans import repeated_spans, without
-from tristar.llm.rows import row_number_of
+from tristar.llm.rows import free_name, row_number_of
 from tristar.session import write_stage
 
 MIN_WORDS = 50
@@ -59,14 +59,12 @@ def paragraphs(data: np.ndarray, off: np.ndarray, min_words: int):
     return text, long - ln.off[text], ln.start[long], ln.end[long], n, s, soff
 
 
-def bands_of(s: np.ndarray, off: np.ndarray, level: int = 0) -> np.ndarray:
-    """MinHash band values (paragraph, band), from other hash functions and with longer bands
-    at each level."""
-    rows = ROWS * (level + 1)
+def bands_of(s: np.ndarray, off: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """MinHash band values (paragraph, band)."""
     bands = tune_bands(THRESHOLD, RECALL, rows)
     out = np.zeros((len(off) - 1, bands), np.uint64)
     for k in range(bands * rows if len(off) > 1 else 0):
-        low = np.minimum.reduceat(tg.mix(s + tg.constant(10_000 * level + k + 1)), off[:-1])
+        low = np.minimum.reduceat(tg.mix(s + tg.constant(k + 1)), off[:-1])
         out[:, k // rows] = tg.mix(out[:, k // rows] + low + np.uint64(k))
     return out
 
@@ -144,14 +142,8 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                                           "row long, line long, text string")
         .join(wanted, ["row", "line"]).select("node", "text"), "paragraph-texts")
 
-    def bands(data, off, level):
-        data = tg.LOWER[data]
-        w = tg.words(data, off)
-        s, soff = tg.shingles(tg.span_hash(data, w.start, w.end), w.off, WORDS)
-        return bands_of(s, soff, level)
-
     links = link(shared, lambda p: compare_texts(texts, jaccard, p), THRESHOLD, "paragraph",
-                 refiner(texts, bands))
+                 prefixer(texts, lambda h, count: np.ones(len(h)), THRESHOLD, "paragraph"))
     found = components(links, "paragraph")
     placed = (signed.drop("bands").join(groups.select("digest", "node"), "digest")
               .join(found, "node", "left")
@@ -194,12 +186,13 @@ def cut_repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     passage stay as they are."""
     lines, spans = passages(docs, min_words)
     none = F.lit(None).cast("long")
+    number, at, between = (free_name(docs, c) for c in ("cut_row", "cut_lines", "cut_spans"))
     cut = (lines.filter("removed").select("row", "line", none.alias("a"), none.alias("z"))
            .unionByName(spans.filter("removed").select(
                "row", none.alias("line"), F.col("start_word").alias("a"), F.col("end_word").alias("z")))
-           .groupBy(F.col("row").alias("_cut_row"))
-           .agg(F.collect_list("line").alias("_cut"),
-                F.collect_list(F.when(F.col("a").isNotNull(), F.struct("a", "z"))).alias("_spans")))
+           .groupBy(F.col("row").alias(number))
+           .agg(F.collect_list("line").alias(at),
+                F.collect_list(F.when(F.col("a").isNotNull(), F.struct("a", "z"))).alias(between)))
     cut = write_stage(cut, "paragraph-removals")
 
     @F.arrow_udf("string")
@@ -208,10 +201,10 @@ def cut_repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                          for t, x, y in zip(texts.to_pylist(), lines.to_pylist(), spans.to_pylist())],
                         pa.string())
 
-    out = docs.withColumn("_cut_row", row_number_of(docs)).join(cut, "_cut_row", "left").withColumn(
-        "text", kept.asNondeterministic()(F.col("text").cast("string"), "_cut", "_spans"))
+    out = docs.withColumn(number, row_number_of(docs)).join(cut, number, "left").withColumn(
+        "text", kept.asNondeterministic()(F.col("text").cast("string"), at, between))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(
+        out = out.withColumn("n_chars", F.when(F.col(at).isNull(), F.col("n_chars")).otherwise(
             F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 

@@ -18,3 +18,11 @@ def row_number_of(df: DataFrame) -> Column:
     if spark.conf.get(_PIN, None) is None:
         spark.conf.set(_PIN, str(max(spark.sparkContext.defaultParallelism, 1)))
     return F.monotonically_increasing_id()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of the table is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
