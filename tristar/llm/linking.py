@@ -98,12 +98,14 @@ def link(members: DataFrame, compare: Callable[[DataFrame], DataFrame], threshol
     shared = write_stage(_shared(members), f"{name}-buckets")
 
     def verify(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
-        """Compares the pairs that are not known yet; returns them with the known ones."""
+        """Compares the pairs that are not known yet; returns them with the known ones. The pairs
+        are written first, so that their size is known when the joins to the texts are planned:
+        while they are small, the texts of one side need no shuffle."""
         pairs = pairs.select("a", "b").distinct()
-        if known is None:
-            return write_stage(compare(pairs), f"{name}-pairs")
-        return known.unionByName(write_stage(
-            compare(pairs.join(known, ["a", "b"], "left_anti")), f"{name}-pairs"))
+        if known is not None:
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
+        now = write_stage(compare(write_stage(pairs, f"{name}-candidates")), f"{name}-pairs")
+        return now if known is None else known.unionByName(now)
 
     followers = shared.filter("node != leader")
     known = verify(followers.select(F.col("leader").alias("a"), F.col("node").alias("b")))
