@@ -6,7 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tristar.llm.quality_rules import _score, judge, keep_good, op8
+from tristar.llm import textgrid as tg
+from tristar.llm.quality_rules import NGRAMS, _score, hashed_columns, judge, keep_good, op8
 
 SF = "/root/testdata/sf0.01"
 
@@ -57,6 +58,33 @@ def test_whole_table(scored):
     assert right >= 0.97 * len(judged)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="aé漢😀 ", max_size=30), min_size=1, max_size=5))
+def test_sequences_of_characters(texts):
+    """As many sequences as runs of code points, equal columns exactly where equal runs stand."""
+    for _, _, data, off in tg.blocks(pa.array(texts, pa.string())):
+        w = tg.words(data, off)
+        parts = hashed_columns(data, off, w, tg.span_hash(data, w.start, w.end))[1:]
+        for n, (cols, at) in zip(NGRAMS, parts):
+            grams = [[t[k:k + n] for k in range(len(t) - n + 1)] for t in texts]
+            assert list(at[1:] - at[:-1]) == [len(g) for g in grams]
+            column = {}
+            for gram, c in zip((g for part in grams for g in part), cols):
+                assert column.setdefault(gram, c) == c
+
+
+def test_columns_and_held_out_labels(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    known = labels.filter("doc_id % 3 <> 0")
+    rows = judge(docs, known)
+    assert rows.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                            "n_repeat_words", "base_failed", "kept", "probability"]
+    held = labels.filter("doc_id % 3 = 0").select("doc_id", "quality")
+    got = rows.filter("NOT base_failed").join(held, "doc_id").collect()
+    assert sum(r["kept"] == bool(r["quality"]) for r in got) >= 0.95 * len(got) > 50
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 2), (None, "a " * 60, 3), (3, "w " * 9, 4),
                                   (3, "w " * 9, 4), (4, "x" * 100_000, 5)],

@@ -1,4 +1,4 @@
-"""Logistic regression on hashed sparse features, with Platt calibration.
+"""Logistic regression on hashed features, with Platt calibration.
 
 Fitted on the driver from a bounded sample of labelled rows (the callers' documented
 ``sample`` parameter); the fitted model is a dense weight vector of fixed size.
@@ -32,16 +32,24 @@ class Sparse:
     def t_dot(self, r: np.ndarray, dims: int) -> np.ndarray:
         return np.bincount(self.col, self.val * np.repeat(r, np.diff(self.off)), dims)
 
-    def take(self, keep: np.ndarray) -> Sparse:
-        return Sparse.of([(self.col[a:b], self.val[a:b])
-                          for a, b, k in zip(self.off[:-1], self.off[1:], keep) if k])
+
+@dataclass
+class Dense:
+    """Rows of a matrix of bounded size."""
+    rows: np.ndarray
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return (self.rows @ w.astype(self.rows.dtype)).astype(np.float64)
+
+    def t_dot(self, r: np.ndarray, dims: int) -> np.ndarray:
+        return (r.astype(self.rows.dtype) @ self.rows).astype(np.float64)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(x: Sparse, y: np.ndarray, weight: np.ndarray, dims: int, steps: int = 80,
+def fit(x: Sparse | Dense, y: np.ndarray, weight: np.ndarray, dims: int, steps: int = 80,
         rate: float = 0.3, l2: float = 1e-6) -> tuple[np.ndarray, float]:
     """Weighted logistic regression by full-batch Adam: (weights, intercept)."""
     weight = weight / weight.sum()

@@ -1,12 +1,13 @@
 """Quality rules: hashed word and character n-gram logistic regression.
 
-A document is described by the share of each hashed word and of each hashed 3- and 5-byte
-sequence among all of its own. A logistic regression over these shares is trained on
+A document is described by the share of each hashed word and of each hashed sequence of 3 and
+of 5 characters (code points) among all of its own. A logistic regression over these shares is trained on
 labelled rows (at most ``sample`` per class, lowest id hashes first; class weights restore
 the labels' proportions), calibrated by Platt scaling on a fifth of the sample that the
 fit does not see, and applied in Arrow batches against a fixed threshold. Because a
 score is a mean of weights over a text's words and sequences, scoring is one table lookup
-per byte position and works on whole texts of any length.
+per character and works on whole texts of any length. The fit sees ``2 * sample`` rows
+of ``DIMS`` single-precision numbers, 52 MB with the defaults however long the texts are.
 
 Defined results: null and empty texts have no words, all counts 0, ``base_failed`` true.
 With no labelled row of one of the classes there is no model and only the base rule
@@ -23,9 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tristar.llm import textgrid as tg
-from tristar.llm.linear import Sparse, fit, platt, sigmoid
+from tristar.llm.linear import Dense, fit, platt, sigmoid
+from tristar.session import write_stage
 
-BITS = 16                 # hashed columns per feature family
+BITS = 12                 # hashed columns per feature family
 DIMS = 2 << BITS          # words, then character sequences
 NGRAMS = (3, 5)
 SCALE = 30.0              # share -> feature value
@@ -36,24 +38,23 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-          "n_repeat_words long, base_failed boolean, probability double, kept boolean")
+          "n_repeat_words long, base_failed boolean, kept boolean, probability double")
 
 
 def hashed_columns(data: np.ndarray, off: np.ndarray, w: tg.Words,
                    word_hash: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """(column of each occurrence, offsets per text) for words, then for each n."""
     out = [((word_hash >> np.uint64(64 - BITS)).astype(np.int64), w.off)]
-    size = np.diff(off)
-    wide = data.astype(np.uint64)
+    char, coff = tg.characters(data, off)
+    size = np.diff(coff)
     for n in NGRAMS:
         m = np.maximum(size - n + 1, 0)
         goff = np.concatenate([[0], np.cumsum(m)])
-        at = np.arange(int(goff[-1])) + np.repeat(off[:-1] - goff[:-1], m)
+        at = np.arange(int(goff[-1])) + np.repeat(coff[:-1] - goff[:-1], m)
         key = np.full(len(at), n, np.uint64)
         for j in range(n):
-            key = (key << np.uint64(8)) | wide[at + j]
-        key = (key * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITS)
-        out.append((key.astype(np.int64) + (1 << BITS), goff))
+            key = key * np.uint64(0xD6E8FEB86659FD93) + char[at + j]
+        out.append(((tg.mix(key) >> np.uint64(64 - BITS)).astype(np.int64) + (1 << BITS), goff))
     return out
 
 
@@ -131,10 +132,10 @@ def _score(texts: pa.Array, model) -> pa.StructArray:
             weights, bias, a, b = model
             p = sigmoid(a * (_mean_weights(hashed_columns(data, off, w, h), weights) + bias) + b)
         for name, v in zip(cols, (n, tg.per_text(chars, w.off), tg.per_text(_SYMBOL[data], off),
-                                  duplicate_lines(data, off, w), rep, failed, p,
-                                  ~failed & (p >= THRESHOLD))):
+                                  duplicate_lines(data, off, w), rep, failed,
+                                  ~failed & (p >= THRESHOLD), p)):
             cols[name].append(v)
-    types = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
+    types = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.float64()]
     return pa.StructArray.from_arrays(
         [pa.array(np.concatenate(v), t) if v else pa.array([], t)
          for v, t in zip(cols.values(), types)], names=list(cols))
@@ -172,23 +173,29 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
             f = _features(b.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("y"),
-                 pa.array([c.astype(np.int32).tobytes() for c, _ in f], pa.binary()),
+                 pa.array([c.astype(np.uint16).tobytes() for c, _ in f], pa.binary()),
                  pa.array([v.astype(np.float32).tobytes() for _, v in f], pa.binary())],
                 names=["doc_id", "y", "col", "val"])
 
-    got = sorted(texts.mapInArrow(rows, "doc_id long, y int, col binary, val binary").collect())
-    y = np.array([r["y"] for r in got])
+    # Written once: the rows come to the driver partition by partition, into one bounded matrix.
+    found = write_stage(texts.mapInArrow(rows, "doc_id long, y int, col binary, val binary"),
+                        "labelled-features")
+    ids = sorted((r["doc_id"], r["y"]) for r in found.select("doc_id", "y").collect())
+    y = np.array([k for _, k in ids])
     if len(set(y)) < 2:
         return None
-    x = Sparse.of([(np.frombuffer(r["col"], np.int32), np.frombuffer(r["val"], np.float32))
-                   for r in got])
+    row_of = {i: k for k, (i, _) in enumerate(ids)}
+    x = np.zeros((len(ids), DIMS), np.float32)
+    for r in found.toLocalIterator():
+        x[row_of[r["doc_id"]], np.frombuffer(r["col"], np.uint16)] = np.frombuffer(r["val"], np.float32)
+    x = Dense(x)
     weight = np.array([size[k] / (y == k).sum() for k in (0, 1)])[y]
-    aside = tg.mix(np.array([r["doc_id"] for r in got]).astype(np.int64).view(np.uint64)) % 5 == 0
+    aside = tg.mix(np.array([i for i, _ in ids], np.int64).view(np.uint64)) % 5 == 0
     if len(set(y[~aside])) < 2 or len(set(y[aside])) < 2:
         aside = np.zeros(len(y), bool)
-    w, bias = fit(x.take(~aside), y[~aside], weight[~aside], DIMS)
+    w, bias = fit(x, y, weight * ~aside, DIMS)
     check = aside if aside.any() else ~aside
-    z = x.take(check).dot(w) + bias
+    z = (x.dot(w) + bias)[check]
     return w.astype(np.float32), bias, *platt(z, y[check], weight[check])
 
 

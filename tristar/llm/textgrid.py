@@ -80,6 +80,18 @@ def per_text(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     return c[off[1:]] - c[off[:-1]]
 
 
+def characters(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one number per code point, offsets per text): its UTF-8 bytes read as a number."""
+    lead = (data & 0xC0) != 0x80
+    at = np.flatnonzero(lead)
+    value = data[at].astype(np.uint64)
+    size = np.diff(np.append(at, len(data)))
+    for j in range(1, int(size.max(initial=1))):
+        more = np.flatnonzero(size > j)
+        value[more] = (value[more] << np.uint64(8)) | data[at[more] + j]
+    return value, np.concatenate([[0], np.cumsum(lead)])[off]
+
+
 @dataclass
 class Words:
     start: np.ndarray  # byte position of each word in the block
