@@ -1,4 +1,6 @@
-from tristar.llm.html_text import extract_pages
+from pyspark.sql import functions as F
+
+from tristar.llm.html_text import deduce_template, extract_pages, main_slots, nest_classes, path_of
 
 
 def texts(spark, pages):
@@ -38,3 +40,27 @@ def test_odd_pages_leave_the_slot(spark):
                       f"<span>by me</span></body></html>")
     got = texts(spark, [("http://f.org/x", page(i)) for i in range(5)] + [("http://f.org/x", "")])
     assert all("by me" not in got[i] and got[i].startswith("long text") for i in range(5))
+
+
+def test_slots_need_the_classes(spark):
+    page = lambda i: (f"<html><body><div class=post><h1>T{i}</h1><p>text {i}</p></div>"
+                      f"<div class=x><p>y{'' if i % 2 else '<p>z'}</p></div></body></html>")
+    df = spark.createDataFrame([(i, "http://a.org/x", page(i) + "long " * 9) for i in range(6)],
+                               "page_id long, url string, html string")
+    template = deduce_template(df)
+    nested = {r["path"]: r for r in nest_classes(template).collect()}
+    root, post, words = (nested[path_of(p)] for p in ("html", "html/body/div.post", "html/body/div.x/p"))
+    assert root["within"] is None and post["within"] == post["class"] == root["class"]
+    assert words["within"] == root["class"] != words["class"]
+    assert main_slots(template).count() == 1
+    assert main_slots(template.withColumn("class", F.lit(0).cast("long"))).count() == 0
+
+
+def test_changing_adverts_of_links(spark):
+    page = lambda i: (f"<html><body><div class=post><h1>T{i}</h1><p>text of <a href=y>page</a> {i}</p>"
+                      f"<div class=zq7><a href=z>Buy number {i * i}</a></div>"
+                      f"<p>more of {i}, and a good deal longer than what stands in the box</p></div></body></html>")
+    got = texts(spark, [("http://g.org/x", page(i)) for i in range(6)])
+    for i in range(6):
+        assert got[i] == (f"T{i}\ntext of page {i}\nmore of {i}, and a good deal longer than what "
+                          "stands in the box")

@@ -1,7 +1,8 @@
 import html
 import re
+import time
 
-from tristar.llm.html_text import deduce_template, extract, extract_pages, op10
+from tristar.llm.html_text import deduce_template, extract, extract_pages, op10, path_of, tokens
 
 SF = "/root/testdata/sf0.01"
 
@@ -41,9 +42,9 @@ def test_deduces_the_slot_without_article(spark):
     assert got[2] == "T2\none & two2\nthree four"
     template = deduce_template(frame(spark, rows)).collect()
     classes = {r["path"]: r["class"] for r in template}
-    assert classes["html/body/div.post"] == classes["html/body/footer"]
-    assert classes["html/body/div.post/p"] != classes["html/body/footer"]
-    assert classes["html/body/div.box"] not in (classes["html/body/footer"],)
+    post, footer, words, box = (classes[path_of(f"html/body/{p}")]
+                                for p in ("div.post", "footer", "div.post/p", "div.box"))
+    assert post == footer != words and box != footer
 
 
 def test_malformed_pages():
@@ -54,7 +55,7 @@ def test_malformed_pages():
     assert extract("<p>x</p></div></div><p class='unclosed>y", None).startswith("x")
     assert extract("<article>a<script>bad", None) == "a"
     assert extract("<!-- <p>no</p> <p>yes", None) == ""
-    assert extract("<body><p>a&nbsp; b<br>c</body>", "html/none") == "a b\nc"
+    assert extract("<body><p>a&nbsp; b<br>c</body>", path_of("html/none")) == "a b\nc"
     assert len(extract("<p>" + "word " * 200_000, None)) == 5 * 200_000 - 1
 
 
@@ -64,3 +65,13 @@ def test_edge_cases(spark):
     rows = extract_pages(df).collect()
     assert sorted((r["page_id"] or 0, r["text"]) for r in rows) == [(0, ""), (1, ""), (2, "x"), (2, "x")]
     assert extract_pages(df.limit(0)).count() == 0
+
+
+def test_deep_pages_are_linear():
+    for part in ("<div>x ", "<div>", "<b><p>y</p>", "</i><div>", "<p><div><b>x"):
+        page = part * (1_000_000 // len(part))
+        start = time.time()
+        tokens(page)
+        extract(page, path_of("div"))
+        assert time.time() - start < 15, part
+    assert extract("<div>x " * 50_000, path_of("div")) == "\n".join("x" * 50_000)
