@@ -22,6 +22,7 @@ from tristar.operators.counts import (
     grouped_counts, qualifying_total, value_counts, verified_users,
 )
 from tristar.operators.enrich import card_verifications, enrich, flatten_nested, nested_records
+from tristar.operators.stored import create_table_as, enrich_stored, store_star
 from tristar.session import scratch_dir
 from tristar.sources.keyed import keyed_table, publish_log, read_keyed
 from tristar.sources.roles import (
@@ -53,6 +54,13 @@ def q_enriched_cards(spark: SparkSession, sf: str) -> DataFrame:
     return enrich(s.cards, s.verifications, s.users)
 
 
+def q_stored_enriched(spark: SparkSession, sf: str) -> DataFrame:
+    """The star stored in buckets with statistics, the joined table created from it, read back."""
+    stored = store_star(*batch_star(spark, sf))
+    return create_table_as(enrich_stored(spark, stored), f"{stored.verifications}_enriched",
+                           columns=["user_id"])
+
+
 def q_verified_users_by_id(spark: SparkSession, sf: str) -> DataFrame:
     s = batch_star(spark, sf)
     return verified_users(*s, by="id", threshold=BATCH_THRESHOLD)
@@ -165,6 +173,7 @@ BATCH: dict[str, Query] = {
     "replicated_table": q_replicated_table,
     "card_verifications": q_card_verifications,
     "enriched_cards": q_enriched_cards,
+    "stored_enriched": q_stored_enriched,
     "verified_users_by_id": q_verified_users_by_id,
     "verified_users_by_name": q_verified_users_by_name,
     "verified_users_by_id_and_name": q_verified_users_by_id_and_name,
@@ -255,6 +264,7 @@ ORACLE: dict[str, str] = {
         f"UNION ALL SELECT event_id, user_id, FALSE AS is_add, CAST(n - 1 AS BIGINT) AS counts "
         f"FROM ({_RUN}) b) u WHERE counts > {_K}"),
 }
+ORACLE["stored_enriched"] = ORACLE["enriched_cards"]
 
 EVENT_COUNTS_SQL = _EV_BY_ID_NAME
 NESTED_SQL = _NESTED
