@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tristar.llm.ppm_score import (ORDER, _numbered, _tokens, learn_classes, op4,
                                    score_documents)
@@ -113,3 +114,25 @@ def test_empty_and_no_training_rows(spark):
     row = score_documents(spark.createDataFrame([(held, "ab")], "doc_id long, text string")).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (2, 0, 0, 0)
     assert row["score"] == pytest.approx(-4 * math.log10(256))
+
+
+def test_kinds_are_learned_from_all_training_texts(spark):
+    # The 300 Greek texts come last in the order of id hashes, of which 2,000 were the sample.
+    rng = np.random.default_rng(3)
+    ids = [r["id"] for r in spark.range(3500).orderBy(F.xxhash64("id")).collect()]
+    words = {a: ["".join(chr(a + k) for k in rng.integers(0, 24, 6)) for _ in range(200)] for a in (97, 0x3b1)}
+    docs = [(i, " ".join(rng.choice(words[0x3b1 if k >= 3200 else 97], 30))) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    weights = learn_classes(_numbered(df.coalesce(1)))
+    kinds = [k for *_, kind, _ in _tokens(pa.array([t for _, t in docs], pa.string()), weights) for k in kind]
+    assert not set(kinds[3200:]) & set(kinds[:3200])
+    assert (learn_classes(_numbered(df.orderBy("text").repartition(7))) == weights).all()
+    other = learn_classes(_numbered(df.filter(F.col("doc_id") != docs[3499][0])))
+    assert not zlib.crc32(str(docs[3499][0]).encode()) % 5 == 1 and (other != weights).any()
+
+
+def test_kinds_of_alike_short_and_very_repetitive_texts(spark):
+    docs = [(i, "same same") for i in range(20)] + [(100, "a"), (101, ""), (102, None), (103, "xy" * 70000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    check(score_documents(df).collect(), docs, learn_classes(_numbered(df)))
+    assert learn_classes(_numbered(df.filter("doc_id BETWEEN 100 AND 102"))).shape == (512, 1)

@@ -10,8 +10,8 @@ next shorter context, where the bytes already refused are excluded from T and D.
 empty context the bytes not seen at all share the rest equally.
 
 There is one trie for each of ``CLASSES`` kinds of text (in practice: languages and sorts of
-junk). The kinds are found by k-means over hashed byte pairs of at most ``SAMPLE`` training
-texts (lowest id hashes); every text is then assigned to the likeliest kind by exact integer
+junk). The kinds are found by k-means over hashed byte pairs of all training texts, whose steps
+are aggregations; every text is then assigned to the likeliest kind by exact integer
 arithmetic. The score is the log10 probability of the kind plus that of the whole token
 sequence in its trie, a two-part code; the code length in bits is -log2 of the same.
 
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +43,9 @@ from tristar.session import write_stage
 ORDER = 5
 CHUNK_BITS, VOCAB_BITS = 13, 16   # rows per chunk of documents, of tokens
 END = b"\n"
-CLASSES, SAMPLE, PAIRS = 8, 2000, 512
-
+CLASSES, PAIRS = 8, 512
+STEPS, STEP = 20, 16              # of k-means at most; of a center's coordinates, a unit has 16
+ROWS = 1024                       # texts whose pair counts are in memory at a time
 
 
 def held_out(column: str = "doc_id") -> Column:
@@ -69,32 +71,93 @@ def _pair_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.bincount((text[1:] * PAIRS + pair)[same], minlength=n * PAIRS).reshape(n, PAIRS)
 
 
-def learn_classes(docs: DataFrame, classes: int = CLASSES, sample: int = SAMPLE) -> np.ndarray:
-    """Integer weights (byte pair, kind): scaled log shares of the pairs in each kind."""
-    def rows(batches):
+def _some_texts(data: np.ndarray, off: np.ndarray):
+    """A block in runs of at most ``ROWS`` texts: a table of counts per text stays small."""
+    for i in range(0, len(off) - 1, ROWS):
+        part = off[i:i + ROWS + 1]
+        yield _pair_counts(data[part[0]:part[-1]], part - part[0])
+
+
+def _pair_rows(batches):
+    """The pair counts of every text that has a pair, 2 bytes a count or 4 if one is large."""
+    for b in batches:
+        out = []
+        for _, _, data, off in tg.blocks(b.column("text")):
+            for counts in _some_texts(tg.LOWER[data], off):
+                out += [c.astype(np.uint16 if c.max() < 1 << 16 else np.uint32).tobytes()
+                        for c in counts[counts.any(axis=1)]]
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["c"])
+
+
+def _counts(column: pa.Array):
+    for t in (np.uint16, np.uint32):
+        rows = column.filter(pc.equal(pc.binary_length(column), PAIRS * np.dtype(t).itemsize))
+        for i in range(0, len(rows), ROWS):
+            yield np.frombuffer(b"".join(rows.slice(i, ROWS).to_pylist()), t).reshape(-1, PAIRS)
+
+
+def _sums(rows: DataFrame, center: np.ndarray, width: int, wanted) -> np.ndarray:
+    """Sums of the ``width`` columns of ``wanted(counts, x, kind)`` over all texts of each kind,
+    which is the nearest center. ``x`` are the texts' features: square roots of their pairs' shares, in
+    whole steps of 1/255. All numbers are integers small enough for exact floating-point sums,
+    so the result depends neither on the order nor on the partitions."""
+    kinds = len(center)
+
+    def run(batches):
+        total = np.zeros((kinds, width))
         for b in batches:
-            counts = [c for _, _, data, off in tg.blocks(b.column("text"))
-                      for c in _pair_counts(tg.LOWER[data], off)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c.astype(np.int32).tobytes() for c in counts], pa.binary())], names=["c"])
-
-    picked = (docs.filter("NOT held_out AND text IS NOT NULL").select("doc_id", "text")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample))
-    got = [r["c"] for r in picked.select("text").mapInArrow(rows, "c binary").collect()]
-    if not got:
+            for counts in _counts(b.column("c")):
+                share = counts / counts.sum(1, keepdims=True, dtype=np.float64)
+                x = np.round(np.sqrt(share) * 255)
+                kind = (2 * STEP * (x @ center.T) - (center ** 2).sum(1)).argmax(1)
+                total += (kind == np.arange(kinds)[:, None]).astype(np.float64) @ wanted(counts, x, kind)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at), pa.array(total.ravel()[at].astype(np.int64))], names=["at", "n"])
+
+    got = rows.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(kinds * width)
+    out[got.column("at").to_numpy()] = got.column("n").to_numpy()
+    return out.reshape(kinds, -1)
+
+
+def _moments(rows: DataFrame, center: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, mean and variance of the features of each kind; an empty kind's mean is its center."""
+    got = _sums(rows, center, 1 + 2 * PAIRS,
+                lambda _, x, kind: np.hstack([np.ones((len(x), 1)), x, x * x]))
+    n = got[:, :1]
+    mean = np.where(n > 0, got[:, 1:PAIRS + 1] / np.maximum(n, 1), center / STEP)
+    return n, mean, np.where(n > 0, got[:, PAIRS + 1:] / np.maximum(n, 1) - mean ** 2, 0)
+
+
+def learn_classes(docs: DataFrame, classes: int = CLASSES) -> np.ndarray:
+    """Integer weights (byte pair, kind): scaled log shares of the pairs in each kind.
+
+    k-means over all training texts. Their pair counts are written once; every step is an
+    aggregation over them, of which ``classes`` rows of sums reach the driver. The start is the
+    mean of all texts; each kind is then split in two along the covariance of its most varied
+    pair with all others until there are enough."""
+    rows = write_stage(docs.filter("NOT held_out AND text IS NOT NULL").select("text")
+                       .mapInArrow(_pair_rows, "c binary"), "pair-counts")
+    center = np.zeros((1, PAIRS))
+    n, mean, spread = _moments(rows, center)
+    if not n.any():
         return np.zeros((PAIRS, 1), np.int64)
-    count = np.array([np.frombuffer(c, np.int32) for c in sorted(got)]).astype(np.float64)
-    x = np.sqrt(count)
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    center = [x[0]]
-    for _ in range(classes - 1):   # each next start is the text farthest from the others
-        center.append(x[np.min([((x - c) ** 2).sum(1) for c in center], axis=0).argmax()])
-    center = np.array(center)
-    for _ in range(20):
-        kind = (x @ center.T - 0.5 * (center ** 2).sum(1)).argmax(1)
-        center = np.array([x[kind == j].mean(0) if (kind == j).any() else center[j]
-                           for j in range(classes)])
-    total = np.array([count[kind == j].sum(0) for j in range(classes)]) + 0.5
+    while len(center) < classes:
+        each, axis = np.arange(len(center)), spread.argmax(1)
+        cross = _sums(rows, center, PAIRS,
+                      lambda _, x, kind, axis=axis: x * x[np.arange(len(x)), axis[kind], None])
+        along = np.where(n > 0, cross / np.maximum(n, 1) - mean * mean[each, axis][:, None], 0)
+        along /= np.sqrt(np.maximum(spread[each, axis], 1e-9))[:, None]
+        center = np.round(np.stack([mean + along, mean - along], 1).reshape(-1, PAIRS)[:classes] * STEP)
+        for _ in range(STEPS if len(center) == classes else 2):
+            n, mean, spread = _moments(rows, center)
+            if (np.round(mean * STEP) == center).all():
+                break
+            center = np.round(mean * STEP)
+        else:
+            n, mean, spread = _moments(rows, center)
+    total = _sums(rows, center, PAIRS, lambda counts, *_: counts.astype(np.float64)) + 0.5
     return np.round(np.log(total / total.sum(1, keepdims=True)) * 65536).astype(np.int64).T
 
 
@@ -122,7 +185,7 @@ def _tokens(texts, weights: np.ndarray):
     for i, j, data, off in tg.blocks(texts):
         data = tg.LOWER[data]
         w = tg.words(data, off)
-        kind = (_pair_counts(data, off) @ weights).argmax(1)
+        kind = np.concatenate([(c @ weights).argmax(1) for c in _some_texts(data, off)])
         yield i, j, data, w, kind, _with_kind(tg.span_hash(data, w.start, w.end), kind[w.text])
 
 

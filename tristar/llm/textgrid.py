@@ -63,7 +63,7 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def blocks(texts: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(texts: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about ``limit`` bytes: (first row, end row, bytes, offsets).
     A text longer than the limit is a block of its own."""
     data, off = buffers(texts)

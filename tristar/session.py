@@ -135,7 +135,7 @@ def write_stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = path or scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
