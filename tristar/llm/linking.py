@@ -100,10 +100,11 @@ def link(members: DataFrame, compare: Callable[[DataFrame], DataFrame], threshol
     def verify(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
         """Compares the pairs that are not known yet; returns them with the known ones."""
         pairs = pairs.select("a", "b").distinct()
-        if known is None:
-            return write_stage(compare(pairs), f"{name}-pairs")
-        return known.unionByName(write_stage(
-            compare(pairs.join(known, ["a", "b"], "left_anti")), f"{name}-pairs"))
+        if known is not None:
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
+        # Written first: their nodes are read again to sieve the texts.
+        found = write_stage(compare(write_stage(pairs, f"{name}-candidates")), f"{name}-pairs")
+        return found if known is None else known.unionByName(found)
 
     followers = shared.filter("node != leader")
     known = verify(followers.select(F.col("leader").alias("a"), F.col("node").alias("b")))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tristar.llm import textgrid as tg
 from tristar.llm.linking import components, link, tune_bands
-from tristar.llm.rows import free_name, row_number_of
+from tristar.llm.rows import free_name, row_number_of, sieve
 from tristar.session import write_stage
 
 THRESHOLD = 0.8
@@ -165,15 +165,15 @@ def weighted_jaccard(a, b, idf: np.ndarray) -> np.ndarray:
 
 
 def compare_texts(texts: DataFrame, sims, pairs: DataFrame) -> DataFrame:
-    """(a, b, sim) for pairs of nodes, from texts (node, text)."""
+    """(a, b, sim) for pairs of nodes, which are a written table, from texts (node, text)."""
     def run(batches):
         for p in batches:
             yield pa.RecordBatch.from_arrays(
                 [p.column("a"), p.column("b"), pa.array(sims(p.column("ta"), p.column("tb")))],
                 names=["a", "b", "sim"])
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    left = sieve(texts, "node", pairs.select("a")).select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    right = sieve(texts, "node", pairs.select("b")).select(F.col("node").alias("b"), F.col("text").alias("tb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(
         run, "a long, b long, sim double")
 
@@ -228,7 +228,8 @@ def classes(docs: DataFrame) -> DataFrame:
         members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"),
         "bucket"), "near-members")
     texts = write_stage(
-        numbered(docs).join(shared.select(F.col("node").alias("row")).distinct(), "row")
+        sieve(numbered(docs), "row", shared.select("node"))
+        .join(shared.select(F.col("node").alias("row")).distinct(), "row")
         .select(F.col("row").alias("node"), "text"), "near-texts")
 
     links = link(shared, lambda p: compare_texts(
