@@ -1,6 +1,6 @@
 import pytest
 
-from tristar.llm import near_dedup
+from tristar.llm import near_dedup, passage_dedup, passage_spans
 from tristar.llm.rows import row_number_of, sieve
 
 
@@ -43,3 +43,26 @@ def test_texts_that_no_bucket_holds_are_not_shuffled(spark):
         got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(spark.read.parquet(path)).collect()}
     assert got == {i: 7 if i == 399 else i for i in range(400)}
     assert seen[0][0] == 400 and seen[0][1] <= 4
+
+
+def test_texts_without_a_shared_passage_are_not_shuffled(spark):
+    # Documents 7 and 399 share a line of 60 words; before, both joins shuffled all texts.
+    line = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    docs = spark.createDataFrame([(i, f"{line(i)}\n{line(-i - 1)}") for i in range(399)]
+                                 + [(399, f"{line(7)}\nend")], "doc_id long, text string").coalesce(1)
+    path = spark.conf.get("spark.checkpoint.dir") + "/sieve-passages"
+    docs.write.mode("overwrite").parquet(path)
+    seen = []
+
+    def spy(df, column, wanted):
+        out = sieve(df, column, wanted)
+        seen.append((df.count(), out.count()))
+        return out
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(passage_dedup, "sieve", spy)
+        m.setattr(passage_spans, "sieve", spy)
+        lines, _ = passage_dedup.passages(spark.read.parquet(path))
+        got = {(r["doc_id"], r["line"], r["removed"]) for r in lines.collect()}
+    assert got == {(7, 0, False), (399, 0, True)}
+    assert [n for n, _ in seen] == [400, 400] and max(k for _, k in seen) <= 4

@@ -32,7 +32,7 @@ from tristar.llm import textgrid as tg
 from tristar.llm.linking import components, link, tune_bands
 from tristar.llm.near_dedup import compare_texts, numbered, prefixer
 from tristar.llm.passage_spans import repeated_spans, without
-from tristar.llm.rows import free_name, row_number_of
+from tristar.llm.rows import free_name, row_number_of, sieve
 from tristar.session import write_stage
 
 MIN_WORDS = 50
@@ -135,9 +135,11 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = write_stage(members.join(
         members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"),
         "bucket"), "paragraph-members")
-    wanted = groups.select("node", "row", "line").join(shared.select("node").distinct(), "node")
+    wanted = write_stage(groups.select("node", "row", "line").join(
+        shared.select("node").distinct(), "node"), "paragraph-wanted")
     texts = write_stage(
-        numbered(docs).join(wanted.select("row").distinct(), "row", "left_semi")
+        sieve(numbered(docs), "row", wanted.select("row"))
+        .join(wanted.select("row").distinct(), "row", "left_semi")
         .select("row", "text").mapInArrow(lambda it: _texts(it, min_words),
                                           "row long, line long, text string")
         .join(wanted, ["row", "line"]).select("node", "text"), "paragraph-texts")

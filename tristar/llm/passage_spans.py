@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tristar.llm import textgrid as tg
+from tristar.llm.rows import sieve
 from tristar.session import write_stage
 
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -155,7 +156,8 @@ def repeated_spans(docs: DataFrame, cut: DataFrame, size: int) -> DataFrame:
         F.collect_list("at").alias("at")), "span-wanted")
     lines = cut.groupBy("row").agg(F.collect_set("line").alias("cut"))
     found = write_stage(
-        docs.join(wanted, "row").join(lines, "row", "left").select("row", "doc_id", "text", "at", "cut")
+        sieve(docs, "row", wanted.select("row")).join(wanted, "row").join(lines, "row", "left")
+        .select("row", "doc_id", "text", "at", "cut")
         .mapInArrow(lambda it: _windows(it, size), "row long, doc_id long, start int, line int, "
                                                    "gram long, window long"), "span-windows")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "start")
